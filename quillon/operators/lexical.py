@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import vectors as V
 from .search import top_k
 
 
@@ -45,23 +48,30 @@ def pool_tokens(
 ) -> DataFrame:
     """``(id, embedding)``: pooled token vectors, the chosen parts concatenated in the order cls, max, mean, sqrt.
 
-    Element-wise aggregates with map-side partial sums: a text of any length is never gathered. With ``weight`` the
-    mean divides by the weight sum (floor 1e-9).
+    Vector aggregates with map-side partial sums: a text of any length is never gathered. With ``weight`` every token
+    vector is scaled first and the mean divides by the weight sum (floor 1e-9).
     """
+    if set(modes) - {"cls", "max", "mean", "sqrt"}:
+        raise ValueError(f"unknown pooling modes {modes}")
+    vec = V.as_double(vector)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    cells = tokens.select(F.col(id).alias("id"), F.col(pos).alias("pos"), w.alias("w"), F.posexplode(vector).alias("dim", "x"))
-    x = F.col("x").cast("double") * F.col("w")
-    cell = cells.groupBy("id", "dim").agg(
-        F.min_by(F.col("x").cast("double"), "pos").alias("cls"), F.max(x).alias("max"), F.sum(x).alias("s"), F.sum("w").alias("ws"))
-    mass = F.greatest(F.col("ws"), F.lit(1e-9))
-    parts = {"cls": F.col("cls"), "max": F.col("max"), "mean": F.col("s") / mass, "sqrt": F.col("s") / F.sqrt(mass)}
-    chosen = [m for m in parts if m in modes]
-    if set(modes) - set(parts):
-        raise ValueError(f"unknown pooling modes {set(modes) - set(parts)}")
-    # One entry per dimension: bounded by the vector width.
-    packed = cell.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("dim", *[parts[m].alias(f"p_{m}") for m in chosen]))).alias("e"))
-    return packed.select(F.col("id").alias(id), F.concat(*[F.col(f"e.p_{m}") for m in chosen]).alias("embedding"))
+    scaled = F.transform(vec, lambda x: x * w) if weight else vec
+    rows = tokens.select(F.col(id).alias("id"), F.col(pos).alias("pos"), w.alias("w"), vec.alias("raw"), array_to_vector(scaled).alias("v"))
+    wanted = []
+    if {"mean", "sqrt"} & set(modes):
+        wanted += [Summarizer.sum(F.col("v")).alias("s"), F.greatest(F.sum("w"), F.lit(1e-9)).alias("mass")]
+    if "max" in modes:
+        wanted.append(Summarizer.max(F.col("v")).alias("max"))
+    if "cls" in modes:
+        wanted.append(F.min_by("raw", "pos").alias("cls"))
+    pooled = rows.groupBy("id").agg(*wanted)
+    parts = {
+        "cls": lambda: F.col("cls"),
+        "max": lambda: vector_to_array("max"),
+        "mean": lambda: F.transform(vector_to_array("s"), lambda x: x / F.col("mass")),
+        "sqrt": lambda: F.transform(vector_to_array("s"), lambda x: x / F.sqrt("mass")),
+    }
+    return pooled.select(F.col("id").alias(id), F.concat(*[parts[m]() for m in parts if m in modes]).alias("embedding"))
 
 
 def average_word_vectors(

@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ def ivf_search(
         corpus.join(assigned, "id")
         .join(F.broadcast(chunks), "cluster")  # one row per cluster
         .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-        .select("cluster", "chunk", "id", "embedding", F.lit(False).alias("is_query"))
+        .select("cluster", "chunk", "id", "embedding")
     )
     probe_schema = T.StructType(
         [T.StructField("id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),
@@ -168,6 +169,7 @@ def ivf_search(
         )
 
     keys = ["cluster", "chunk", "slice"]
+    wanted, lists = wanted.select(*keys, "id", "embedding"), lists.select(*keys, "id", "embedding")
     hits = wanted.groupBy(*keys).cogroup(lists.groupBy(*keys)).applyInPandas(score, B.HITS)
     return top_k(hits, "query_id", "score", "corpus_id", k)
 
@@ -232,6 +234,7 @@ def lsh_search(
         )
 
     keys = ["bucket", "chunk", "slice"]
+    q, c = q.select(*keys, "id", "embedding"), c.select(*keys, "id", "embedding")
     hits = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(score, B.HITS)
     hits = hits.groupBy("query_id", "corpus_id").agg(F.max("score").alias("score"))
     return top_k(hits, "query_id", "score", "corpus_id", k)
@@ -374,11 +377,10 @@ def predict_pairs(
 
 
 def centroids(emb: DataFrame, label: str, vector: str = "embedding") -> DataFrame:
-    """Mean vector per label ``(id, embedding)``, aggregated element by element."""
-    parts = emb.select(F.col(label).cast("bigint").alias("id"), F.posexplode(V.as_double(vector)).alias("dim", "x"))
-    means = parts.groupBy("id", "dim").agg(F.avg("x").alias("x"))
-    packed = means.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("e"))
-    return packed.select("id", F.transform("e", lambda s: s["x"]).alias("embedding"))
+    """Mean vector per label ``(id, embedding)``; partial sums are taken before the shuffle."""
+    rows = emb.select(F.col(label).cast("bigint").alias("id"), array_to_vector(V.as_double(vector)).alias("v"))
+    means = rows.groupBy("id").agg(Summarizer.mean(F.col("v")).alias("m"))
+    return means.select("id", vector_to_array("m").alias("embedding"))
 
 
 def score_matrix(left: DataFrame, right: DataFrame, score: str = "cos", id: str = "id", vector: str = "embedding"):

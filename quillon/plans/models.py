@@ -1 +1,130 @@
-QUERIES: dict = {}
+"""Models, tuning and their metrics (M, K19)."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from ..functions import vectors as V
+from ..operators import features as H
+from ..operators import models as M
+from ..operators import tabular as T
+from ..session import scratch_path
+from .common import embeddings, r6, table
+from .evaluate import pairs
+
+FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def split_lines(spark, sf):
+    d = table(spark, sf, "lineitem").withColumn("rid", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
+    d = T.hash_split(H.assemble(FEATURES).transform(d).select("rid", "features", F.col("l_extendedprice").alias("y")), "rid", {"train": 0.7, "test": 0.3})
+    return d.where("split = 'train'"), d.where("split = 'test'")
+
+
+def m01(spark, sf):
+    out = M.linear_summary(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice")
+    return out.select("term", F.round("coefficient", 4).alias("coefficient"), F.round("rmse", 4).alias("rmse"), r6("r2", "r2"))
+
+
+def _regression(*names):
+    def query(spark, sf):
+        train, test = split_lines(spark, sf)
+        chosen = {n: e for n, e in M.regressors("y").items() if n in names}
+        return M.compare(train, test, chosen, "y", "rmse")
+    return query
+
+
+def split_vectors(spark, sf):
+    e = embeddings(spark, sf).select("id", array_to_vector(V.as_double("embedding")).alias("features"), (F.col("label") < 3).cast("double").alias("y"), "label")
+    e = T.hash_split(e, "id", {"train": 0.8, "test": 0.2})
+    return e.where("split = 'train'"), e.where("split = 'test'")
+
+
+def m05(spark, sf):
+    train, test = split_vectors(spark, sf)
+    two = {"strong": LogisticRegression(maxIter=10, regParam=0.3, elasticNetParam=0.8, labelCol="y"), "weak": LogisticRegression(maxIter=20, regParam=0.01, labelCol="y")}
+    return M.compare(train, test, two, "y", "auc")
+
+
+def m06(spark, sf):
+    train, _ = split_vectors(spark, sf)
+    out = M.multinomial_coefficients(train, "label", 10, 0.01, 0.0)
+    return out.select("class", r6("intercept", "intercept"), F.size("coefficients").alias("width"))
+
+
+def m07(spark, sf):
+    train, test = split_vectors(spark, sf)
+    return M.compare(train, test, {n: e for n, e in M.classifiers("y").items() if n != "logistic"}, "y", "auc")
+
+
+def m08(spark, sf):
+    train, _ = split_vectors(spark, sf)
+    forest = RandomForestClassifier(labelCol="y", seed=1)
+    model = M.tune(train, forest, {"numTrees": [1, 5], "maxDepth": [3, 5]}, BinaryClassificationEvaluator(labelCol="y"), folds=3, seed=1)
+    return M.tuning_table(spark, model)
+
+
+def m09(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("y"))
+    d = T.hash_split(d, "doc_id", {"train": 0.8, "test": 0.2})
+    model = M.text_classifier(d.where("split = 'train'"), "text", "y")
+    return model.transform(d.where("split = 'test'")).select("doc_id", "y", "prediction")
+
+
+def m10(spark, sf):
+    train, test = split_vectors(spark, sf)
+    return M.compare(train, test, M.classifiers("y"), "y", "auc")
+
+
+def m11(spark, sf):
+    p = pairs(spark, sf).withColumn("y", F.when(F.col("same") == 1, 0).when(F.col("gap") <= 3, 1).otherwise(2))
+    p = T.hash_split(p, "id", {"train": 0.8, "test": 0.2})
+    _, score = M.pair_classifier(p.where("split = 'train'"), "y")
+    return M.pair_accuracy(score(p.where("split = 'test'")), "y")
+
+
+def a19(spark, sf):
+    """A fitted pipeline is saved, loaded and applied: it must predict the same."""
+    d = table(spark, sf, "lineitem")
+    model = H.feature_pipeline(["l_quantity", "l_tax"], ["l_returnflag"]).fit(d)
+    path = scratch_path(spark, "model")
+    M.save(model, path)
+    again = M.load(path)
+    a = model.transform(d).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(F.col("features").cast("string")) % 1000003).alias("h"))
+    b = again.transform(d).groupBy("l_returnflag").agg(F.sum(F.xxhash64(F.col("features").cast("string")) % 1000003).alias("g"))
+    return a.join(b, "l_returnflag").select("l_returnflag", "n", (F.col("h") == F.col("g")).alias("same"))
+
+
+def k19(spark, sf):
+    """RMSE and AUC of fixed scores: the price predicted by its mean per unit, the return flag by the quantity."""
+    li = table(spark, sf, "lineitem")
+    reg = li.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500.0).alias("prediction"))
+    cls = li.select((F.col("l_returnflag") == "R").cast("double").alias("y"), F.col("l_quantity").alias("rawPrediction"))
+    return spark.createDataFrame([("rmse", M.rmse(reg, "y")), ("auc", M.auc(cls, "y"))], "metric string, value double").select("metric", F.round("value", 4).alias("value"))
+
+
+QUERIES = {
+    "a19_model_save_load": (a19, "SELECT l_returnflag, count(*) AS n, true AS same FROM lineitem GROUP BY 1"),
+    "k19_rmse_auc": (k19, """
+        WITH u AS (SELECT l_returnflag = 'R' AS y, rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS r FROM lineitem),
+        a AS (SELECT (sum(r) FILTER (WHERE y) - count(*) FILTER (WHERE y) * (count(*) FILTER (WHERE y) + 1) / 2.0) / (count(*) FILTER (WHERE y)::DOUBLE * count(*) FILTER (WHERE NOT y)) AS auc FROM u)
+        SELECT 'rmse' AS metric, round(sqrt(avg((l_extendedprice - l_quantity * 1500) ** 2)), 4) AS value FROM lineitem UNION ALL SELECT 'auc', round(auc, 4) FROM a"""),
+    "m01_linear_regression": (m01, """
+        WITH s AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a, regr_r2(l_extendedprice, l_quantity) AS r FROM lineitem),
+        e AS (SELECT sqrt(avg((l_extendedprice - a - b * l_quantity) ** 2)) AS rmse FROM lineitem, s)
+        SELECT 'l_quantity' AS term, round(b, 4) AS coefficient, round(rmse, 4) AS rmse, round(r, 6) AS r2 FROM s, e
+        UNION ALL SELECT 'intercept', round(a, 4), round(rmse, 4), round(r, 6) FROM s, e"""),
+    "m02_tree_regressor": (_regression("tree"), None),
+    "m03_forest_regressor": (_regression("forest"), None),
+    "m04_boosted_regressor": (_regression("boosted"), None),
+    "m05_logistic": (m05, None),
+    "m06_multinomial": (m06, None),
+    "m07_tree_classifiers": (m07, None),
+    "m08_cross_validation": (m08, None),
+    "m09_text_classifier": (m09, None),
+    "m10_model_comparison": (m10, None),
+    "m11_pair_classifier": (m11, None),
+}
