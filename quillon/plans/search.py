@@ -216,19 +216,27 @@ r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, c) AS ran
 p AS (SELECT max(score) AS score, least(q, c) AS id1, greatest(q, c) AS id2 FROM r WHERE rank <= {{k}} AND score > -1 GROUP BY 2, 3)
 SELECT round(score, 6) AS score, id1, id2 FROM {{tail}}"""
 CENTRES = "c AS (SELECT label::BIGINT AS id, list(m ORDER BY dim) AS v FROM (SELECT label, dim, avg(v[dim]) AS m FROM e, (SELECT unnest(range(1, 65)) AS dim) GROUP BY 1, 2) GROUP BY 1)"
-SQL_BM25 = f"""
-q AS (SELECT item_id AS query_id, unnest({sql_tokens('text', '[' + ', '.join(f"'{w}'" for w in STOP) + ']')}) AS token FROM benchmark),
-qt AS (SELECT query_id, token, count(*) AS qtf FROM q GROUP BY 1, 2),
-d AS (SELECT doc_id, {sql_tokens('text', '[' + ', '.join(f"'{w}'" for w in STOP) + ']')} AS toks FROM documents),
-st AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM d),
-p AS (SELECT doc_id, dl, token, count(*) AS tf FROM (SELECT doc_id, len(toks) AS dl, unnest(toks) AS token FROM d) GROUP BY 1, 2, 3),
-df AS (SELECT token, count(*) AS df FROM p GROUP BY 1),
-s AS (SELECT query_id, doc_id AS corpus_id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 9) AS score
-      FROM p JOIN qt USING (token) JOIN df USING (token), st GROUP BY 1, 2),
-bm AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank FROM s)"""
 _STOPS = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
 
 
+def sql_bm25(corpus: str = "documents", key: str = "doc_id", others_only: bool = False) -> str:
+    """CTEs that end in ``bm(query_id, corpus_id, score, rank)``: the benchmark items against a corpus table."""
+    toks = sql_tokens("text", _STOPS)
+    return f"""
+bq AS (SELECT item_id AS query_id, unnest({toks}) AS token FROM benchmark),
+bt AS (SELECT query_id, token, count(*) AS qtf FROM bq GROUP BY 1, 2),
+bd AS (SELECT {key} AS doc_id, {toks} AS toks FROM {corpus}),
+bn AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM bd),
+bp AS (SELECT doc_id, dl, token, count(*) AS tf FROM (SELECT doc_id, len(toks) AS dl, unnest(toks) AS token FROM bd) GROUP BY 1, 2, 3),
+bf AS (SELECT token, count(*) AS df FROM bp GROUP BY 1),
+bs AS (SELECT query_id, doc_id AS corpus_id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 9) AS score
+       FROM bp JOIN bt USING (token) JOIN bf USING (token), bn {"WHERE query_id <> doc_id" if others_only else ""} GROUP BY 1, 2),
+bm AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank FROM bs)"""
+
+
+SQL_BM25 = sql_bm25()
+
+
 def _enc(source: str, id: str) -> str:
     counts = ", ".join(f"len(list_filter(w, lambda x: length(x) % {DIMS} = {i}))::DOUBLE" for i in range(DIMS))
     return f"SELECT {id} AS id, [{counts}] AS v FROM (SELECT {id}, {sql_words('text')} AS w FROM {source})"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def append_metrics(metrics: DataFrame, path: str, epoch: int = -1, steps: int = -1) -> None:
@@ -30,7 +30,9 @@ def cached_embeddings(df: DataFrame, path: str, id: str, encode: Callable[[DataF
     try:
         known = spark.read.parquet(path).select(id)
         missing = df.join(known, id, "left_anti")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         missing = df
     encode(missing).write.mode("append").parquet(path)
     return spark.read.parquet(path).join(df.select(id), id, "left_semi")
