@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from .hashing import hash_int, hash_key
 
-SPACE = r"(?U)[\s\x1c-\x1f]+"
-EDGE_PUNCT = r"^\p{Punct}+|\p{Punct}+$"
+# The characters that count as white space and as (ASCII) punctuation at the edge of a token.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _c(c: Column | str) -> Column:
@@ -21,17 +22,17 @@ def _c(c: Column | str) -> Column:
 
 def words(text: Column | str) -> Column:
     """Whitespace tokens; null and blank texts give an empty array."""
-    parts = F.split(F.coalesce(_c(text), F.lit("")), SPACE)
-    return F.filter(parts, lambda w: w != "")
+    blanked = F.translate(F.coalesce(_c(text), F.lit("")), WHITE, " " * len(WHITE))
+    return F.filter(F.split(blanked, " "), lambda w: w != "")
 
 
 def strip_punctuation(token: Column) -> Column:
-    return F.regexp_replace(token, EDGE_PUNCT, "")
+    return F.trim(token, F.lit(PUNCTUATION))
 
 
 def pooled_key(text: Column | str) -> Column:
     """Trimmed lower-case text: the key under which two texts count as the same."""
-    return F.lower(F.regexp_replace(_c(text), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
+    return F.lower(F.trim(_c(text), F.lit(WHITE)))
 
 
 def without(tokens: Column, stop: Sequence[str]) -> Column:

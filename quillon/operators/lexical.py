@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vectors as V
+from ..session import cut_lineage
+from . import blocks as B
 from .search import top_k
 
 
@@ -99,6 +104,10 @@ def average_word_vectors(
     return pool_tokens(rows.withColumn("weight", F.col("weight") * F.col("tf")), id, "pos", "vector", modes, "weight")
 
 
+BROADCAST_TERMS = 1_000_000  # query words that may be shipped to every task
+WEIGHT_BYTES = 64 << 20  # one dense word x query weight matrix
+
+
 def bm25_search(
     queries: DataFrame,
     corpus: DataFrame,
@@ -108,32 +117,95 @@ def bm25_search(
     stop: Sequence[str] = (),
     id: str = "id",
     text: str = "text",
-    tokens: Column | None = None,
+    broadcast_terms: int = BROADCAST_TERMS,
 ) -> DataFrame:
     """``(query_id, corpus_id, score, rank)`` under BM25 with ``idf = ln(1 + (N - df + .5) / (df + .5))``.
 
-    A repeated query word counts each time. Corpus tokens that no query holds are dropped before anything is shuffled;
-    the length of a text is taken before that.
+    A repeated query word counts each time; texts without a common word are no hits. If the query words are few enough
+    to broadcast (counted first), the corpus is scanned twice - for document counts and for scores - and only top lists
+    are shuffled. Otherwise the words are joined.
     """
     def toks(c):
         return X.search_tokens(c, stop)
 
-    terms = queries.select(F.col(id).alias("query_id"), F.explode(toks(text)).alias("token"))
-    terms = terms.groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("qtf"))
-    docs = corpus.select(F.col(id).alias("corpus_id"), toks(text).alias("toks"))
+    terms = queries.select(F.col(id).cast("bigint").alias("query_id"), F.explode(toks(text)).alias("token"))
+    terms = cut_lineage(terms.groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("qtf")))
+    docs = corpus.select(F.col(id).cast("bigint").alias("corpus_id"), toks(text).alias("toks"))
+    small = terms.limit(broadcast_terms + 1).count() <= broadcast_terms
+    scores = _scan_scores(terms, docs, k, k1, b) if small else _join_scores(terms, docs, k1, b)
+    return top_k(scores, "query_id", "score", "corpus_id", k)
+
+
+def _join_scores(terms: DataFrame, docs: DataFrame, k1: float, b: float) -> DataFrame:
     docs = docs.withColumn("dl", F.size("toks"))
     stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).withColumn("__k", F.lit(1))
-    vocabulary = terms.select("token").distinct()
-    postings = (
+    # Corpus words that no query holds are dropped before the shuffle. The index is read twice, so it is written once.
+    postings = cut_lineage(
         docs.select("corpus_id", "dl", F.explode("toks").alias("token"))
-        .join(vocabulary, "token", "left_semi")
-        .groupBy("corpus_id", "token").agg(F.first("dl").alias("dl"), F.count(F.lit(1)).alias("tf"))
-    )
+        .join(terms.select("token").distinct(), "token", "left_semi")
+        .groupBy("corpus_id", "token").agg(F.first("dl").alias("dl"), F.count(F.lit(1)).alias("tf")))
     df = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn("__k", F.lit(1))
     weighted = df.join(F.broadcast(stats), "__k").select(
         "token", "avgdl", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     wanted = terms.join(weighted, "token")
     tf = F.col("tf")
     part = F.col("qtf") * F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    scores = postings.join(wanted, "token").groupBy("query_id", "corpus_id").agg(F.round(F.sum(part), 9).alias("score"))
-    return top_k(scores, "query_id", "score", "corpus_id", k)
+    # A frequent word is split by the adaptive skew join; partial sums per (query, document) precede the shuffle.
+    return postings.join(wanted, "token").groupBy("query_id", "corpus_id").agg(F.round(F.sum(part), B.SCORE_DECIMALS).alias("score"))
+
+
+def _scan_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    """Partial top lists per task: word weights of the queries are broadcast, every text is scored where it is read."""
+    words = F.broadcast(terms.select("token").distinct())
+    counts = docs.select(F.explode(F.array_distinct("toks")).alias("token")).join(words, "token", "left_semi").groupBy("token").agg(
+        F.count(F.lit(1)).alias("df"))
+    n, total = docs.agg(F.count(F.lit(1)), F.sum(F.size("toks"))).head()
+    avgdl = (total or 0) / n if n else 0.0
+    found = terms.join(counts, "token").select(
+        "query_id", "token", (F.col("qtf") * F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
+    table = found.toPandas()  # at most broadcast_terms rows
+    groups, held, vocabulary = [], [], set()
+    for query, rows in table.groupby("query_id", sort=True):
+        grown = vocabulary | set(rows["token"])
+        if held and 8 * len(grown) * (len(held) + 1) > WEIGHT_BYTES:
+            groups.append(held)
+            held, grown = [], set(rows["token"])
+        held.append((query, rows))
+        vocabulary = grown
+    if held:
+        groups.append(held)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        [(np.array([q for q, _ in g], dtype=np.int64), [(r["token"].tolist(), r["w"].to_numpy()) for _, r in g]) for g in groups])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for at, (ids, rows) in enumerate(shared.value):
+            vocab = pa.array(sorted({t for tokens, _ in rows for t in tokens}))
+            weights = np.zeros((len(vocab), len(ids)))
+            for i, (tokens, w) in enumerate(rows):
+                weights[pc.index_in(pa.array(tokens), value_set=vocab).to_numpy(), i] = w
+            parts.append((B.Block(at, ids, weights), vocab))
+        top = B.TopK(k, "dot", both=False)
+        for batch in batches:
+            toks = batch.column("toks")
+            size = np.diff(toks.offsets.to_numpy())
+            doc = np.repeat(np.arange(len(size)), size)
+            order = np.argsort(batch.column("corpus_id").to_numpy(), kind="stable")
+            ids = batch.column("corpus_id").to_numpy()[order]
+            for part, vocab in parts:
+                at = pc.index_in(toks.flatten(), value_set=vocab)
+                hit = at.is_valid().to_numpy(zero_copy_only=False)
+                key, tf = np.unique(doc[hit].astype(np.int64) * len(vocab) + at.drop_null().to_numpy(), return_counts=True)
+                row, word = key // len(vocab), key % len(vocab)
+                gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * size[row] / avgdl))
+                s = np.full((len(part.ids), len(size)), -np.inf)
+                edges = np.searchsorted(row, np.arange(len(size) + 1))
+                for d in np.unique(row):
+                    lo, hi = edges[d], edges[d + 1]
+                    s[:, d] = gain[lo:hi] @ part.mat[word[lo:hi]]
+                s = np.where(s > 0, np.round(s, B.SCORE_DECIMALS), -np.inf)[:, order]
+                top._merge("l", part, s, ids)
+        for out in top.finish():
+            yield B.to_batch(out, B.arrow_schema(B.HITS))
+
+    return docs.mapInArrow(run, B.HITS)

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
+
+TEXTS = {"documents", "conversations", "pages", "benchmark"}
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:

@@ -42,7 +42,8 @@ def batched(spark, sf):
 def _hard(mode):
     def query(spark, sf):
         out = N.hard_triplets(batched(spark, sf), mode=mode, margin=0.1)
-        return out.select(*[r6(c, c) if t == "double" else F.col(c) for c, t in out.dtypes])
+        # Sums of nine-decimal distances: nine decimals hold them without ties.
+        return out.select(*[F.round(c, 9 if c == "loss" else 6).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
     return query
 
 
@@ -244,7 +245,7 @@ QUERIES = {
         SELECT a AS anchor, p AS positive, round(pd, 6) AS p_dist, coalesce(o, i).n AS negative, round(coalesce(o, i).d, 6) AS n_dist FROM g"""),
     "n03_batch_all": (_hard("all"), f"""
         WITH {BATCH}, j AS (SELECT p.a, p.d - n.d + 0.1 AS l FROM d p JOIN d n ON p.a = n.a WHERE p.same AND NOT n.same), k AS (SELECT a, count(*) AS valid, count(*) FILTER (WHERE l > 0) AS active, coalesce(sum(l) FILTER (WHERE l > 0), 0) AS loss FROM j GROUP BY 1)
-        SELECT vec_id AS anchor, coalesce(valid, 0) AS valid, coalesce(active, 0) AS active, round(coalesce(loss, 0), 6) AS loss FROM embeddings LEFT JOIN k ON a = vec_id"""),
+        SELECT vec_id AS anchor, coalesce(valid, 0) AS valid, coalesce(active, 0) AS active, round(coalesce(loss, 0), 9) AS loss FROM embeddings LEFT JOIN k ON a = vec_id"""),
     "n04_hard_pairs": (n04, f"""
         WITH {PAIRS}, x AS (SELECT id, id // 200 AS batch, same, round(1 - list_cosine_similarity(av, bv), 9) AS d FROM p),
         l AS (SELECT batch, CASE WHEN count(*) FILTER (WHERE same = 1) > 1 THEN max(d) FILTER (WHERE same = 1) ELSE avg(d) FILTER (WHERE same = 0) END AS near,

@@ -47,7 +47,10 @@ def h04(spark, sf):
     model = H.median_imputer(["l_quantity"]).fit(d)
     fill = float(model.surrogateDF.head()["l_quantity"])
     out = model.transform(d).agg(F.count(F.lit(1)).alias("n_rows"), F.count("l_quantity").alias("n_filled"))
-    return out.withColumn("fill", F.lit(fill))
+    q = F.col("l_quantity")
+    share = d.where(q.isNotNull()).agg(F.avg(F.when(q < fill, 1.0).otherwise(0.0)).alias("below"), F.avg(F.when(q <= fill, 1.0).otherwise(0.0)).alias("upto"))
+    out = out.withColumn("k", F.lit(1)).join(F.broadcast(share.withColumn("k", F.lit(1))), "k")
+    return out.select("n_rows", "n_filled", ((F.col("below") <= 0.502) & (F.col("upto") >= 0.498)).alias("is_median"))
 
 
 def indexed(spark, sf):
@@ -113,7 +116,10 @@ QUERIES = {
     "h02_bucketizer": (h02, f"SELECT {K}, CASE WHEN l_quantity < 5 THEN 0 WHEN l_quantity < 10 THEN 1 WHEN l_quantity < 15 THEN 2 WHEN l_quantity < 20 THEN 3 ELSE 4 END::BIGINT AS bucket FROM lineitem"),
     "h03_standard_scaler": (h03, "WITH s AS (SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS d{i}" for i, c in enumerate(NUM)) + f" FROM lineitem) SELECT {K}, "
                             + ", ".join(f"round({c} / d{i}, 6) AS a{i}, round(({c} - m{i}) / d{i}, 6) AS b{i}" for i, c in enumerate(NUM)) + " FROM lineitem, s"),
-    "h04_imputer": (h04, "SELECT count(*) AS n_rows, count(*) AS n_filled, quantile_disc(CASE WHEN l_partkey % 7 <> 0 THEN l_quantity END, 0.5) AS fill FROM lineitem"),
+    "h04_imputer": (h04, """
+        WITH d AS (SELECT CASE WHEN l_partkey % 7 <> 0 THEN l_quantity END AS q FROM lineitem), m AS (SELECT quantile_disc(q, 0.5) AS m FROM d),
+        s AS (SELECT avg((q < m)::INT) AS below, avg((q <= m)::INT) AS upto FROM d, m WHERE q IS NOT NULL)
+        SELECT count(*) AS n_rows, count(coalesce(q, m)) AS n_filled, any_value(below <= 0.502 AND upto >= 0.498) AS is_median FROM d, m, s"""),
     "h05_string_indexer": (h05, f"WITH {ORD} SELECT o_orderkey, idx FROM orders JOIN r ON p = o_orderpriority"),
     "h06_index_to_string": (h06, "SELECT o_orderkey, o_orderpriority, o_orderpriority AS back FROM orders"),
     "h07_one_hot": (h07, f"WITH {ORD} SELECT o_orderkey, " + ", ".join(f"(idx = {i})::BIGINT AS h{i}" for i in range(4)) + " FROM orders JOIN r ON p = o_orderpriority"),

@@ -11,7 +11,7 @@ from ..functions import vectors as V
 from ..operators import features as H
 from ..operators import models as M
 from ..operators import tabular as T
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from .common import embeddings, r6, table
 from .evaluate import pairs
 
@@ -19,7 +19,7 @@ FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 
 def split_lines(spark, sf):
-    d = table(spark, sf, "lineitem").withColumn("rid", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
+    d = spread(table(spark, sf, "lineitem")).withColumn("rid", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
     d = T.hash_split(H.assemble(FEATURES).transform(d).select("rid", "features", F.col("l_extendedprice").alias("y")), "rid", {"train": 0.7, "test": 0.3})
     return d.where("split = 'train'"), d.where("split = 'test'")
 

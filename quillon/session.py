@@ -56,3 +56,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and keeps partition order."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFrame:
+    """Deals a small table to all cores before CPU-heavy work.
+
+    A file with one row group is one task whatever its text costs to process. A table estimated above
+    ``bytes_per_core`` per core has enough tasks of its own and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * bytes_per_core else df
