@@ -146,6 +146,11 @@ def d04(spark, sf):
         "FROM quillon_lineitem GROUP BY l_shipdate HAVING count(*) > 1 ORDER BY n DESC")
 
 
+def a21(spark, sf):
+    table(spark, sf, "orders").createOrReplaceTempView("quillon_orders")
+    return spark.sql("SELECT o_orderstatus, o_orderpriority, count(*) AS n, max(o_totalprice) AS top FROM quillon_orders GROUP BY o_orderstatus, o_orderpriority")
+
+
 def d05(spark, sf):
     return table(spark, sf, "lineitem").agg(F.countDistinct("l_orderkey").alias("orders"), F.countDistinct("l_partkey", "l_suppkey").alias("part_supp"))
 
@@ -265,6 +270,7 @@ DL = "(SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING
 
 
 QUERIES = {
+    "a21_temp_view": (a21, "SELECT o_orderstatus, o_orderpriority, count(*) AS n, max(o_totalprice) AS top FROM orders GROUP BY 1, 2"),
     "b01_select_expressions": (b01, "SELECT o_orderkey, o_custkey + 3 AS key3, o_totalprice + 3 AS price3 FROM orders"),
     "b02_filter": (b02, "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity < 20 AND l_discount >= 0.05"),
     "b03_is_null": (b03, f"SELECT doc_id FROM {DL} WHERE quality IS NULL AND lang IS NOT NULL"),

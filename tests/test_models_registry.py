@@ -76,7 +76,7 @@ def test_entry_and_registry(spark):
     q, s = entry.queries(), entry.oracle_sql()
     assert set(s) <= set(q) and len(q) > 150
     done = {k.split("_")[0].upper() for k in q}
-    wanted = {f"{f}{i:02d}" for f, n in dict(A=20, B=15, C=7, D=13, E=5, F=9, G=13, H=14, I=11, J=20, K=19, M=11, N=25).items() for i in range(1, n + 1)}
+    wanted = {f"{f}{i:02d}" for f, n in dict(A=21, B=15, C=7, D=13, E=5, F=9, G=13, H=14, I=11, J=20, K=19, M=11, N=25).items() for i in range(1, n + 1)}
     assert wanted - done == set()
 
 
