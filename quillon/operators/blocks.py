@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 MAX_BLOCK_ROWS = 4096
+BLOCK_BYTES = 4 << 20
 BLOCKS_PER_GROUP = 16
 BROADCAST_BYTES = 64 << 20  # the most a query side may weigh to be broadcast
 SCORE_DECIMALS = 9  # scores are rounded before ranking, so that ties do not depend on summation order
@@ -28,10 +29,20 @@ SCORE_DECIMALS = 9  # scores are rounded before ranking, so that ties do not dep
 
 @dataclass
 class Block:
+    """Rows of one piece: ids, double matrix, numeric extras, and a single-precision copy made on first use."""
+
     piece: int
     ids: np.ndarray
     mat: np.ndarray
     extra: dict[str, np.ndarray] = field(default_factory=dict)
+    _single: tuple[np.ndarray, float] | None = None
+
+    @property
+    def single(self) -> tuple[np.ndarray, float]:
+        if self._single is None:
+            longest = float(np.sqrt(np.einsum("ij,ij->i", self.mat, self.mat)).max(initial=0.0))
+            self._single = self.mat.astype(np.float32), longest
+        return self._single
 
 
 def prepare(mat: np.ndarray, score: str) -> np.ndarray:
@@ -46,6 +57,36 @@ def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.round(a @ b.T, SCORE_DECIMALS)
 
 
+def rough_scores(a: Block, b: Block) -> tuple[np.ndarray, float]:
+    """Single-precision dot products and a bound on their error."""
+    x, nx = a.single
+    y, ny = b.single
+    return x @ y.T, 4.0 * (x.shape[1] + 2) * 2.0**-24 * nx * ny + 1e-9
+
+
+def pair_scores(a: Block, b: Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Exact scores of chosen pairs, in slices of bounded memory."""
+    out = np.empty(len(i))
+    step = max(1, (8 << 20) // max(a.mat.shape[1], 1))
+    for lo in range(0, len(i), step):
+        out[lo : lo + step] = np.einsum("ij,ij->i", a.mat[i[lo : lo + step]], b.mat[j[lo : lo + step]])
+    return np.round(out, SCORE_DECIMALS)
+
+
+def at_least(a: Block, b: Block, threshold: float) -> np.ndarray:
+    """``score >= threshold`` for all pairs: single precision decides, the unclear pairs are recomputed in double."""
+    rough, tol = rough_scores(a, b)
+    near = rough >= threshold - tol
+    unclear = near ^ (rough >= threshold + tol)
+    n = np.count_nonzero(unclear)
+    if n > unclear.size // 8:
+        return scores(a.mat, b.mat) >= threshold
+    if n:
+        i, j = np.nonzero(unclear)
+        near[i, j] = pair_scores(a, b, i, j) >= threshold
+    return near
+
+
 def list_matrix(column: pa.Array) -> np.ndarray:
     """Arrow list column to a 2-D array; all rows must have the same length."""
     if isinstance(column, pa.ChunkedArray):
@@ -91,9 +132,10 @@ def pack(
         F.col(vector).alias("vec"),
         *[F.col(c).cast("double").alias(n) for n, c in extras.items()],
     )
-    n = wide.count()
+    n, width = wide.agg(F.count(F.lit(1)), F.max(F.size("vec"))).head()
     par = _parallelism(df)
-    per = rows_per_block or max(64, min(MAX_BLOCK_ROWS, math.ceil(n / (4 * par))))
+    most = min(MAX_BLOCK_ROWS, max(64, BLOCK_BYTES // (4 * max(width or 1, 1))))
+    per = rows_per_block or max(64, min(most, math.ceil(n / (2 * par))))
     blocks = max(1, math.ceil(n / per))
     groups = max(1, min(blocks, max(math.ceil(blocks / BLOCKS_PER_GROUP), 2 * par)))
     names = list(extras)
@@ -145,7 +187,8 @@ def pack(
                 if block[lo] != current:
                     seq = 0
                 current = int(block[lo])
-                held.append((ids[lo:hi], mat[lo:hi], [e[lo:hi] for e in ext]))
+                # Copies: Arrow memory of a batch must not be kept.
+                held.append((ids[lo:hi].copy(), mat[lo:hi].copy(), [e[lo:hi].copy() for e in ext]))
         if held:
             yield flush()
 
@@ -157,26 +200,18 @@ def pack(
     return Packed(cut_lineage(packed), blocks, groups, names, n, double)
 
 
-def _decode(row: dict, side: str, names: list[str], np_type) -> Block:
-    ids = np.frombuffer(row[f"{side}_ids"], dtype=np.int64)
-    mat = np.frombuffer(row[f"{side}_mat"], dtype=np_type)
+def _decode(row: dict, names: list[str], np_type) -> Block:
+    ids = np.frombuffer(row["ids"].as_buffer(), dtype=np.int64)
+    mat = np.frombuffer(row["mat"].as_buffer(), dtype=np_type)
     mat = mat.reshape(len(ids), -1) if len(ids) else mat.reshape(0, 0)
-    extra = {n: np.frombuffer(row[f"{side}_{n}"], dtype=np.float64) for n in names}
-    return Block(row[f"{side}_piece"], ids, mat, extra)
-
+    return Block(row["piece"].as_py(), ids, mat, {n: np.frombuffer(row[n].as_buffer(), dtype=np.float64) for n in names})
 
-def _side(p: Packed, side: str, key) -> DataFrame:
-    cols = ["piece", "ids", "mat", *p.extras]
-    return p.data.select(key.alias("key"), F.col("grp").alias(f"{side}_grp"), *[F.col(c).alias(f"{side}_{c}") for c in cols])
 
+def product(left: Packed, right: Packed | None, kernel: Callable[[], "Kernel"], schema: T.StructType) -> DataFrame:
+    """Runs ``kernel`` over every pair of pieces; with ``right=None`` over every unordered pair of ``left``.
 
-def product(
-    left: Packed,
-    right: Packed | None,
-    kernel: Callable[[], "Kernel"],
-    schema: T.StructType,
-) -> DataFrame:
-    """Runs ``kernel`` over every pair of pieces; with ``right=None`` over every unordered pair of ``left``."""
+    One shuffle brings to each group its own pieces (held, a few blocks) and the pieces it has to meet (streamed past).
+    """
     par = _parallelism(left.data)
     own = right is None
     other = left if own else right
@@ -189,12 +224,16 @@ def product(
         key = F.explode(F.transform(steps, lambda s: F.pmod(F.col("grp") + s, F.lit(g)).cast("int")))
     else:
         key = F.explode(F.sequence(F.lit(0), F.lit(other.groups - 1)))
-    parts = max(1, min(other.groups, 200_000)) if other.groups > 4 * par else other.groups
-    lhs = _side(left, "l", key).repartition(parts, "key")
-    rhs = _side(other, "r", F.col("grp")).repartition(parts, "key")
-    pairs = lhs.join(rhs, "key")
-    if own:
-        pairs = pairs.where((F.col("l_grp") != F.col("r_grp")) | (F.col("l_piece") <= F.col("r_piece")))
+    # Few groups get spare partitions, so that no two of them share one by hash.
+    parts = other.groups if other.groups > 8 * par else 4 * other.groups
+    names = sorted({*left.extras, *other.extras})
+
+    def side(p: Packed, where, streamed: bool) -> DataFrame:
+        extra = [(F.col(n) if n in p.extras else F.lit(None).cast("binary")).alias(n) for n in names]
+        return p.data.select(where.alias("key"), F.lit(streamed).alias("streamed"), "grp", "piece", "ids", "mat", *extra)
+
+    both = side(other, F.col("grp"), False).unionByName(side(left, key, True))
+    both = both.repartition(parts, "key").sortWithinPartitions("key", "streamed", "piece")
     l_names, r_names = left.extras, other.extras
     lt = np.float64 if left.double else np.float32
     rt = np.float64 if other.double else np.float32
@@ -202,38 +241,36 @@ def product(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = kernel()
-        cache: dict[tuple[str, int], Block] = {}
-        group = None
+        held: list[tuple[int, Block]] = []
+        at = None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i] for n in batch.schema.names}
-                keynow, lp, rp = row["key"].as_py(), row["l_piece"].as_py(), row["r_piece"].as_py()
-                if keynow != group:
+                group = row["grp"].as_py()
+                if row["key"].as_py() != at:
                     for out in k.finish():
                         yield to_batch(out, arrow)
-                    cache.clear()
-                    group = keynow
-                same = own and lp == rp
-                if ("l", lp) not in cache:
-                    for old in [c for c in cache if c[0] == "l"]:
-                        for out in k.leave(cache.pop(old)):
-                            yield to_batch(out, arrow)
-                    cache["l", lp] = k.load(_decode(_buffers(row, "l", l_names), "l", l_names, lt))
-                if not same and ("r", rp) not in cache:
-                    cache["r", rp] = k.load(_decode(_buffers(row, "r", r_names), "r", r_names, rt))
-                for out in k.pair(cache["l", lp], cache["l", lp] if same else cache["r", rp], same):
+                    held, at = [], row["key"].as_py()
+                if not row["streamed"].as_py():
+                    held.append((group, k.load(_decode(row, r_names, rt))))
+                    continue
+                mine = None
+                for g, block in held:
+                    if own and g == group and row["piece"].as_py() == block.piece:
+                        mine = block
+                if mine is None:
+                    mine = k.load(_decode(row, l_names, lt))
+                for g, block in held:
+                    if own and g == group and mine.piece > block.piece:
+                        continue
+                    for out in k.pair(mine, block, block is mine):
+                        yield to_batch(out, arrow)
+                for out in k.leave(mine):
                     yield to_batch(out, arrow)
         for out in k.finish():
             yield to_batch(out, arrow)
 
-    return pairs.mapInArrow(run, schema)
-
-
-def _buffers(row: dict, side: str, names: list[str]) -> dict:
-    out = {f"{side}_piece": row[f"{side}_piece"].as_py()}
-    for n in ["ids", "mat", *names]:
-        out[f"{side}_{n}"] = row[f"{side}_{n}"].as_buffer()
-    return out
+    return both.mapInArrow(run, schema)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:
@@ -285,40 +322,65 @@ def best_columns(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np
     return np.take_along_axis(s, cols, 1), ids[cols]
 
 
+class Best:
+    """Flat top-k lists of the rows of one block: sorted by row, score descending, id ascending."""
+
+    def __init__(self, rows: int, k: int):
+        self.k = k
+        self.row, self.score, self.id = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        self.floor = np.full(rows, -np.inf)  # score of the k-th entry, where there is one
+
+    def add(self, row, score, id) -> None:
+        row, score, id = np.concatenate([self.row, row]), np.concatenate([self.score, score]), np.concatenate([self.id, id])
+        order = np.lexsort((id, -score, row))
+        row, score, id = row[order], score[order], id[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        keep = place < self.k
+        last = place == self.k - 1
+        self.floor[row[last]] = score[last]
+        self.row, self.score, self.id = row[keep], score[keep], id[keep]
+
+
 class TopK(Kernel):
-    """Running top-k of each row; a block's list is emitted once, when the block leaves the task."""
+    """Running top-k of each row; a block's list is emitted once, when the block leaves the task.
+
+    Single-precision scores pick the candidates that can still enter a list; these are scored in double.
+    """
 
     def __init__(self, k: int, score: str, both: bool):
         self.k, self.score, self.both = k, score, both
-        self.held: dict[tuple[str, int], tuple[Block, np.ndarray, np.ndarray]] = {}
+        self.held: dict[tuple[str, int], tuple[Block, Best]] = {}
 
     def load(self, block):
         return Block(block.piece, block.ids, prepare(block.mat, self.score), block.extra)
 
-    def _merge(self, side: str, rows: Block, s: np.ndarray, ids: np.ndarray):
-        top, who = best_columns(s, ids, self.k)
-        old = self.held.get((side, rows.piece))
-        if old is not None:
-            top, who = np.hstack([old[1], top]), np.hstack([old[2], who])
-            if top.shape[1] > self.k:
-                order = np.lexsort((who, -top), axis=1)[:, : self.k]
-                top, who = np.take_along_axis(top, order, 1), np.take_along_axis(who, order, 1)
-        self.held[side, rows.piece] = (rows, top, who)
+    def best(self, side: str, rows: Block) -> Best:
+        if (side, rows.piece) not in self.held:
+            self.held[side, rows.piece] = (rows, Best(len(rows.ids), self.k))
+        return self.held[side, rows.piece][1]
+
+    def merge(self, side: str, rows: Block, cols: Block, rough: np.ndarray, tol: float) -> None:
+        best = self.best(side, rows)
+        floor = best.floor - tol
+        fresh = ~np.isfinite(floor)
+        if fresh.any() and rough.shape[1] > self.k:
+            part = np.partition(rough[fresh], rough.shape[1] - self.k, axis=1)[:, rough.shape[1] - self.k]
+            floor[fresh] = part - 2 * tol
+        i, j = np.nonzero((rough >= floor[:, None]) & (rough > -np.inf))
+        best.add(i, pair_scores(rows, cols, i, j), cols.ids[j])
 
     def pair(self, left, right, same):
-        s = scores(left.mat, right.mat)
+        rough, tol = rough_scores(left, right)
         if same and self.both:
-            s[left.ids[:, None] == right.ids[None, :]] = -np.inf
-        self._merge("l", left, s, right.ids)
+            rough[left.ids[:, None] == right.ids[None, :]] = -np.inf
+        self.merge("l", left, right, rough, tol)
         if self.both and not same:
-            self._merge("r", right, s.T, left.ids)
+            self.merge("r", right, left, rough.T, tol)
         return ()
 
     def _emit(self, key):
-        rows, top, who = self.held.pop(key)
-        keep = np.isfinite(top)
-        qid = np.repeat(rows.ids, keep.sum(1))
-        return [qid, who[keep], top[keep]]
+        rows, best = self.held.pop(key)
+        return [rows.ids[best.row], best.id, best.score]
 
     def leave(self, block):
         return [self._emit(("l", block.piece))] if ("l", block.piece) in self.held else []
@@ -362,13 +424,12 @@ def broadcast_topk(
                 continue
             ids = batch.column("id").to_numpy()
             mat = prepare(list_matrix(batch.column("vec")), score)
-            order = np.argsort(ids, kind="stable")
-            ids, mat = ids[order], mat[order]
+            cols = Block(0, ids, mat)
             for part in parts:
-                s = scores(part.mat, mat)
+                rough, tol = rough_scores(part, cols)
                 if exclude_self:
-                    s[part.ids[:, None] == ids[None, :]] = -np.inf
-                top._merge("l", part, s, ids)
+                    rough[part.ids[:, None] == ids[None, :]] = -np.inf
+                top.merge("l", part, cols, rough, tol)
         for out in top.finish():
             yield to_batch(out, arrow)
 

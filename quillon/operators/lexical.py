@@ -190,8 +190,7 @@ def _scan_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float)
             toks = batch.column("toks")
             size = np.diff(toks.offsets.to_numpy())
             doc = np.repeat(np.arange(len(size)), size)
-            order = np.argsort(batch.column("corpus_id").to_numpy(), kind="stable")
-            ids = batch.column("corpus_id").to_numpy()[order]
+            ids = batch.column("corpus_id").to_numpy()
             for part, vocab in parts:
                 at = pc.index_in(toks.flatten(), value_set=vocab)
                 hit = at.is_valid().to_numpy(zero_copy_only=False)
@@ -203,8 +202,10 @@ def _scan_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float)
                 for d in np.unique(row):
                     lo, hi = edges[d], edges[d + 1]
                     s[:, d] = gain[lo:hi] @ part.mat[word[lo:hi]]
-                s = np.where(s > 0, np.round(s, B.SCORE_DECIMALS), -np.inf)[:, order]
-                top._merge("l", part, s, ids)
+                best = top.best("l", part)
+                s = np.round(s, B.SCORE_DECIMALS)
+                i, j = np.nonzero((s > 0) & (s >= best.floor[:, None]))
+                best.add(i, s[i, j], ids[j])
         for out in top.finish():
             yield B.to_batch(out, B.arrow_schema(B.HITS))
 

@@ -442,12 +442,11 @@ def similarity_join(emb: DataFrame, threshold: float, id: str = "id", vector: st
             return B.Block(block.piece, block.ids, B.prepare(block.mat, "cos"), block.extra)
 
         def pair(self, l, r, same):
-            s = B.scores(l.mat, r.mat)
-            keep = s >= threshold
+            keep = B.at_least(l, r, threshold)
             if same:
                 keep &= l.ids[:, None] < r.ids[None, :]
             i, j = np.nonzero(keep)
             a, b = l.ids[i], r.ids[j]
-            yield [np.minimum(a, b), np.maximum(a, b), s[i, j]]
+            yield [np.minimum(a, b), np.maximum(a, b), B.pair_scores(l, r, i, j)]
 
     return B.product(B.pack(emb, id, vector), None, Above, schema)
