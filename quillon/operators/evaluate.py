@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from . import blocks as B
 from .graph import in_closure, transitive_closure
-from .prefix import running
+from .prefix import join_groups, running
 from .search import semantic_search, top_k
 from .tabular import correlations
 
@@ -38,7 +38,7 @@ def embedding_similarity(
     pick = F.max("spearman") if main is None else F.max(F.when(F.col("metric") == main, F.col("spearman")))
     best = out.groupBy(*by).agg(pick.alias("main"))
     if by:
-        return out.join(best, list(by))
+        return join_groups(out, best, by)
     return out.withColumn("__k", F.lit(1)).join(F.broadcast(best.withColumn("__k", F.lit(1))), "__k").drop("__k")
 
 
@@ -55,13 +55,13 @@ def _sweep(df: DataFrame, score: str, label: str, order: str, by: Sequence[str])
     keyed, keys = _grouped(df.select(*by, F.col(score).alias("s"), F.col(label).cast("double").alias("y"), F.col(order).alias("rid")), by)
     run = running(keyed, [F.col("s").desc(), F.col("rid").asc()], {"hits": F.col("y")}, by=keys)
     totals = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives"))
-    return run.join(totals, keys), keys
+    return join_groups(run, totals, keys), keys
 
 
 def _with_threshold(run: DataFrame, best: DataFrame, keys: list[str], default: float) -> DataFrame:
     """Adds the midpoint between the best row's score and the next one's."""
     nxt = run.select(*keys, (F.col("position") - 1).alias("at"), F.col("s").alias("s_next"))
-    out = best.join(nxt, [*keys, "at"], "left")
+    out = join_groups(best, nxt, [*keys, "at"], "left")
     return out.withColumn("threshold", F.when(F.col("at").isNull(), F.lit(default)).otherwise((F.col("s") + F.col("s_next")) / 2))
 
 
@@ -140,13 +140,13 @@ def binary_classification_report(
     run, keys = _sweep(long, "s", "y", id, groups)
     acc = _accuracy(run, keys).withColumnRenamed("threshold", "accuracy_threshold")
     f1 = _f1(run, keys).withColumnRenamed("threshold", "f1_threshold")
-    out = acc.join(f1, keys).join(average_precision(long, "s", "y", groups), keys)
+    out = join_groups(join_groups(acc, f1, keys), average_precision(long, "s", "y", groups), keys)
     distance = F.col("metric").isin("euclidean", "manhattan")
     for c, v in (("accuracy_threshold", "accuracy"), ("f1_threshold", "f1")):
         out = out.withColumn(c, F.when(distance & (F.col(v) > 0), -F.col(c)).otherwise(F.col(c)))
     best = out.groupBy(*by).agg(F.max("ap").alias("main")) if by else out.agg(F.max("ap").alias("main"))
     if by:
-        return out.join(best, list(by))
+        return join_groups(out, best, by)
     return out.withColumn("__k", F.lit(1)).join(F.broadcast(best.withColumn("__k", F.lit(1))), "__k").drop("__k")
 
 

@@ -8,6 +8,7 @@ through the driver. The full sort key includes the row id, so a value shared by
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -136,6 +137,13 @@ def running(
     return staged.mapInPandas(scan, out_schema)
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group columns in which null is a value of its own, so that rows of a null group are not lost."""
+    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def global_row_number(
     df: DataFrame, order: Sequence[Column], name: str = "position", by: Sequence[str] = ()
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_int, hash_key
-from .prefix import average_ranks, first_n, global_row_number
+from .prefix import average_ranks, first_n, global_row_number, join_groups
 
 
 def ratio(a: str, b: str) -> Column:
@@ -101,7 +101,7 @@ def weighted_pearson(df: DataFrame, x: str, y: str, weight: str | None = None, b
         (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mx"), (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("my")
     )
     if by:
-        centred = rows.join(means, list(by))
+        centred = join_groups(rows, means, by)
     else:
         centred = rows.withColumn("__one", F.lit(1)).join(F.broadcast(means.withColumn("__one", F.lit(1))), "__one")
     dx, dy = F.col("x") - F.col("mx"), F.col("y") - F.col("my")
@@ -136,8 +136,8 @@ def rank_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
     ])).alias("m")).select("rid", *by, "m.metric", "m.value")
     ranks = average_ranks(long, "value", [*by, "metric"])
-    # Null-safe keys; a value shared by very many rows is split by the adaptive skew join.
-    return long.join(ranks.drop("n"), [*by, "metric", "value"])
+    # A value shared by very many rows is split by the adaptive skew join.
+    return join_groups(long, ranks.drop("n"), [*by, "metric", "value"])
 
 
 def correlations(df: DataFrame, gold: str, columns: Sequence[str], id: str, by: Sequence[str] = ()) -> DataFrame:
@@ -208,7 +208,7 @@ def dev_split(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) ->
     key = F.struct(*order)
     cut = cap_per_key(df.select(*by, *order), by, [F.col(o).asc() for o in order], n)
     cut = cut.groupBy(*by).agg(F.max(key).alias("__last"))
-    return df.join(cut, list(by)).withColumn(
+    return join_groups(df, cut, by).withColumn(
         "split", F.when(key <= F.col("__last"), F.lit("dev")).otherwise(F.lit("train"))
     ).drop("__last")
 

@@ -168,3 +168,14 @@ def test_score_line_alignment(spark):
     system = ["4.5 a", "9.9 dropped", "1.5 b", "#note", "2.5 c"]
     table = lambda ls: spark.createDataFrame([(i, v) for i, v in enumerate(ls, 1)], "line bigint, value string")
     assert rows(T.score_lines(table(gold), table(system))) == [(1, 5.0, 4.5, True), (2, 1.0, 1.5, True), (3, 7.0, 2.5, False)]
+
+
+def test_rows_of_a_null_group_are_kept(spark, rng):
+    data = [(i, [None, "a"][i % 2], float(i % 7), float((i * 5) % 11), int(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(data, "id bigint, g string, s double, t double, y bigint")
+    assert {r["g"] for r in E.best_f1_threshold(df, "s", "y", "id", by=["g"]).collect()} == {None, "a"}
+    both = {r["g"]: r["spearman"] for r in E.correlation_report(df, "s", "t", "id", ["g"]).collect()}
+    assert both[None] == pytest.approx(T.spearman(df.where("g IS NULL"), "s", "t", "id").head()[0])
+    split = T.dev_split(df, ["g"], ["id"], 5)
+    assert split.count() == 60 and split.where("split = 'dev' AND g IS NULL").count() == 5
+    assert T.weighted_pearson(df, "s", "t", "id", ["g"]).count() == 2
