@@ -24,6 +24,7 @@ MAX_BLOCK_ROWS = 4096
 BLOCK_BYTES = 4 << 20
 BLOCKS_PER_GROUP = 16
 BROADCAST_BYTES = 64 << 20  # the most a query side may weigh to be broadcast
+BROADCAST_HITS = 200_000  # the most hits a task of a broadcast search may emit
 SCORE_DECIMALS = 9  # scores are rounded before ranking, so that ties do not depend on summation order
 
 
@@ -366,7 +367,16 @@ class TopK(Kernel):
         if fresh.any() and rough.shape[1] > self.k:
             part = np.partition(rough[fresh], rough.shape[1] - self.k, axis=1)[:, rough.shape[1] - self.k]
             floor[fresh] = part - 2 * tol
-        i, j = np.nonzero((rough >= floor[:, None]) & (rough > -np.inf))
+        wanted = (rough >= floor[:, None]) & (rough > -np.inf)
+        if np.count_nonzero(wanted) > max(8 * self.k * len(rows.ids), wanted.size // 16):
+            # Many equal scores (copies): rank the whole block in double, keep k per row.
+            order = np.argsort(cols.ids, kind="stable")
+            exact = np.where(rough > -np.inf, scores(rows.mat, cols.mat), -np.inf)[:, order]
+            top, who = best_columns(exact, cols.ids[order], self.k)
+            i, at = np.nonzero(top > -np.inf)
+            best.add(i, top[i, at], who[i, at])
+            return
+        i, j = np.nonzero(wanted)
         best.add(i, pair_scores(rows, cols, i, j), cols.ids[j])
 
     def pair(self, left, right, same):
@@ -395,7 +405,8 @@ def small_matrix(df: DataFrame, id: str, vector: str, k: int) -> tuple[np.ndarra
     head = usable.select(F.size(vector)).head()
     if head is None:
         return np.zeros(0, dtype=np.int64), np.zeros((0, 0))
-    limit = max(1, min(BROADCAST_BYTES // (8 * max(head[0], 1)), 4_000_000 // max(k, 1)))
+    # Each task emits up to k hits per query, so their number is bounded as well as the bytes.
+    limit = max(1, min(BROADCAST_BYTES // (8 * max(head[0], 1)), BROADCAST_HITS // max(k, 1)))
     if usable.select(id).limit(limit + 1).count() > limit:
         return None
     table = usable.select(F.col(id).cast("bigint").alias("id"), F.col(vector).alias("vec")).toArrow()

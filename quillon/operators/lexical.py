@@ -154,16 +154,40 @@ def _join_scores(terms: DataFrame, docs: DataFrame, k1: float, b: float) -> Data
     return postings.join(wanted, "token").groupBy("query_id", "corpus_id").agg(F.round(F.sum(part), B.SCORE_DECIMALS).alias("score"))
 
 
+def _word_counts(toks: pa.ListArray, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, listed word) pairs as ``text * len(vocab) + word``, how often each occurs, and the text lengths."""
+    size = np.diff(toks.offsets.to_numpy())
+    at = pc.index_in(toks.flatten(), value_set=vocab)
+    hit = at.is_valid().to_numpy(zero_copy_only=False)
+    text = np.repeat(np.arange(len(size), dtype=np.int64), size)[hit]
+    key, n = np.unique(text * len(vocab) + at.drop_null().to_numpy(), return_counts=True)
+    return key, n, size
+
+
 def _scan_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float) -> DataFrame:
     """Partial top lists per task: word weights of the queries are broadcast, every text is scored where it is read."""
-    words = F.broadcast(terms.select("token").distinct())
-    counts = docs.select(F.explode(F.array_distinct("toks")).alias("token")).join(words, "token", "left_semi").groupBy("token").agg(
-        F.count(F.lit(1)).alias("df"))
-    n, total = docs.agg(F.count(F.lit(1)), F.sum(F.size("toks"))).head()
-    avgdl = (total or 0) / n if n else 0.0
-    found = terms.join(counts, "token").select(
-        "query_id", "token", (F.col("qtf") * F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("w"))
-    table = found.toPandas()  # at most broadcast_terms rows
+    spark = docs.sparkSession
+    vocab = pa.array(sorted(r[0] for r in terms.select("token").distinct().toLocalIterator()), pa.string())
+    words = spark.sparkContext.broadcast(vocab)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, df = 0, 0, np.zeros(len(words.value), dtype=np.int64)
+        for batch in batches:
+            key, _, size = _word_counts(batch.column("toks"), words.value)
+            df += np.bincount(key % max(len(df), 1), minlength=len(df)) if len(df) else 0
+            n, total = n + len(size), total + int(size.sum())
+        seen = np.flatnonzero(df)
+        # Entries -1 and -2 carry the number of texts and of words.
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, -2, seen]), pa.array(np.r_[n, total, df[seen]])], names=["word", "n"])
+
+    counts = docs.select("toks").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    counts = dict(zip(counts["word"], counts["n"]))  # at most broadcast_terms + 2 entries
+    n, total = counts.pop(-1, 0), counts.pop(-2, 0)
+    avgdl = total / n if n else 0.0
+    idf = {vocab[int(w)].as_py(): float(np.log(1 + (n - df + 0.5) / (df + 0.5))) for w, df in counts.items()}
+    table = terms.toPandas()
+    table = table[table["token"].isin(idf)]
+    table["w"] = table["qtf"] * table["token"].map(idf)
     groups, held, vocabulary = [], [], set()
     for query, rows in table.groupby("query_id", sort=True):
         grown = vocabulary | set(rows["token"])
@@ -174,7 +198,7 @@ def _scan_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float)
         vocabulary = grown
     if held:
         groups.append(held)
-    shared = docs.sparkSession.sparkContext.broadcast(
+    shared = spark.sparkContext.broadcast(
         [(np.array([q for q, _ in g], dtype=np.int64), [(r["token"].tolist(), r["w"].to_numpy()) for _, r in g]) for g in groups])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,14 +211,9 @@ def _scan_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float)
             parts.append((B.Block(at, ids, weights), vocab))
         top = B.TopK(k, "dot", both=False)
         for batch in batches:
-            toks = batch.column("toks")
-            size = np.diff(toks.offsets.to_numpy())
-            doc = np.repeat(np.arange(len(size)), size)
             ids = batch.column("corpus_id").to_numpy()
             for part, vocab in parts:
-                at = pc.index_in(toks.flatten(), value_set=vocab)
-                hit = at.is_valid().to_numpy(zero_copy_only=False)
-                key, tf = np.unique(doc[hit].astype(np.int64) * len(vocab) + at.drop_null().to_numpy(), return_counts=True)
+                key, tf, size = _word_counts(batch.column("toks"), vocab)
                 row, word = key // len(vocab), key % len(vocab)
                 gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * size[row] / avgdl))
                 s = np.full((len(part.ids), len(size)), -np.inf)
