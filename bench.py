@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from quillon.operators import graph as G
 from quillon.plans import registry
-from quillon.session import session
+from quillon.session import scratch_path, session
 
 HEADLINE = [
     "d03_group_by", "d04_sql_view", "d08_correlation_matrix", "d10_spearman", "c02_lookup_join", "e01_top_k", "f03_random_split",
-    "g05_search_tokens", "g08_passage_windows", "h12_bag_of_words", "h14_word_vector_sentences", "h11_nested_pipeline",
+    "g05_search_tokens", "g08_passage_windows", "h12_bag_of_words", "h14_word_vector_sentences", "h11_nested_stages",
     "j01_semantic_search", "j01_semantic_search_blocks", "j02_paraphrase_mining", "j04_community_detection",
     "j06_threshold_clusters", "j07_ivf_search", "j10_bm25_search", "j14_margin_bitext", "j15_lexrank", "j16_transitive_closure",
     "k01_embedding_similarity", "k05_binary_report", "k06_information_retrieval", "k09_mining_evaluation",
@@ -59,7 +59,7 @@ def main() -> None:
     for name in HEADLINE:
         times[name] = median(lambda: registered[name][0](spark, sf))
     if rows:
-        path = os.path.join(spark.conf.get("spark.checkpoint.dir", None) or "/tmp", f"bench-{os.getpid()}-{rows}")
+        path = scratch_path(spark, f"bench-{rows}")
         noisy_copies(spark, sf, rows).repartition(int(cpus)).write.parquet(path)
         emb = spark.read.parquet(path)
         times[f"community_detection_{rows}"] = median(lambda: G.community_detection(emb, 0.75, 25))

@@ -12,7 +12,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from .evaluate import label_accuracy

@@ -319,6 +319,22 @@ def encode(
     return df.sortWithinPartitions(F.length(text).desc_nulls_last()).mapInPandas(run, schema)
 
 
+def encode_distinct(
+    df: DataFrame, text: str, make_encoder: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32, normalize: bool = False,
+    output: str = "embedding",
+) -> DataFrame:
+    """Like :func:`encode`, but the model sees every distinct text once. The joins move 32-byte digests, not texts."""
+    keyed = df.withColumn("__d", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
+    once = keyed.groupBy("__d").agg(F.first(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
+    return keyed.join(encode(once, "__t", make_encoder, batch_size, normalize, output).drop("__t"), "__d").drop("__d")
+
+
+def nested_hits(hits: DataFrame) -> DataFrame:
+    """``(query_id, hits)``: a query's list in rank order as one value of at most k entries."""
+    entry = F.struct("rank", "corpus_id", "score")
+    return hits.groupBy("query_id").agg(F.array_sort(F.collect_list(entry)).alias("hits"))
+
+
 def encode_tokens(
     df: DataFrame, id: str, text: str, make_encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]],
     batch_size: int = 32,

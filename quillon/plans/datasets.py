@@ -304,7 +304,15 @@ QUERIES = {
         WITH l AS (SELECT a.lang AS sl, b.lang AS tl, a.doc_id, a.text AS s, b.text AS t FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 WHERE a.lang = 'en' AND b.lang IN ('de', 'fr', 'es')),
         f AS (SELECT sl, tl, s, row_number() OVER (PARTITION BY sl, tl ORDER BY min(doc_id)) AS n FROM l GROUP BY sl, tl, s)
         SELECT sl AS src_lang, tl AS trg_lang, CASE WHEN n <= 20 THEN 'dev' ELSE 'train' END AS split, md5(s) AS src, md5(t) AS trg FROM l JOIN f USING (sl, tl, s)"""),
-    "n17_parallel_scored": (n17, None),
+    "n17_parallel_scored": (n17, """
+        WITH d AS (SELECT doc_id AS o, 1.0 + (n_chars % 100) / 500.0 AS score, source || '-' || (doc_id % 7) AS t, lang || '-' || (doc_id % 50) AS s FROM documents),
+        c AS (SELECT * FROM d WHERE score >= 1.075 AND s <> t),
+        w AS (SELECT list_reduce(list({'o': o, 's': s, 't': t, 'dev': []::BIGINT[], 'used': []::VARCHAR[]} ORDER BY o),
+                lambda a, x: CASE WHEN len(a.dev) = 5 OR list_has_any(a.used, [x.s, x.t]) THEN a
+                             ELSE {'o': NULL::BIGINT, 's': NULL::VARCHAR, 't': NULL::VARCHAR, 'dev': list_append(a.dev, x.o), 'used': list_concat(a.used, [x.s, x.t])} END,
+                {'o': NULL::BIGINT, 's': NULL::VARCHAR, 't': NULL::VARCHAR, 'dev': []::BIGINT[], 'used': []::VARCHAR[]}) AS r FROM c)
+        SELECT o AS "order", s AS src_text, t AS trg_text, CASE WHEN list_contains(r.dev, o) THEN 'dev' ELSE 'train' END AS split
+        FROM c, w WHERE list_contains(r.dev, o) OR NOT list_has_any(r.used, [s, t])"""),
     "n18_translation_groups": (n18, "SELECT DISTINCT source, unnest([source, lang, source || '/' || lang]) AS sentence FROM documents"),
     "n19_no_duplicate_batches": (n19, None),
     "n20_label_batches": (n20, f"""

@@ -74,6 +74,12 @@ def ivf(spark, sf):
     return S.ivf_search(emb, emb, 10, 3, 10, seed=1).select("query_id", "corpus_id", "rank", r6("score", "score"))
 
 
+def ivf_all(spark, sf):
+    """With every list probed the search is exact."""
+    emb = embeddings(spark, sf)
+    return S.ivf_search(emb, emb, 6, 6, 10, seed=1, chunk_rows=300).select("query_id", "corpus_id", "rank", r6("score", "score"))
+
+
 def lsh(spark, sf):
     emb = embeddings(spark, sf)
     return S.lsh_search(emb, emb, 10, tables=8, bits=6).select("query_id", "corpus_id", "rank", r6("score", "score"))
@@ -258,6 +264,21 @@ gs AS (SELECT g.src, g.trg, round(cos / ((fm + bm) / 2), 9) AS score FROM g JOIN
 u AS (SELECT src, trg, score FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, trg) AS r FROM fs) WHERE r = 1
       UNION SELECT src, trg, score FROM (SELECT *, row_number() OVER (PARTITION BY trg ORDER BY score DESC, src) AS r FROM gs) WHERE r = 1)"""
 
+# Greedy rules as a fold over the ordered candidates.
+SQL_COMMUNITIES = f"""
+WITH {SQL_EMB}, n AS (SELECT a.vec_id AS c, b.vec_id AS m, {COS} AS score FROM e a, e b WHERE {COS} >= 0.35),
+g AS (SELECT c, list(m) AS m, count(*) AS size FROM n GROUP BY c HAVING count(*) >= 5),
+w AS (SELECT unnest(list_reduce(list({{'c': c, 'm': m, 'used': []::BIGINT[], 'won': []::BIGINT[]}} ORDER BY size DESC, c),
+        lambda a, x: CASE WHEN list_has_any(a.used, x.m) THEN a ELSE {{'c': NULL::BIGINT, 'm': NULL::BIGINT[], 'used': list_concat(a.used, x.m), 'won': list_append(a.won, x.c)}} END,
+        {{'c': NULL::BIGINT, 'm': NULL::BIGINT[], 'used': []::BIGINT[], 'won': []::BIGINT[]}}).won) AS c FROM g)
+SELECT c AS community_id, m AS member_id, c = m AS is_center, round(score, 6) AS score FROM w JOIN n USING (c)"""
+SQL_BITEXT = f"""
+WITH {SQL_EMB}, {MARGIN},
+w AS (SELECT list_reduce(list({{'s': src, 't': trg, 'us': []::BIGINT[], 'ut': []::BIGINT[]}} ORDER BY score DESC, src, trg),
+        lambda a, x: CASE WHEN list_contains(a.us, x.s) OR list_contains(a.ut, x.t) THEN a ELSE {{'s': NULL::BIGINT, 't': NULL::BIGINT, 'us': list_append(a.us, x.s), 'ut': list_append(a.ut, x.t)}} END,
+        {{'s': NULL::BIGINT, 't': NULL::BIGINT, 'us': []::BIGINT[], 'ut': []::BIGINT[]}}) AS r FROM u WHERE score >= 1.0)
+SELECT src, trg, round(score, 6) AS score FROM (SELECT unnest(r.us) AS src, unnest(r.ut) AS trg FROM w) JOIN u USING (src, trg)"""
+
 QUERIES = {
     "c06_theta_join": (theta_join, f"WITH {SQL_EMB}, {CENTRES} SELECT c.id AS label, e.vec_id AS id, round(list_inner_product(c.v, e.v), 6) AS score FROM c, e WHERE round(list_inner_product(c.v, e.v), 9) > 0.02"),
     "c07_similarity_join": (similarity_join, f"WITH {SQL_EMB} SELECT a.vec_id AS id1, b.vec_id AS id2, round({COS}, 6) AS score FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE {COS} >= 0.4"),
@@ -267,7 +288,7 @@ QUERIES = {
     "j01_semantic_search_blocks": (semantic_search_dot, SQL_SEARCH.format(score="round(list_inner_product(a.v, b.v), 9)", k=5)),
     "j02_paraphrase_mining": (paraphrase_mining, SQL_MINING.format(k=5, tail="p")),
     "j03_near_duplicates": (near_duplicates, SQL_MINING.format(k=3, tail="(SELECT * FROM p ORDER BY score DESC, id1, id2 LIMIT 20000) WHERE score < 0.5")),
-    "j04_community_detection": (community_detection, None),
+    "j04_community_detection": (community_detection, SQL_COMMUNITIES),
     "j05_kmeans": (kmeans, None),
     "j06_threshold_clusters": (threshold_clusters, f"""
         WITH RECURSIVE {SQL_EMB},
@@ -275,6 +296,7 @@ QUERIES = {
         reach AS (SELECT vec_id AS node, vec_id AS root FROM e UNION SELECT ed.b, reach.root FROM reach JOIN ed ON ed.a = reach.node)
         SELECT node AS id, min(root) AS cluster FROM reach GROUP BY 1"""),
     "j07_ivf_search": (ivf, None),
+    "j07_ivf_all_probes": (ivf_all, SQL_SEARCH.format(score=COS, k=10).replace(" WHERE a.vec_id <> b.vec_id", "")),
     "j08_lsh_search": (lsh, None),
     "j09_ann_recall": (ann_recall, f"""
         WITH {SQL_EMB},
@@ -296,7 +318,7 @@ QUERIES = {
         SELECT 'bm25' AS system, query_id, corpus_id, rank, round(score, 6) AS score FROM bm WHERE rank <= 5
         UNION ALL SELECT 'dense', query_id, corpus_id, rank, round(score + 1, 6) FROM dr WHERE rank <= 5"""),
     "j13_zero_shot": (zero_shot, f"WITH {SQL_EMB}, {CENTRES}, s AS (SELECT a.vec_id AS id, b.id AS label, {COS} AS score, row_number() OVER (PARTITION BY a.vec_id ORDER BY {COS} DESC, b.id) AS r FROM e a, c b) SELECT id, label, round(score, 6) AS score FROM s WHERE r = 1"),
-    "j14_margin_bitext": (margin_bitext, None),
+    "j14_margin_bitext": (margin_bitext, SQL_BITEXT),
     "j14_margin_candidates": (margin_candidates, f"WITH {SQL_EMB}, {MARGIN} SELECT src, trg, round(score, 6) AS score FROM u"),
     "j15_lexrank": (lexrank, f"""
         WITH {SQL_EMB}, d AS (SELECT a.label, a.vec_id AS id, sum(list_cosine_similarity(a.v, b.v)) AS deg FROM e a JOIN e b ON a.label = b.label GROUP BY 1, 2),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_int
 from ..operators import prefix as P
 from ..operators import search as S
 from ..operators import tabular as T

@@ -5,7 +5,6 @@ import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import functions as F
 
 from quillon.operators import features as H
 from quillon.operators import models as M

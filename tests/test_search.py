@@ -188,3 +188,27 @@ def test_kmeans_groups_separated_points(spark, vectors, rng):
     out, _ = S.kmeans(vectors(mat), 3, seed=1)
     got = {r["id"]: r["cluster"] for r in out.collect()}
     assert all(len({got[i] for i in range(20 * g, 20 * g + 20)}) == 1 for g in range(3)) and len(set(got.values())) == 3
+
+
+def test_each_distinct_text_is_encoded_once(spark, tmp_path):
+    df = spark.createDataFrame([(i, ["a", "bb", None][i % 3]) for i in range(30)], "id bigint, text string")
+    log = str(tmp_path)
+
+    def make():
+        def run(texts):
+            import uuid
+            with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(f"<{t}>" for t in texts))
+            return np.array([[float(len(t))] for t in texts])
+        return run
+
+    out = S.encode_distinct(df, "text", make)
+    assert rows(out, "id", "embedding") == [(i, [[1.0], [2.0], [0.0]][i % 3]) for i in range(30)]
+    seen = sorted(x for p in tmp_path.iterdir() for x in p.read_text().split("\n"))
+    assert seen == ["<>", "<a>", "<bb>"]
+
+
+def test_nested_hits(spark, vectors, points):
+    hits = S.semantic_search(vectors(points[:4]), vectors(points), 3)
+    out = S.nested_hits(hits).collect()
+    assert len(out) == 4 and all([h["rank"] for h in r["hits"]] == [1, 2, 3] for r in out)
