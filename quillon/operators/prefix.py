@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 _PID = "__pid"
+RANK_LIMIT = 1000  # rank filters up to this are trimmed before the shuffle (Spark's default threshold)
 
 
 def _breaks(keys: pd.DataFrame, previous: tuple | None) -> np.ndarray:

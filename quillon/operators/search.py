@@ -16,17 +16,20 @@ from pyspark.sql import types as T
 
 from ..functions import vectors as V
 from . import blocks as B
-from .prefix import first_n
+from .prefix import RANK_LIMIT, first_n, global_row_number
 
 
 def top_k(df: DataFrame, by: str | list[str], score: str, id: str, k: int, rank: str = "rank") -> DataFrame:
     """Best ``k`` rows per group, score descending, ties to the lower id.
 
-    The rank filter lets Spark trim each group to ``k`` rows before the shuffle, so a hot group stays small.
+    Up to ``RANK_LIMIT`` Spark trims each group to ``k`` rows per task before the shuffle, so a hot group stays small.
+    For a larger ``k`` the rank is a position in a global order, and no group is gathered in one task.
     """
-    keys = [by] if isinstance(by, str) else by
-    w = W.partitionBy(*keys).orderBy(F.col(score).desc(), F.col(id).asc())
-    return df.withColumn(rank, F.row_number().over(w).cast("bigint")).where(F.col(rank) <= k)
+    keys = [by] if isinstance(by, str) else list(by)
+    order = [F.col(score).desc(), F.col(id).asc()]
+    if k > RANK_LIMIT:
+        return global_row_number(df, order, rank, by=keys).where(F.col(rank) <= k)
+    return df.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint")).where(F.col(rank) <= k)
 
 
 def semantic_search(
@@ -117,13 +120,14 @@ def ivf_search(
     """
     unit = lambda df: df.select(F.col(id).cast("bigint").alias("id"), V.l2_normalize(vector).alias("embedding"))
     corpus, queries = unit(corpus), unit(queries)
-    assigned, model = kmeans(corpus, n_clusters, seed)
+    data = corpus.withColumn("features", array_to_vector("embedding"))
+    model = KMeans(k=n_clusters, seed=seed, predictionCol="cluster").fit(data)
+    assigned = model.transform(data).drop("features")
     centers = np.array(model.clusterCenters())  # n_clusters x d
     sizes = assigned.groupBy("cluster").count()
     chunks = sizes.select("cluster", F.ceil(F.col("count") / chunk_rows).cast("int").alias("chunks"))
     lists = (
-        corpus.join(assigned, "id")
-        .join(F.broadcast(chunks), "cluster")  # one row per cluster
+        assigned.join(F.broadcast(chunks), "cluster")  # one row per cluster
         .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
         .select("cluster", "chunk", "id", "embedding")
     )

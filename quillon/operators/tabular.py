@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_int, hash_key
-from .prefix import average_ranks, first_n, global_row_number, join_groups
+from .prefix import RANK_LIMIT, average_ranks, first_n, global_row_number, join_groups
 
 
 def ratio(a: str, b: str) -> Column:
@@ -195,7 +195,11 @@ def frequency_order(df: DataFrame, c: str) -> DataFrame:
 
 
 def cap_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows per key. Spark trims to ``n`` per key and task before the shuffle."""
+    """First ``n`` rows per key; ``order`` must be strict. Up to ``RANK_LIMIT`` Spark trims to ``n`` per key and task
+    before the shuffle; a larger ``n`` goes by positions in a global order.
+    """
+    if n > RANK_LIMIT:
+        return global_row_number(df, order, "__rn", by=keys).where(F.col("__rn") <= n).drop("__rn")
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 

@@ -57,3 +57,14 @@ def test_segments_cross_batches(rng):
         total = v if s else total + v
         want.append(total)
     assert np.allclose(got, want)
+
+
+def test_long_rank_lists_do_not_use_a_window(spark):
+    from quillon.operators import search as S
+    from quillon.operators import tabular as T
+    df = spark.range(4000).select("id", (F.col("id") % 3 == 0).cast("int").alias("g"), (F.col("id") % 50).cast("double").alias("s"))
+    top = S.top_k(df, "g", "s", "id", 1200)
+    short = S.top_k(df, "g", "s", "id", 900)
+    got = {r["id"]: r["rank"] for r in top.collect()}
+    assert len(got) == 2400 and all(got[r["id"]] == r["rank"] for r in short.collect())
+    assert T.cap_per_key(df, ["g"], [F.col("id").asc()], 1100).groupBy("g").count().where("count <> 1100").count() == 0
