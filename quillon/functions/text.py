@@ -141,38 +141,52 @@ def vocab_tokens(
 
 def merge_phrases(
     df: DataFrame, tokens: str, phrases: DataFrame, separator: str = "_", max_words: int = 5, output: str = "merged",
-    limit: int = 5_000_000,
+    id: str | None = None, limit: int = 1_000_000,
 ) -> DataFrame:
     """Joins neighbouring tokens that form a listed phrase, longest phrases first, exact case before lower case.
 
-    ``phrases`` is ``(phrase)`` with words joined by ``separator``. The set is broadcast after its size is checked.
+    ``phrases`` is ``(phrase)`` with words joined by ``separator``. Up to ``limit`` phrases (counted first) are broadcast
+    as a set. Beyond it each row gets the phrases that its own word spans can form, by a join; that needs the ``id``.
     """
+    size = F.size(F.split("phrase", "\\Q" + separator + "\\E"))
     known = phrases.where(
-        F.col("phrase").contains(separator) & ~F.col("phrase").contains(separator * 2)
-        & (F.size(F.split("phrase", F.lit("\\Q" + separator + "\\E"))) <= max_words)
+        F.col("phrase").contains(separator) & ~F.col("phrase").contains(separator * 2) & (size <= max_words)
     ).select("phrase").distinct()
-    if known.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} phrases: too many for a broadcast set")
-    shared = df.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in known.toLocalIterator()))
+    # Window lengths to try: those of the listed phrases, longest first (at most max_words numbers).
+    lengths = sorted((r[0] for r in known.select(size).distinct().collect()), reverse=True)
+    if known.limit(limit + 1).count() <= limit:
+        shared = df.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in known.toLocalIterator()))
+
+        @F.pandas_udf(T.ArrayType(T.StringType()))
+        def merge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for series in batches:
+                yield series.map(lambda row: _merged(row, shared.value, separator, lengths))
+
+        return df.withColumn(output, merge(F.col(tokens)))
+    if id is None:
+        raise ValueError(f"more than {limit} phrases: name the id column, so that they can be joined")
+
+    spans = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(max_words)), lambda n: F.transform(
+        F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))), lambda i: i + n - 1 <= F.size(tokens)),
+        lambda i: F.lower(F.array_join(F.slice(F.col(tokens), i, n), separator)))))
+    found = df.select(id, F.explode(F.array_distinct(spans)).alias("__low")).join(known.withColumn("__low", F.lower("phrase")), "__low")
+    own = found.groupBy(id).agg(F.collect_set("phrase").alias("__own"))  # at most the spans of one text
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def merge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lookup = shared.value
-        lengths = sorted({p.count(separator) + 1 for p in lookup}, reverse=True)
-
-        def one(row):
-            row = list(row) if row is not None else []
-            for n in lengths:
-                merged, at = [], 0
-                while at < len(row):
-                    gram = separator.join(row[at : at + n]) if at + n <= len(row) else None
-                    hit = gram if gram in lookup else gram.lower() if gram and gram.lower() in lookup else None
-                    merged.append(hit or row[at])
-                    at += n if hit else 1
-                row = merged
-            return row
-
-        for series in batches:
-            yield series.map(one)
-
-    return df.withColumn(output, merge(F.col(tokens)))
+    def merge_own(rows: pd.Series, sets: pd.Series) -> pd.Series:
+        return pd.Series([_merged(row, frozenset(p) if p is not None else frozenset(), separator, lengths) for row, p in zip(rows, sets)])
+
+    return df.join(own, id, "left").withColumn(output, merge_own(F.col(tokens), F.col("__own"))).drop("__own")
+
+
+def _merged(row, lookup: frozenset, separator: str, lengths: list[int]) -> list[str]:
+    row = list(row) if row is not None else []
+    for n in lengths:
+        merged, at = [], 0
+        while at < len(row):
+            gram = separator.join(row[at : at + n]) if at + n <= len(row) else None
+            hit = gram if gram in lookup else gram.lower() if gram and gram.lower() in lookup else None
+            merged.append(hit or row[at])
+            at += n if hit else 1
+        row = merged
+    return row

@@ -58,10 +58,21 @@ def test_merge_phrases_longest_first(spark):
     ph = spark.createDataFrame([("new_york",), ("new_york_city",), ("bad__one",), ("word",)], "phrase string")
     out = [r["merged"] for r in X.merge_phrases(df, "t", ph).collect()]
     assert out == [["new_york_city", "new_york", "x"], []]
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="id column"):
         X.merge_phrases(df, "t", ph, limit=1)
 
 
+def test_merge_phrases_by_join_equals_the_broadcast_set(spark, rng):
+    words = ["a", "B", "c", "D"]
+    data = [(i, [words[j] for j in rng.integers(0, 4, rng.integers(0, 9))]) for i in range(80)]
+    df = spark.createDataFrame(data, "id bigint, t array<string>")
+    ph = spark.createDataFrame([(p,) for p in ("a_b", "a_B", "c_d_a", "B_c", "d_d_d_d", "a_b_C", "b_a_b", "d_a")], "phrase string")
+    small = X.merge_phrases(df, "t", ph)
+    joined = X.merge_phrases(df, "t", ph, id="id", limit=1)
+    assert rows(small, "id", "merged") == rows(joined, "id", "merged")
+    assert small.where("size(merged) < size(t)").count() > 20
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<float>, b array<float>")
     r = df.select(V.l2_normalize("a").alias("u"), V.l2_normalize("b").alias("z"), V.cosine("a", "b").alias("c"), V.dot("a", "a").alias("d"),
