@@ -5,13 +5,25 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import exact
+from . import classifier, exact, quality
 
 
 def _documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def _labels(spark, sf):
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def op6_quality_classifier(spark, sf):
+    return classifier.quality_scores(_documents(spark, sf), _labels(spark, sf))
+
+
+def op9_quality_rules(spark, sf):
+    return quality.quality_rules(_documents(spark, sf), _labels(spark, sf))
+
+
 def op10_exact_dedup(spark, sf):
     return exact.exact_dedup(_documents(spark, sf))
 
@@ -26,6 +38,8 @@ def _shipped(query):
 
 
 _ALL = {
+    "op6_quality_classifier": (op6_quality_classifier, None),
+    "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, exact.SQL),
 }
 

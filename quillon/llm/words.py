@@ -110,7 +110,8 @@ def hash_spans(data: np.ndarray, spans: Spans, seed: int = 0) -> np.ndarray:
 
 def pair_hash(a: np.ndarray, b: np.ndarray, seed: int = 0) -> np.ndarray:
     """Order-dependent hash of two hashes."""
-    return mix(mix(a + U(seed * 2 + 1) * _K[0]) * _K[0] ^ b)
+    salt = U((seed * 2 + 1) * int(_K[0]) & 0xFFFFFFFFFFFFFFFF)
+    return mix(mix(a + salt) * _K[0] ^ b)
 
 
 def window_hash(h: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
