@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import classifier, exact, quality
+from . import bpe, classifier, exact, packing, quality
 
 
 def _documents(spark, sf):
@@ -16,6 +16,21 @@ def _labels(spark, sf):
     return spark.read.parquet(f"{sf}/labels.parquet")
 
 
+def vocabulary():
+    """The public tokenizer file that the queries use; a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_best_fit_packing(spark, sf):
+    return packing.pack_documents(_documents(spark, sf), vocabulary())
+
+
+def op7_bpe_automaton(spark, sf):
+    return bpe.encode_decode(_documents(spark, sf), vocabulary())
+
+
 def op6_quality_classifier(spark, sf):
     return classifier.quality_scores(_documents(spark, sf), _labels(spark, sf))
 
@@ -38,6 +53,8 @@ def _shipped(query):
 
 
 _ALL = {
+    "op4_best_fit_packing": (op4_best_fit_packing, None),
+    "op7_bpe_automaton": (op7_bpe_automaton, None),
     "op6_quality_classifier": (op6_quality_classifier, None),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, exact.SQL),
