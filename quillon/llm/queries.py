@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import bpe, classifier, exact, packing, quality
+from . import bpe, classifier, exact, packing, quality, shards
 
 
 def _documents(spark, sf):
@@ -23,6 +23,10 @@ def vocabulary():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_training_shards(spark, sf):
+    return shards.training_order(spark, _documents(spark, sf), vocabulary())
+
+
 def op4_best_fit_packing(spark, sf):
     return packing.pack_documents(_documents(spark, sf), vocabulary())
 
@@ -53,6 +57,7 @@ def _shipped(query):
 
 
 _ALL = {
+    "op3_training_shards": (op3_training_shards, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op7_bpe_automaton": (op7_bpe_automaton, None),
     "op6_quality_classifier": (op6_quality_classifier, None),
