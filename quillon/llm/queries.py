@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import bpe, classifier, exact, packing, quality, shards
+from . import bpe, classifier, exact, lines, packing, quality, shards
 
 
 def _documents(spark, sf):
@@ -39,6 +39,10 @@ def op6_quality_classifier(spark, sf):
     return classifier.quality_scores(_documents(spark, sf), _labels(spark, sf))
 
 
+def op8_line_dedup(spark, sf):
+    return lines.line_query(_documents(spark, sf))
+
+
 def op9_quality_rules(spark, sf):
     return quality.quality_rules(_documents(spark, sf), _labels(spark, sf))
 
@@ -61,6 +65,7 @@ _ALL = {
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op7_bpe_automaton": (op7_bpe_automaton, None),
     "op6_quality_classifier": (op6_quality_classifier, None),
+    "op8_line_dedup": (op8_line_dedup, lines.SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, exact.SQL),
 }
