@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import bpe, classifier, exact, lines, packing, quality, shards
+from . import bpe, classifier, exact, lines, packing, quality, shards, substrings
 
 
 def _documents(spark, sf):
@@ -23,6 +23,10 @@ def vocabulary():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark, sf):
+    return substrings.substring_query(_documents(spark, sf))
+
+
 def op3_training_shards(spark, sf):
     return shards.training_order(spark, _documents(spark, sf), vocabulary())
 
@@ -61,6 +65,7 @@ def _shipped(query):
 
 
 _ALL = {
+    "op1_substring_dedup": (op1_substring_dedup, None),
     "op3_training_shards": (op3_training_shards, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op7_bpe_automaton": (op7_bpe_automaton, None),
