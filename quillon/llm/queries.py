@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import bpe, classifier, exact, lines, packing, quality, shards, substrings
+from . import bpe, classifier, exact, jaccard, lines, packing, quality, shards, substrings
 
 
 def _documents(spark, sf):
@@ -39,6 +39,10 @@ def op7_bpe_automaton(spark, sf):
     return bpe.encode_decode(_documents(spark, sf), vocabulary())
 
 
+def op5_jaccard_join(spark, sf):
+    return jaccard.jaccard_components(_documents(spark, sf))
+
+
 def op6_quality_classifier(spark, sf):
     return classifier.quality_scores(_documents(spark, sf), _labels(spark, sf))
 
@@ -69,6 +73,7 @@ _ALL = {
     "op3_training_shards": (op3_training_shards, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op7_bpe_automaton": (op7_bpe_automaton, None),
+    "op5_jaccard_join": (op5_jaccard_join, None),
     "op6_quality_classifier": (op6_quality_classifier, None),
     "op8_line_dedup": (op8_line_dedup, lines.SQL),
     "op9_quality_rules": (op9_quality_rules, None),
