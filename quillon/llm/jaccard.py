@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.graph import components
 from ..session import cut_lineage, scratch_path
 from . import words as W
 from .ids import numbered
+from .stars import star_components
 
 SHINGLE = 3
 PERCENT = 90
@@ -217,7 +217,7 @@ def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFra
     sets = docs.sparkSession.read.parquet(path)
     ranked = pairs.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("a")))
     near = cut_lineage(_verify(ranked.where(F.col("r") <= FIRST).drop("r"), sets, percent))
-    known = cut_lineage(components(near, "a", "b", small=0))
+    known = star_components(near)
     side = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
     rest = pairs.join(near, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(apart)
@@ -242,7 +242,7 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     equal = ["n", "f1", "f2"]
     classes = cut_lineage(made.where("n > 0").groupBy(*equal).agg(F.min("id").alias("rep")))
     reps = made.join(classes.select(F.col("rep").alias("id")), "id")
-    found = components(cut_lineage(links(rows, reps, width, percent)), "a", "b", small=0)
+    found = star_components(links(rows, reps, width, percent))
     known = cut_lineage(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*equal, F.coalesce("component", "rep").alias("component")))
     out = made.select("id", *equal).join(known, equal, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
     names = rows.select("__id", "doc_id")
