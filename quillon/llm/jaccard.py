@@ -30,7 +30,7 @@ PERCENT = 90
 BITS = 512
 SKETCH = 1 << 22  # buckets of the frequency sketch; it only orders elements, so collisions cost time and not results
 BLOCK = 4096  # members of one element compared in a task at once
-FIRST = 4  # pairs of each class that are verified in the first round
+FIRST = 2  # pairs of each class that are verified in the first round
 BROADCAST_IDS = 1_000_000  # candidate ids (8 MB) that may be sent to all executors; more are joined by a shuffle
 
 
@@ -164,13 +164,15 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 def candidates(leads: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of classes that may be linked. ``leads``: ``g1, g2, m, prefix``; ``members``: ``g1, g2, id, n, bitmap``."""
-    posts = leads.select("g1", "g2", "m", F.explode("prefix").alias("token"))
-    shared = posts.groupBy("token").agg(F.sum("m").alias("c"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    met = posts.join(cut_lineage(shared), "token").select("token", "g1", "g2", "c")
-    own = leads.where("m > 1").select(F.xxhash64("g1", "g2", F.lit("own")).alias("token"), "g1", "g2", F.col("m").alias("c"))
-    rows = cut_lineage(met.unionByName(own)).join(members, ["g1", "g2"])
-    blocks = F.ceil(F.col("c") / BLOCK).cast("bigint")
+    """Distinct pairs of classes that may be linked. ``leads``: ``lead, m, prefix`` of the groups, ``m`` being their members;
+    ``members``: ``lead, id, n, bitmap`` of the classes."""
+    posts = leads.select("lead", "m", F.explode("prefix").alias("token"))
+    shared = cut_lineage(posts.groupBy("token").count().where("count > 1").select("token"))
+    own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m")
+    met = cut_lineage(posts.join(shared, "token").select("token", "lead", "m").unionByName(own))
+    sizes = cut_lineage(met.groupBy("token").agg(F.sum("m").alias("c")).where(F.col("c") > BLOCK))
+    rows = met.drop("m").join(members, "lead").join(sizes, "token", "left")
+    blocks = F.ceil(F.coalesce("c", F.lit(1)) / BLOCK).cast("bigint")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     rows = rows.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "n", "bitmap")
     dealt = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n")
@@ -206,11 +208,12 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return chosen.mapInArrow(run, "id bigint, shingles binary")
 
 
-def links(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between classes that connect what is connected, as ``a < b``. ``reps`` are the classes' features."""
-    groups = reps.groupBy("g1", "g2").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m"))
-    leads = reps.select("id", "prefix").join(groups, F.col("id") == F.col("lead")).select("g1", "g2", "m", "prefix")
-    pairs = cut_lineage(candidates(leads, reps.select("g1", "g2", "id", "n", "bitmap"), percent))
+def links(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between classes that connect what is connected, as ``a < b``. ``classes``: ``rep, n, g1, g2``; ``made``: features."""
+    groups = cut_lineage(classes.groupBy("g1", "g2").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("m")))
+    leads = made.select("id", "prefix").join(groups.select("lead", "m"), F.col("id") == F.col("lead")).drop("id")
+    members = made.select("id", "n", "bitmap").join(classes.join(groups, ["g1", "g2"]).select(F.col("rep").alias("id"), "lead"), "id")
+    pairs = cut_lineage(candidates(leads, members, percent))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     path = scratch_path(docs.sparkSession, "shingles")
     _sets(docs, ids, width).write.parquet(path)
@@ -240,9 +243,9 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     features(rows, width, percent).write.parquet(path)
     made = docs.sparkSession.read.parquet(path)
     equal = ["n", "f1", "f2"]
-    classes = cut_lineage(made.where("n > 0").groupBy(*equal).agg(F.min("id").alias("rep")))
-    reps = made.join(classes.select(F.col("rep").alias("id")), "id")
-    found = star_components(links(rows, reps, width, percent))
+    classes = made.where("n > 0").groupBy(*equal, "g1", "g2").agg(F.min("id").alias("rep"))  # equal sets, equal prefix
+    classes = cut_lineage(classes)
+    found = star_components(links(rows, classes, made, width, percent))
     known = cut_lineage(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*equal, F.coalesce("component", "rep").alias("component")))
     out = made.select("id", *equal).join(known, equal, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
     names = rows.select("__id", "doc_id")
