@@ -5,7 +5,8 @@
   order is by frequency level, then hash, so shingles that many texts repeat come last and rarely enter a prefix.
 * Classes with the same size and the same prefix are one *group*; only groups are posted under the elements of their prefix.
 * Groups that meet under an element are expanded to their members, which are compared in blocks of bounded size by a bound: the
-  bits in which two parity bitmaps differ are at most the elements in which the sets differ, so no linked pair is lost.
+  bits in which two parity bitmaps differ are at most the elements in which the sets differ, so no linked pair is lost. A pair
+  must also share about half of the prefix: outside it, only ``n - p`` elements are left to be shared.
 * What is left is verified on the sets themselves: first a few pairs of each class, then the pairs that these links have not
   connected already. Components are unaffected, and a cluster of near copies is not verified pair by pair.
 """
@@ -131,7 +132,8 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
 
 
 def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of one block pair that the sizes and bitmaps don't exclude, as ``a < b``."""
+    """Pairs of members of one block pair that the sizes and bitmaps don't exclude, as ``a < b``, their sizes, and under how many
+    elements (by ``weight``) they met."""
     keys = ["token", "lo", "hi"]
     for table in _whole_keys(batches, keys):
         n, ids, block = (table.column(c).to_numpy() for c in ("n", "id", "block"))
@@ -139,6 +141,7 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), dtype="<u8").reshape(len(n), -1)
         change = np.any([table.column(k).to_numpy()[1:] != table.column(k).to_numpy()[:-1] for k in keys], axis=0)
         group = np.concatenate([[0], np.cumsum(change)])
+        weight = table.column("weight").to_numpy()
         left, right = [], []
 
         def keep(i: np.ndarray, j: np.ndarray) -> None:
@@ -146,8 +149,8 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             i, j = i[ok], j[ok]
             differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
             ok = (100 + percent) * differ <= (100 - percent) * (n[i] + n[j])
-            left.append(ids[i[ok]])
-            right.append(ids[j[ok]])
+            left.append(i[ok])
+            right.append(j[ok])
 
         # Rows are sorted by size in a group: row i meets the rows after it while these are small enough.
         end = np.searchsorted(group, group, side="right")
@@ -158,9 +161,16 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             for a in range(0, len(rows), 1 << 18):
                 keep(rows[a : a + (1 << 18)], rows[a : a + (1 << 18)] + step)
             step += 1
-        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+        i, j = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
+        swap = ids[i] > ids[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        order = np.lexsort((ids[j], ids[i]))
+        i, j = i[order], j[order]
+        first = np.ones(len(i), dtype=bool)
+        first[1:] = (ids[i[1:]] != ids[i[:-1]]) | (ids[j[1:]] != ids[j[:-1]])
+        times = np.add.reduceat(weight[i], np.flatnonzero(first)) if len(i) else i
+        i, j = i[first], j[first]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[i], ids[j], n[i], n[j], times)], ["a", "b", "na", "nb", "k"])
 
 
 def candidates(leads: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -168,15 +178,19 @@ def candidates(leads: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     ``members``: ``lead, id, n, bitmap`` of the classes."""
     posts = leads.select("lead", "m", F.explode("prefix").alias("token"))
     shared = cut_lineage(posts.groupBy("token").count().where("count > 1").select("token"))
-    own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m")
-    met = cut_lineage(posts.join(shared, "token").select("token", "lead", "m").unionByName(own))
+    # Members of one group share the whole prefix.
+    own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m", F.size("prefix").alias("weight"))
+    met = cut_lineage(posts.join(shared, "token").select("token", "lead", "m", F.lit(1).alias("weight")).unionByName(own))
     sizes = cut_lineage(met.groupBy("token").agg(F.sum("m").alias("c")).where(F.col("c") > BLOCK))
     rows = met.drop("m").join(members, "lead").join(sizes, "token", "left")
     blocks = F.ceil(F.coalesce("c", F.lit(1)) / BLOCK).cast("bigint")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    rows = rows.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "n", "bitmap")
+    rows = rows.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "n", "bitmap", F.col("weight").cast("bigint").alias("weight"))
     dealt = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n")
-    return dealt.mapInArrow(lambda b: _compare(b, percent), "a bigint, b bigint").distinct()
+    found = dealt.mapInArrow(lambda b: _compare(b, percent), "a bigint, b bigint, na bigint, nb bigint, k bigint")
+    found = found.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
+    left = F.expr(f"greatest(-floor(-{percent} * na / 100), -floor(-{percent} * nb / 100)) - 1")  # outside the prefix, of the larger
+    return found.where((F.col("k") + left) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
