@@ -5,10 +5,10 @@
   order is by frequency level, then hash, so shingles that many texts repeat come last and rarely enter a prefix.
 * Classes with the same size and the same prefix are one *group*; only groups are posted under the elements of their prefix.
 * Groups that meet under an element are expanded to their members, which are compared in blocks of bounded size by a bound: the
-  bits in which two parity bitmaps differ are at most the elements in which the sets differ, so no linked pair is lost. A pair
-  must also share about half of the prefix: outside it, only ``n - p`` elements are left to be shared.
-* What is left is verified on the sets themselves: first a few pairs of each class, then the pairs that these links have not
-  connected already. Components are unaffected, and a cluster of near copies is not verified pair by pair.
+  bits in which two parity bitmaps differ are at most the elements in which the sets differ, so no linked pair is lost. Bitmaps
+  grow with the sets, and the longer of two is folded to the shorter.
+* What is left is verified on the sets themselves, in two rounds: first every member's nearest partner, then all pairs that these
+  links have not connected already. Components are unaffected, and a cluster of near copies is not listed pair by pair.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import cut_lineage, scratch_path
 from . import words as W
@@ -28,10 +27,9 @@ from .stars import star_components
 
 SHINGLE = 3
 PERCENT = 90
-BITS = 512
+BITS = 512  # of the shortest bitmap; a set of n elements has between n and 2 n bits
 SKETCH = 1 << 22  # buckets of the frequency sketch; it only orders elements, so collisions cost time and not results
 BLOCK = 4096  # members of one element compared in a task at once
-FIRST = 2  # pairs of each class that are verified in the first round
 BROADCAST_IDS = 1_000_000  # candidate ids (8 MB) that may be sent to all executors; more are joined by a shuffle
 
 
@@ -93,12 +91,13 @@ def features(docs: DataFrame, width: int, percent: int, buckets: int = SKETCH) -
                 own, at = np.unique(tokens[a:b], return_index=True)
                 n = len(own)
                 if not n:
-                    rows.append((0, 0, 0, 0, 0, [], bytes(BITS // 8)))
+                    rows.append((0, 0, 0, 0, 0, [], b""))
                     continue
                 at += a
                 p = n + (-percent * n // 100) + 1
                 prefix = np.sort(order[at])[:p]
-                bitmap = np.packbits(np.bincount((own >> W.U(20)).astype(np.int64) % BITS, minlength=BITS) & 1)
+                bits = max(BITS, 1 << (n - 1).bit_length())
+                bitmap = np.packbits(np.bincount((own >> W.U(20)).astype(np.int64) % bits, minlength=bits) & 1)
                 mixed = W.mix(prefix)
                 rows.append((n, _signed(one[at].sum()), _signed(two[at].sum()), _signed(mixed.sum()), _signed(W.mix(mixed + W.U(n)).sum()), prefix.view(np.int64), bitmap.tobytes()))
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
@@ -131,66 +130,97 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of one block pair that the sizes and bitmaps don't exclude, as ``a < b``, their sizes, and under how many
-    elements (by ``weight``) they met."""
+class _Bitmaps:
+    """Bitmaps of several lengths, compared at the shorter length: the halves of a longer one are added bit by bit."""
+
+    def __init__(self, raw: list[bytes]):
+        self.length = np.array([len(x) for x in raw])
+        self.place = np.zeros((len(raw), 2), dtype=np.int64)  # in the table of the own length, and of half of it
+        self.tables = {}
+        for length in np.unique(self.length):
+            own, twice = np.flatnonzero(self.length == length), np.flatnonzero(self.length == 2 * length)
+            table = np.frombuffer(b"".join([raw[i] for i in own]), dtype="<u8").reshape(len(own), length // 8)
+            folded = np.frombuffer(b"".join([raw[i] for i in twice]), dtype="<u8").reshape(len(twice), length // 4)
+            half = length // 8
+            self.tables[int(length)] = np.concatenate([table, folded[:, :half] ^ folded[:, half:]]) if len(twice) else table
+            self.place[own, 0] = np.arange(len(own))
+            self.place[twice, 1] = len(own) + np.arange(len(twice))
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Differing bits of rows ``i`` and ``j``, where ``j`` has as many bits as ``i`` or twice as many (else 0)."""
+        out = np.zeros(len(i), dtype=np.int64)
+        for length, table in self.tables.items():
+            for fold in (0, 1):
+                at = np.flatnonzero((self.length[i] == length) & (self.length[j] == length << fold))
+                if len(at):
+                    out[at] = np.bitwise_count(table[self.place[i[at], 0]] ^ table[self.place[j[at], fold]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of members of one block pair that the sizes and bitmaps don't exclude, as ``a < b``.
+
+    ``nearest``: for each member only the pair with the fewest differing bits among those of smaller id. Otherwise all pairs
+    whose components differ.
+    """
     keys = ["token", "lo", "hi"]
     for table in _whole_keys(batches, keys):
-        n, ids, block = (table.column(c).to_numpy() for c in ("n", "id", "block"))
+        n, ids, block, component = (table.column(c).to_numpy() for c in ("n", "id", "block", "component"))
         lo, hi = table.column("lo").to_numpy(), table.column("hi").to_numpy()
-        bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), dtype="<u8").reshape(len(n), -1)
+        bits = _Bitmaps(table.column("bitmap").to_pylist())
         change = np.any([table.column(k).to_numpy()[1:] != table.column(k).to_numpy()[:-1] for k in keys], axis=0)
         group = np.concatenate([[0], np.cumsum(change)])
-        weight = table.column("weight").to_numpy()
-        left, right = [], []
-
-        def keep(i: np.ndarray, j: np.ndarray) -> None:
-            ok = (100 * n[i] >= percent * n[j]) & (ids[i] != ids[j]) & ((lo[i] == hi[i]) | (block[i] != block[j]))
-            i, j = i[ok], j[ok]
-            differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-            ok = (100 + percent) * differ <= (100 - percent) * (n[i] + n[j])
-            left.append(i[ok])
-            right.append(j[ok])
-
+        best = np.full(len(n), 1 << 62, dtype=np.int64)  # per row: differing bits, then the partner's row
+        found = [np.zeros((2, 0), dtype=np.int64)]
         # Rows are sorted by size in a group: row i meets the rows after it while these are small enough.
         end = np.searchsorted(group, group, side="right")
         rows, step = np.arange(len(n)), 1
         while len(rows):
             rows = rows[rows + step < end[rows]]
             rows = rows[100 * n[rows] >= percent * n[rows + step]]
-            for a in range(0, len(rows), 1 << 18):
-                keep(rows[a : a + (1 << 18)], rows[a : a + (1 << 18)] + step)
+            for a in range(0, len(rows), 1 << 16):
+                i = rows[a : a + (1 << 16)]
+                j = i + step
+                ok = (component[i] != component[j]) & ((lo[i] == hi[i]) | (block[i] != block[j]))
+                i, j = i[ok], j[ok]
+                differ = bits.differ(i, j)
+                ok = (100 + percent) * differ <= (100 - percent) * (n[i] + n[j])
+                i, j, differ = i[ok], j[ok], differ[ok]
+                swap = ids[i] > ids[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                if nearest:
+                    np.minimum.at(best, j, differ << 32 | i)
+                else:
+                    found.append(np.unique(np.stack([ids[i], ids[j]]), axis=1))
             step += 1
-        i, j = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
-        swap = ids[i] > ids[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        order = np.lexsort((ids[j], ids[i]))
-        i, j = i[order], j[order]
-        first = np.ones(len(i), dtype=bool)
-        first[1:] = (ids[i[1:]] != ids[i[:-1]]) | (ids[j[1:]] != ids[j[:-1]])
-        times = np.add.reduceat(weight[i], np.flatnonzero(first)) if len(i) else i
-        i, j = i[first], j[first]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[i], ids[j], n[i], n[j], times)], ["a", "b", "na", "nb", "k"])
-
-
-def candidates(leads: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of classes that may be linked. ``leads``: ``lead, m, prefix`` of the groups, ``m`` being their members;
-    ``members``: ``lead, id, n, bitmap`` of the classes."""
+        if nearest:
+            j = np.flatnonzero(best < 1 << 62)
+            found.append(np.stack([ids[best[j] & 0xFFFFFFFF], ids[j]]))
+        pair = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+
+
+def meetings(leads: DataFrame) -> DataFrame:
+    """``token, lead, m``: the groups that share an element of their prefixes, and under a token of its own every group of
+    several members. ``leads``: ``lead, m, prefix`` of the groups, ``m`` being their members."""
     posts = leads.select("lead", "m", F.explode("prefix").alias("token"))
     shared = cut_lineage(posts.groupBy("token").count().where("count > 1").select("token"))
-    # Members of one group share the whole prefix.
-    own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m", F.size("prefix").alias("weight"))
-    met = cut_lineage(posts.join(shared, "token").select("token", "lead", "m", F.lit(1).alias("weight")).unionByName(own))
+    own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m")
+    return cut_lineage(posts.join(shared, "token").select("token", "lead", "m").unionByName(own))
+
+
+def candidates(met: DataFrame, members: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Distinct pairs of classes that may be linked. ``members``: ``lead, id, n, bitmap, component`` of the classes.
+
+    An element with more than ``BLOCK`` members is dealt to pairs of blocks, so that no task holds more than two blocks of it.
+    """
     sizes = cut_lineage(met.groupBy("token").agg(F.sum("m").alias("c")).where(F.col("c") > BLOCK))
     rows = met.drop("m").join(members, "lead").join(sizes, "token", "left")
     blocks = F.ceil(F.coalesce("c", F.lit(1)) / BLOCK).cast("bigint")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    rows = rows.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "n", "bitmap", F.col("weight").cast("bigint").alias("weight"))
+    rows = rows.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "n", "bitmap", "component")
     dealt = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "n")
-    found = dealt.mapInArrow(lambda b: _compare(b, percent), "a bigint, b bigint, na bigint, nb bigint, k bigint")
-    found = found.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
-    left = F.expr(f"greatest(-floor(-{percent} * na / 100), -floor(-{percent} * nb / 100)) - 1")  # outside the prefix, of the larger
-    return found.where((F.col("k") + left) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+    return dealt.mapInArrow(lambda b: _compare(b, percent, nearest), "a bigint, b bigint").distinct()
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,19 +256,20 @@ def links(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, perc
     """Links between classes that connect what is connected, as ``a < b``. ``classes``: ``rep, n, g1, g2``; ``made``: features."""
     groups = cut_lineage(classes.groupBy("g1", "g2").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("m")))
     leads = made.select("id", "prefix").join(groups.select("lead", "m"), F.col("id") == F.col("lead")).drop("id")
-    members = made.select("id", "n", "bitmap").join(classes.join(groups, ["g1", "g2"]).select(F.col("rep").alias("id"), "lead"), "id")
-    pairs = cut_lineage(candidates(leads, members, percent))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = classes.join(groups, ["g1", "g2"]).select(F.col("rep").alias("id"), "lead")
+    members = cut_lineage(made.select("id", "n", "bitmap").join(members, "id"))
+    met = meetings(leads)
+    near = _verified(docs, cut_lineage(candidates(met, members.withColumn("component", F.col("id")), percent, True)), width, percent)
+    known = star_components(near).withColumnRenamed("node", "id")
+    labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = cut_lineage(candidates(met, labelled, percent, False))
+    return near.unionByName(_verified(docs, rest, width, percent))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     path = scratch_path(docs.sparkSession, "shingles")
-    _sets(docs, ids, width).write.parquet(path)
-    sets = docs.sparkSession.read.parquet(path)
-    ranked = pairs.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("a")))
-    near = cut_lineage(_verify(ranked.where(F.col("r") <= FIRST).drop("r"), sets, percent))
-    known = star_components(near)
-    side = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-    apart = F.coalesce("ca", "a") != F.coalesce("cb", "b")
-    rest = pairs.join(near, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(apart)
-    return near.unionByName(_verify(rest.select("a", "b"), sets, percent))
+    _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), width).write.parquet(path)
+    return cut_lineage(_verify(pairs, docs.sparkSession.read.parquet(path), percent))
 
 
 def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
