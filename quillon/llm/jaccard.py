@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ from .stars import star_components
 
 SHINGLE = 3
 PERCENT = 90
-BITS = 512  # of the shortest bitmap; a set of n elements has between n and 2 n bits
+BITS = 512  # of the shortest bitmap; a set of n elements has between n and 2 n bits,
+MOST_BITS = 4096  # but no more than these
 SKETCH = 1 << 22  # buckets of the frequency sketch; it only orders elements, so collisions cost time and not results
 BLOCK = 4096  # members of one element compared in a task at once
 BROADCAST_IDS = 1_000_000  # candidate ids (8 MB) that may be sent to all executors; more are joined by a shuffle
@@ -96,7 +98,7 @@ def features(docs: DataFrame, width: int, percent: int, buckets: int = SKETCH) -
                 at += a
                 p = n + (-percent * n // 100) + 1
                 prefix = np.sort(order[at])[:p]
-                bits = max(BITS, 1 << (n - 1).bit_length())
+                bits = min(max(BITS, 1 << (n - 1).bit_length()), MOST_BITS)
                 bitmap = np.packbits(np.bincount((own >> W.U(20)).astype(np.int64) % bits, minlength=bits) & 1)
                 mixed = W.mix(prefix)
                 rows.append((n, _signed(one[at].sum()), _signed(two[at].sum()), _signed(mixed.sum()), _signed(W.mix(mixed + W.U(n)).sum()), prefix.view(np.int64), bitmap.tobytes()))
@@ -200,13 +202,22 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) ->
         yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
 
-def meetings(leads: DataFrame) -> DataFrame:
-    """``token, lead, m``: the groups that share an element of their prefixes, and under a token of its own every group of
-    several members. ``leads``: ``lead, m, prefix`` of the groups, ``m`` being their members."""
-    posts = leads.select("lead", "m", F.explode("prefix").alias("token"))
-    shared = cut_lineage(posts.groupBy("token").count().where("count > 1").select("token"))
+def meetings(leads: DataFrame, percent: int) -> DataFrame:
+    """``token, lead, m``: where groups meet. ``leads``: ``lead, m, n, prefix`` of the groups, ``m`` being their members.
+
+    Groups meet under an element of both prefixes if their sizes also fall into the same or neighbouring classes, each class
+    being as wide as sizes of linked sets may differ. A group of several members also has a token of its own.
+    """
+    posts = leads.select("lead", "m", "n", F.explode("prefix").alias("token"))
+    rows = cut_lineage(posts.join(cut_lineage(_several(posts)), "token").select("token", "lead", "m", "n"))
+    step = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9)))
+    rows = rows.withColumn("step", F.explode(F.array(step, step + 1))).select(F.xxhash64("token", "step").alias("token"), "lead", "m")
     own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m")
-    return cut_lineage(posts.join(shared, "token").select("token", "lead", "m").unionByName(own))
+    return cut_lineage(rows.join(cut_lineage(_several(rows)), "token").select("token", "lead", "m").unionByName(own))
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("token").count().where("count > 1").select("token")
 
 
 def candidates(met: DataFrame, members: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -255,10 +266,10 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 def links(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between classes that connect what is connected, as ``a < b``. ``classes``: ``rep, n, g1, g2``; ``made``: features."""
     groups = cut_lineage(classes.groupBy("g1", "g2").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("m")))
-    leads = made.select("id", "prefix").join(groups.select("lead", "m"), F.col("id") == F.col("lead")).drop("id")
+    leads = made.select("id", "n", "prefix").join(groups.select("lead", "m"), F.col("id") == F.col("lead")).drop("id")
     members = classes.join(groups, ["g1", "g2"]).select(F.col("rep").alias("id"), "lead")
     members = cut_lineage(made.select("id", "n", "bitmap").join(members, "id"))
-    met = meetings(leads)
+    met = meetings(leads, percent)
     near = _verified(docs, cut_lineage(candidates(met, members.withColumn("component", F.col("id")), percent, True)), width, percent)
     known = star_components(near).withColumnRenamed("node", "id")
     labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
