@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import bpe, classifier, exact, jaccard, lines, packing, quality, shards, substrings
+from . import bpe, classifier, exact, html, jaccard, lines, packing, quality, shards, substrings
 
 
 def _documents(spark, sf):
@@ -27,6 +27,10 @@ def op1_substring_dedup(spark, sf):
     return substrings.substring_query(_documents(spark, sf))
 
 
+def op2_html_extraction(spark, sf):
+    return html.main_text(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
 def op3_training_shards(spark, sf):
     return shards.training_order(spark, _documents(spark, sf), vocabulary())
 
@@ -70,6 +74,7 @@ def _shipped(query):
 
 _ALL = {
     "op1_substring_dedup": (op1_substring_dedup, None),
+    "op2_html_extraction": (op2_html_extraction, None),
     "op3_training_shards": (op3_training_shards, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op7_bpe_automaton": (op7_bpe_automaton, None),
