@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -203,21 +202,18 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) ->
 
 
 def meetings(leads: DataFrame, percent: int) -> DataFrame:
-    """``token, lead, m``: where groups meet. ``leads``: ``lead, m, n, prefix`` of the groups, ``m`` being their members.
+    """``token, lead, m``: the groups that share an element of their prefixes, and under a token of its own every group of
+    several members. ``leads``: ``lead, m, n, prefix`` of the groups, ``m`` being their members.
 
-    Groups meet under an element of both prefixes if their sizes also fall into the same or neighbouring classes, each class
-    being as wide as sizes of linked sets may differ. A group of several members also has a token of its own.
+    The first common element of a linked pair lies in a shorter prefix of the smaller set, about half of the other's, so an
+    element that is in no shorter prefix is left away.
     """
-    posts = leads.select("lead", "m", "n", F.explode("prefix").alias("token"))
-    rows = cut_lineage(posts.join(cut_lineage(_several(posts)), "token").select("token", "lead", "m", "n"))
-    step = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9)))
-    rows = rows.withColumn("step", F.explode(F.array(step, step + 1))).select(F.xxhash64("token", "step").alias("token"), "lead", "m")
+    short = F.expr(f"n + floor(-{2 * percent} * n / {100 + percent}) + 1")
+    posts = leads.select("lead", "m", short.alias("short"), F.posexplode("prefix").alias("at", "token"))
+    posts = posts.select("token", "lead", "m", (F.col("at") < F.col("short")).alias("first"))
+    shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.max("first").alias("first")).where("k > 1 and first").select("token")
     own = leads.where("m > 1").select(F.xxhash64("lead", F.lit("own")).alias("token"), "lead", "m")
-    return cut_lineage(rows.join(cut_lineage(_several(rows)), "token").select("token", "lead", "m").unionByName(own))
-
-
-def _several(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("token").count().where("count > 1").select("token")
+    return cut_lineage(posts.drop("first").join(cut_lineage(shared), "token").select("token", "lead", "m").unionByName(own))
 
 
 def candidates(met: DataFrame, members: DataFrame, percent: int, nearest: bool) -> DataFrame:
