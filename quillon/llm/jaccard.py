@@ -29,7 +29,7 @@ SHINGLE = 3
 PERCENT = 90
 BITS = 512  # of the shortest bitmap; a set of n elements has between n and 2 n bits,
 MOST_BITS = 4096  # but no more than these
-SKETCH = 1 << 22  # buckets of the frequency sketch; it only orders elements, so collisions cost time and not results
+SKETCH = 1 << 21  # buckets of the frequency sketch; it only orders elements, so collisions cost time and not results
 BLOCK = 4096  # members of one element compared in a task at once
 BROADCAST_IDS = 1_000_000  # candidate ids (8 MB) that may be sent to all executors; more are joined by a shuffle
 
@@ -179,8 +179,8 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) ->
         while len(rows):
             rows = rows[rows + step < end[rows]]
             rows = rows[100 * n[rows] >= percent * n[rows + step]]
-            for a in range(0, len(rows), 1 << 16):
-                i = rows[a : a + (1 << 16)]
+            for a in range(0, len(rows), 1 << 14):
+                i = rows[a : a + (1 << 14)]
                 j = i + step
                 ok = (component[i] != component[j]) & ((lo[i] == hi[i]) | (block[i] != block[j]))
                 i, j = i[ok], j[ok]

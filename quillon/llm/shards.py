@@ -30,7 +30,8 @@ SEQ_LEN = 2048
 SHARD_BYTES = 16 << 20
 KEY = 0x5EED
 SEPARATOR = 49407
-_LEVEL = 6  # of the compression of the scratch table
+_LEVEL = 6  # of the compression of the scratch table,
+_TEXTS = 4 << 20  # and bytes of text in a row of it
 
 
 class Layout(NamedTuple):
@@ -82,7 +83,7 @@ def token_table(docs: DataFrame, path: str, out: str, separator: int, id_bytes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, squeeze = encoder(path), zstandard.ZstdCompressor(level=_LEVEL)
         task, begin = TaskContext.get().partitionId(), 0
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, size=_TEXTS):
             ids, first = machine.texts(batch.column("text"))
             blob = np.insert(ids, first[1:], separator).astype(f"<u{id_bytes}")
             lengths = np.diff(first) + 1
