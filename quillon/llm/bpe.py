@@ -181,8 +181,10 @@ class Automaton:
             text = text.lower()
             if text.isalpha():
                 return [text]
-            return self.pieces.findall(text)
-        text = "".join(c.lower() for c in unicodedata.normalize("NFC", text))
+            if text.isprintable():  # stands for itself as byte symbols
+                return self.pieces.findall(text)
+        else:
+            text = "".join(c.lower() for c in unicodedata.normalize("NFC", text))
         table = byte_symbols()
         return ["".join(table[b] for b in p.encode()) for p in self.pieces.findall(text)]
 

@@ -18,3 +18,8 @@ def numbered(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     if ids.groupBy("i").count().where("i is null or count > 1").limit(1).count() == 0:
         return docs.withColumn("__id", F.col(id).cast("bigint"))
     return global_row_number(docs, [F.col(id).asc_nulls_last(), F.xxhash64(text).asc()], "__id")
+
+
+def set_aside(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with all columns but ``own`` named ``c0, c1, ...``, so that they clash with nothing an operator adds."""
+    return docs.toDF(*[c if c in own else f"c{i}" for i, c in enumerate(docs.columns)])

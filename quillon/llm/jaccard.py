@@ -309,4 +309,4 @@ def jaccard_stage(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     """Of each component the document with the smallest id, with its columns as they were; null ids stay."""
     found = jaccard_components(docs, width, percent)
     copies = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut_lineage
+from .ids import set_aside
 
 MIN_LINES = 2
 MIN_WORDS = 8
@@ -87,6 +88,8 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     rows count as one document, so neither loses lines to the other. Null ids come after all others. Other columns pass
     through, whatever their names but the three added ones, which are replaced. An empty table gives an empty table.
     """
+    docs = docs.drop("n_lines", "n_removed", "n_runs")
+    names, docs = docs.columns, set_aside(docs, id, text)
     windows = repeated_windows(docs, min_lines, min_words, id, text)
     gone = windows.select(*_DOC, F.explode(F.when(F.col("n") == 1, F.array(F.struct("pos", "raw"))).otherwise(
         F.expr("transform(sequence(0, n - 1), i -> struct(pos + i as pos, if(i = 0, raw, if(i = n - 1, raw_end, null)) as raw))"))).alias("s"))
@@ -104,13 +107,13 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     return out.withColumns({
         text: F.when(F.col("__cuts").isNull(), F.col(text)).otherwise(kept), "n_lines": filled.cast("bigint"),
         "n_removed": F.coalesce("__removed", F.lit(0)).cast("bigint"), "n_runs": F.coalesce("__runs", F.lit(0)).cast("bigint"),
-    }).drop("__cuts", "__removed", "__runs", *keys)
+    }).drop("__cuts", "__removed", "__runs", *keys).toDF(*names, "n_lines", "n_removed", "n_runs")
 
 
 def line_stage(docs: DataFrame) -> DataFrame:
     """The documents without repeated line runs; those that lose all their words go. Columns as they were."""
-    out = line_dedup(docs).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
-    return out.select(*docs.columns)
+    out = line_dedup(set_aside(docs, "doc_id", "text")).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    return out.drop("n_lines", "n_removed", "n_runs").toDF(*docs.columns)
 
 
 def line_query(docs: DataFrame) -> DataFrame:

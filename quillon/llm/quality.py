@@ -127,4 +127,4 @@ def quality_stage(docs: DataFrame, labels: DataFrame) -> DataFrame:
     them is.
     """
     kept = quality_rules(docs, labels).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
+    return docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")

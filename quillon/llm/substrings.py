@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .ids import numbered
+from .ids import numbered, set_aside
 
 WIDTH = 20
 ROUNDS = 2
@@ -284,23 +284,24 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -
     and the white space after it and is untouched elsewhere; ``kept_sha256`` is over the kept words joined by one space.
 
     A null text has no words and stays null. Repeated ids are told apart by their text, null ids come last, and of wholly
-    repeated rows all but one lose their windows. Other columns pass through; columns named like the added ones or with
-    a leading double underscore are replaced. An empty table gives an empty table.
+    repeated rows all but one lose their windows. Other columns pass through, whatever their names; columns named like the
+    added ones are replaced. An empty table gives an empty table.
     """
     docs = docs.drop(*ADDED)
+    given, docs = docs.columns, set_aside(docs, "doc_id", "text")
     rows = numbered(docs)
     found = repeated_windows(rows, width, rounds)
     spans = found.groupBy(F.col("id").alias("__key")).agg(F.collect_list(F.struct("at", "n")).alias("__spans"))
     joined = rows.join(spans, F.col("__id") == F.col("__key"), "left").drop("__id", "__key")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"{k} {v}" for k, v in ADDED.items()]
     names = [*docs.columns, *ADDED]
-    return joined.mapInArrow(lambda b: _cut(b, width, names), ", ".join(fields))
+    return joined.mapInArrow(lambda b: _cut(b, width, names), ", ".join(fields)).toDF(*given, *ADDED)
 
 
 def substring_stage(docs: DataFrame) -> DataFrame:
     """The documents without repeated windows; those that lose all their words go. Columns as they were."""
-    out = substring_dedup(docs.select(*docs.columns))
-    return out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).select(*docs.columns)
+    out = substring_dedup(set_aside(docs, "doc_id", "text"))
+    return out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).drop(*ADDED).toDF(*docs.columns)
 
 
 def substring_query(docs: DataFrame) -> DataFrame:
