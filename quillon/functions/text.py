@@ -26,13 +26,18 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(blanked, " "), lambda w: w != "")
 
 
+def strip(text: Column | str) -> Column:
+    """The text without white space at its ends: tabs, line ends and the Unicode blanks as well as spaces."""
+    return F.trim(_c(text), F.lit(WHITE))
+
+
 def strip_punctuation(token: Column) -> Column:
     return F.trim(token, F.lit(PUNCTUATION))
 
 
 def pooled_key(text: Column | str) -> Column:
     """Trimmed lower-case text: the key under which two texts count as the same."""
-    return F.lower(F.trim(_c(text), F.lit(WHITE)))
+    return F.lower(strip(text))
 
 
 def without(tokens: Column, stop: Sequence[str]) -> Column:
@@ -76,13 +81,13 @@ def duplicate_key(text: Column | str, stop: Sequence[str] = (), phrases: Sequenc
 def sentences(text: Column | str) -> Column:
     """Sentences by rule: a break follows ``.``, ``!`` or ``?`` and white space."""
     marked = F.regexp_replace(F.coalesce(_c(text), F.lit("")), r"([.!?])\s+", "$1\u0001")
-    parts = F.transform(F.split(marked, "\u0001"), lambda s: F.trim(s))
+    parts = F.transform(F.split(marked, "\u0001"), strip)
     return F.filter(parts, lambda s: s != "")
 
 
 def paragraphs(text: Column | str, separator: str = r"\n\s*\n") -> Column:
     parts = F.split(F.coalesce(_c(text), F.lit("")), separator)
-    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
+    return F.filter(F.transform(parts, strip), lambda p: p != "")
 
 
 def passage_windows(text: Column | str, n: int = 3, separator: str = r"\n\s*\n") -> Column:

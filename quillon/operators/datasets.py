@@ -32,7 +32,7 @@ def nli_triplets(pairs: DataFrame, s1: str = "s1", s2: str = "s2", label: str =
     """``(kind, anchor, positive, negative)``: per sentence with an entailment and a contradiction (both directions
     counted) one triplet that starts and one that ends with the sentence. Partners are picked by lowest hash.
     """
-    rows = both_directions(pairs.select(F.trim(s1).alias("s"), F.trim(s2).alias("o"), F.col(label).alias("l")), "s", "o")
+    rows = both_directions(pairs.select(X.strip(s1).alias("s"), X.strip(s2).alias("o"), F.col(label).alias("l")), "s", "o")
 
     def pick(name, n):
         h = hash_key("s", "o", seed=seed + n)
@@ -248,7 +248,8 @@ def ce_filtered_negatives(
             rows = rows.join(taken.select("query_id", "corpus_id"), ["query_id", "corpus_id"], "left_anti")
         rows = cap_per_key(rows, ["query_id"], [F.col("position").asc(), F.col("corpus_id").asc()], per_system)
         rows = rows.select("query_id", "system", "corpus_id", "position")
-        taken = rows if taken is None else taken.unionByName(rows)
+        # Cut in every round: the next one reads it twice.
+        taken = cut_lineage(rows if taken is None else taken.unionByName(rows))
     return taken
 
 
@@ -377,7 +378,7 @@ def retrieval_subcorpus(corpus: DataFrame, needed: DataFrame, size: int, id: str
 
 def parallel_pairs_wide(df: DataFrame, src: str, trgs: Sequence[str], n_dev: int = 1000, order: str = "id") -> DataFrame:
     """``(lang, order, src_text, trg_text, split)`` from one column per language; both sides non-blank after trimming."""
-    cells = F.array(*[F.struct(F.lit(t).alias("lang"), F.trim(F.col(src)).alias("src_text"), F.trim(F.col(t)).alias("trg_text")) for t in trgs])
+    cells = F.array(*[F.struct(F.lit(t).alias("lang"), X.strip(src).alias("src_text"), X.strip(t).alias("trg_text")) for t in trgs])
     rows = df.select(order, F.inline(cells)).where("src_text <> '' AND trg_text <> ''")
     return dev_split(rows, ["lang"], [order], n_dev)
 
@@ -406,7 +407,7 @@ def parallel_pairs_scored(df: DataFrame, threshold: float = 1.075, swap: bool =
     Pairs below the threshold or with equal sides drop out. In ``order``, pairs that share no sentence with an earlier
     dev pair become dev until there are ``n_dev``; any other pair that shares a sentence with dev is left out.
     """
-    rows = df.where(F.col("score") >= threshold).select("order", F.trim("sent1").alias("a"), F.trim("sent2").alias("b")).where("a <> b")
+    rows = df.where(F.col("score") >= threshold).select("order", X.strip("sent1").alias("a"), X.strip("sent2").alias("b")).where("a <> b")
     rows = rows.select("order", *(["b", "a"] if swap else ["a", "b"])).toDF("order", "src_text", "trg_text")
     rows = cut_lineage(rows)
     dev, take = [], 4 * n_dev
@@ -577,7 +578,7 @@ def multi_dataset_batches(
 
 def identity_pairs(df: DataFrame, text: str = "text", min_chars: int = 0, keep: Sequence[str] = ()) -> DataFrame:
     """``(keep..., texts)`` with the same sentence twice; shorter sentences drop out."""
-    rows = df.withColumn("__t", F.trim(text)).where(F.length("__t") >= max(min_chars, 1))
+    rows = df.withColumn("__t", X.strip(text)).where(F.length("__t") >= max(min_chars, 1))
     return rows.select(*keep, F.array("__t", "__t").alias("texts"))
 
 

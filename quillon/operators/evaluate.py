@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..functions import vectors as V
 from . import blocks as B
 from .graph import in_closure, transitive_closure
@@ -339,7 +340,7 @@ def mse_by_language_pair(
     sides = F.array(*[
         F.struct(F.lit(s).alias("src"), F.lit(t).alias("trg"), F.col(s).alias("s"), F.col(t).alias("t")) for s, t in combos])
     long = wide.select(F.inline(sides))
-    filled = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
+    filled = lambda c: X.strip(F.coalesce(F.col(c), F.lit(""))) != ""
     long = long.where(filled("s") & filled("t"))
     return _mse(long.select("src", "trg", teacher(F.col("s")).alias("__a"), student(F.col("t")).alias("__b")), ["src", "trg"])
 

@@ -70,9 +70,10 @@ def count_vectorizer(tokens: str, output: str, vocabulary: int, min_df: float) -
     return CountVectorizer(inputCol=tokens, outputCol=output, vocabSize=vocabulary, minDF=min_df)
 
 
-def fit_projection(emb: DataFrame, dim: int, sample: int = 20_000, seed: int = 0, id: str = "id", vector: str = "embedding") -> PipelineModel:
-    """Principal axes learned from at most ``sample`` rows in hash order."""
-    rows = hash_sample(emb.select(id, vector), id, sample, seed).select(array_to_vector(V.as_double(vector)).alias("v"))
+def fit_projection(emb: DataFrame, dim: int, sample: int | None = None, seed: int = 0, id: str = "id", vector: str = "embedding") -> PipelineModel:
+    """Principal axes of all rows, or of ``sample`` rows in hash order."""
+    rows = emb.select(id, vector) if sample is None else hash_sample(emb.select(id, vector), id, sample, seed)
+    rows = rows.select(array_to_vector(V.as_double(vector)).alias("v"))
     return PCA(k=dim, inputCol="v", outputCol="p").fit(rows)
 
 

@@ -23,7 +23,7 @@ def regressors(label: str, seed: int = 0) -> dict[str, Estimator]:
         "linear": LinearRegression(maxIter=15, **common),
         "tree": DecisionTreeRegressor(seed=seed, **common),
         "forest": RandomForestRegressor(seed=seed, **common),
-        "boosted": GBTRegressor(seed=seed, maxIter=10, **common),
+        "boosted": GBTRegressor(seed=seed, **common),
     }
 
 

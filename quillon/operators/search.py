@@ -74,7 +74,7 @@ def neighbours(emb: DataFrame, k: int, score: str = "cos", id: str = "id", vecto
 def paraphrase_mining(
     emb: DataFrame,
     k: int = 100,
-    max_pairs: int | None = 500_000,
+    max_pairs: int | None = None,
     score: str = "cos",
     id: str = "id",
     vector: str = "embedding",
@@ -147,14 +147,16 @@ def ivf_search(
             out["cluster"] = near.reshape(-1).astype("int32")
             yield out
 
+    near = queries.mapInPandas(probe, probe_schema)
+    # Queries that share a list are cut into slices, so that one popular list is no single task. They are counted before
+    # they are copied to the chunks of the list.
+    q_slices = near.groupBy("cluster").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("slices"))
     wanted = (
-        queries.mapInPandas(probe, probe_schema)
+        near
         .join(F.broadcast(chunks), "cluster")
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("cluster", "chunk", F.pmod(F.xxhash64("id"), F.lit(1 << 20)).alias("spread"), "id", "embedding")
     )
-    # Queries that share a list are cut into slices as well, so that one popular list is no single task.
-    q_slices = wanted.groupBy("cluster").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("slices"))
     wanted = wanted.join(F.broadcast(q_slices), "cluster").withColumn(
         "slice", F.pmod(F.col("spread"), F.col("slices")).cast("int")
     )
@@ -193,7 +195,10 @@ def lsh_search(
 
     Bucket keys are equi-joined in chunks (see :func:`ivf_search`); the cosine is computed in double for candidates.
     """
-    dim = corpus.select(F.size(vector)).head()[0]
+    first = corpus.select(F.size(vector)).head()
+    if first is None:
+        return top_k(queries.sparkSession.createDataFrame([], B.HITS), "query_id", "score", "corpus_id", k)
+    dim = first[0]
     planes = np.random.default_rng(seed).standard_normal((tables, bits, dim))
     schema = T.StructType(
         [T.StructField("id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..functions.hashing import hash_int, hash_key
 from .prefix import RANK_LIMIT, average_ranks, first_n, global_row_number, join_groups
 
@@ -32,7 +33,7 @@ def rescale(c: Column | str, low: float, high: float, to_low: float, to_high: fl
 
 def label_id(c: str, labels: Sequence[str]) -> Column:
     """Position of the label in ``labels`` after lower-casing and trimming; null if it is not listed."""
-    key = F.lower(F.trim(F.col(c)))
+    key = F.lower(X.strip(c))
     return F.coalesce(*[F.when(key == name, F.lit(i)) for i, name in enumerate(labels)]).cast("bigint")
 
 
@@ -43,7 +44,7 @@ def binarize(c: str, threshold: float = 0.5, strict: bool = False) -> Column:
 
 
 def length_between(c: str, low: int, high: int) -> Column:
-    return F.length(F.trim(F.col(c))).between(low, high)
+    return F.length(X.strip(c)).between(low, high)
 
 
 def route(c: str, named: Sequence[str] = ("dev", "test"), other: str = "train") -> Column:
@@ -122,7 +123,7 @@ def score_lines(gold: DataFrame, system: DataFrame) -> DataFrame:
     g = g.where(F.col("value") != "").withColumn("gold", F.split("value", "\t")[4].cast("double"))
     g = global_row_number(g.select("line", "gold"), [F.col("line").asc()], "pos")
     s = system.join(blank.withColumnRenamed("pos", "line"), "line", "left_anti").where(~F.col("value").startswith("#"))
-    s = s.withColumn("system", F.split(F.trim("value"), r"\s+")[0].cast("double"))
+    s = s.withColumn("system", F.split(X.strip("value"), r"\s+")[0].cast("double"))
     s = global_row_number(s.select("line", "system"), [F.col("line").asc()], "pos")
     return g.select("pos", "gold").join(s.select("pos", "system"), "pos").withColumn("in_range", F.col("gold").between(0, 5))
 

@@ -206,7 +206,7 @@ def n25(spark, sf):
     return N.sentence_pool(table(spark, sf, "part"), ["p_name", "p_type", "p_brand"], 20)
 
 
-NLI = """p AS (SELECT trim(a.text, ' ') AS s1, trim(b.text, ' ') AS s2, ['contradiction', 'entailment', 'neutral'][a.n_chars % 3 + 1] AS l FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
+NLI = """p AS (SELECT trim(a.text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s1, trim(b.text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s2, ['contradiction', 'entailment', 'neutral'][a.n_chars % 3 + 1] AS l FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
 r AS (SELECT s1 AS s, s2 AS o, l FROM p UNION ALL SELECT s2, s1, l FROM p)"""
 
 
@@ -298,7 +298,7 @@ QUERIES = {
     "n15_parallel_wide": (n15, """
         WITH w AS (SELECT doc_id // 4 AS g, min(text) FILTER (WHERE lang = 'en') AS en, min(text) FILTER (WHERE lang = 'de') AS de, min(text) FILTER (WHERE lang = 'fr') AS fr, min(text) FILTER (WHERE lang = 'es') AS es FROM documents GROUP BY 1),
         l AS (SELECT 'de' AS lang, g, en AS s, de AS t FROM w UNION ALL SELECT 'fr', g, en, fr FROM w UNION ALL SELECT 'es', g, en, es FROM w),
-        x AS (SELECT lang, g, trim(s, ' ') AS s, trim(t, ' ') AS t FROM l WHERE trim(s, ' ') <> '' AND trim(t, ' ') <> '')
+        x AS (SELECT lang, g, trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s, trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM l WHERE trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' AND trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')
         SELECT lang, g, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY g) <= 10 THEN 'dev' ELSE 'train' END AS split, md5(s) AS src, md5(t) AS trg FROM x"""),
     "n16_parallel_links": (n16, """
         WITH l AS (SELECT a.lang AS sl, b.lang AS tl, a.doc_id, a.text AS s, b.text AS t FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 WHERE a.lang = 'en' AND b.lang IN ('de', 'fr', 'es')),
@@ -323,7 +323,7 @@ QUERIES = {
         x AS (SELECT a.i // 15 * 8 + (a.i % 15 + 1) // 2 AS pair, a.id AS a, CASE WHEN a.i % 15 = 0 THEN a.id ELSE b.id END AS b, (a.i % 15 = 0)::BIGINT AS label FROM p a JOIN p b ON b.i = a.i + 1 WHERE a.i % 15 = 0 OR (a.i % 15) % 2 = 1)
         SELECT pair, a, b, label FROM x"""),
     "n22_multi_dataset_batches": (n22, None),
-    "n23_identity_pairs": (n23, "SELECT doc_id AS id, md5(trim(text, ' ')) AS a, md5(trim(text, ' ')) AS b FROM documents WHERE length(trim(text, ' ')) >= 50"),
+    "n23_identity_pairs": (n23, "SELECT doc_id AS id, md5(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS a, md5(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS b FROM documents WHERE length(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) >= 50"),
     "n24_denoise_pairs": (n24, f"""
         WITH t AS (SELECT conv_id * 1000 + turn AS id, text, {sql_words('text')} AS w FROM conversations),
         x AS (SELECT id, i, w[i + 1] AS word, {_DRAW.format(i='i')} AS h FROM t, LATERAL (SELECT unnest(range(len(w))) AS i)),

@@ -30,7 +30,7 @@ def paraphrase_mining(spark, sf):
 
 
 def near_duplicates(spark, sf):
-    pairs = S.paraphrase_mining(embeddings(spark, sf), k=3, max_pairs=20_000)
+    pairs = S.paraphrase_mining(embeddings(spark, sf), k=3)
     return S.near_duplicates(pairs, below=0.5).select(r6("score", "score"), "id1", "id2")
 
 

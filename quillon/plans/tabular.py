@@ -137,17 +137,14 @@ def d03(spark, sf):
 
 
 def d04(spark, sf):
-    # The query text names the view; a unique name keeps concurrent calls apart.
-    table(spark, sf, "lineitem").createOrReplaceTempView("quillon_lineitem")
     return spark.sql(
         "SELECT l_shipdate, count(*) AS n, "
         "CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue "
-        "FROM quillon_lineitem GROUP BY l_shipdate HAVING count(*) > 1 ORDER BY n DESC")
+        "FROM {lineitem} GROUP BY l_shipdate HAVING count(*) > 1 ORDER BY n DESC", lineitem=table(spark, sf, "lineitem"))
 
 
 def a21(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("quillon_orders")
-    return spark.sql("SELECT o_orderstatus, o_orderpriority, count(*) AS n, max(o_totalprice) AS top FROM quillon_orders GROUP BY o_orderstatus, o_orderpriority")
+    return spark.sql("SELECT o_orderstatus, o_orderpriority, count(*) AS n, max(o_totalprice) AS top FROM {orders} GROUP BY o_orderstatus, o_orderpriority", orders=table(spark, sf, "orders"))
 
 
 def d05(spark, sf):
@@ -282,7 +279,7 @@ QUERIES = {
     "b10_fill_nulls": (b10, "SELECT o_orderkey, coalesce(nullif(o_orderstatus, 'P'), '') AS status FROM orders"),
     "b11_label_map": (b11, "SELECT event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'purchase' THEN 2 END::BIGINT AS label_id FROM events WHERE event_type IN ('click', 'view', 'purchase')"),
     "b12_binarize": (b12, "SELECT event_id, (value >= 10)::BIGINT AS at_least, (value > 10)::BIGINT AS above FROM events"),
-    "b13_length_predicate": (b13, "SELECT doc_id FROM documents WHERE length(trim(text, ' ')) BETWEEN 100 AND 2000"),
+    "b13_length_predicate": (b13, "SELECT doc_id FROM documents WHERE length(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) BETWEEN 100 AND 2000"),
     "b14_schema_count": (b14, "SELECT count(*) AS n_rows, 'doc_id:bigint,text:string,lang:string,source:string,n_chars:bigint' AS schema FROM documents"),
     "b15_route_split": (b15, "WITH r AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'dev' WHEN 'F' THEN 'test' ELSE 'train' END AS split FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY o_orderkey) AS rn FROM r) SELECT o_orderkey, split FROM n WHERE split <> 'dev' OR rn <= 1000"),
     "c01_inner_join": (c01, "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"),
@@ -320,7 +317,7 @@ QUERIES = {
         SELECT doc_id, position, hits::BIGINT AS hits, round(hits / position, 6) AS precision, round(hits / total, 6) AS recall FROM r"""),
     "e03_cap_per_key": (e03, "SELECT l_suppkey, l_returnflag, l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey) AS rn FROM lineitem) WHERE rn <= 5"),
     "e04_dev_split": (e04, "SELECT doc_id, lang, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 20 THEN 'dev' ELSE 'train' END AS split FROM documents"),
-    "e05_first_occurrence": (e05, "SELECT doc_id, first_id, doc_id = first_id AS is_first FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY lower(trim(text, ' '))) AS first_id FROM documents)"),
+    "e05_first_occurrence": (e05, "SELECT doc_id, first_id, doc_id = first_id AS is_first FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY lower(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) AS first_id FROM documents)"),
     "f01_sort": (f01, "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY 2 DESC, 1"),
     "f02_random_sample": (f02, f"SELECT doc_id, lang FROM documents ORDER BY {sql_hash('doc_id', 7)}, doc_id LIMIT 10"),
     "f03_random_split": (f03, f"SELECT o_orderkey, CASE WHEN {sql_hash_int('o_orderkey', 3)} % 10000 < 7000 THEN 'train' WHEN {sql_hash_int('o_orderkey', 3)} % 10000 < 9000 THEN 'dev' ELSE 'test' END AS split FROM orders"),

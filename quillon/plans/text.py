@@ -152,8 +152,8 @@ def sql_tokens(x: str, stop: str | None = None) -> str:
 TOK = f"tk AS (SELECT id, pos, toks[pos + 1] AS token FROM (SELECT doc_id AS id, {sql_tokens('text')} AS toks FROM documents) t, LATERAL (SELECT unnest(range(len(toks))) AS pos))"
 VEC = "wv AS (SELECT word, [" + ", ".join(f"('0x' || substr(md5(word), {1 + 8 * i}, 8))::BIGINT / 4294967296.0::DOUBLE" for i in range(4)) + "] AS v FROM (SELECT DISTINCT token AS word FROM tk))"
 IDF = "df AS (SELECT token, count(DISTINCT id) AS df FROM tk GROUP BY 1), idf AS (SELECT token, df, ln((SELECT count(DISTINCT id) FROM tk) / df) AS idf FROM df)"
-SENTS = "list_filter(list_transform(string_split(regexp_replace({x}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s, ' ')), lambda s: s <> '')"
-PARAS = "list_filter(list_transform(string_split(text, chr(10)), lambda p: trim(p, ' ')), lambda p: p <> '')"
+SENTS = "list_filter(list_transform(string_split(regexp_replace({x}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda s: s <> '')"
+PARAS = "list_filter(list_transform(string_split(text, chr(10)), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda p: p <> '')"
 
 
 def _dup_sql() -> str:

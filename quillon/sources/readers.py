@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as X
 from ..operators.prefix import first_n, global_row_number
 
 
@@ -56,11 +57,15 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     """``(file, line, value)``: text lines numbered from 0 within each file, in parallel over the blocks of a file.
 
     A line's number is its place in its block plus the lines of the blocks before. Compressed ``.gz`` and ``.bz2`` files
-    are read by Spark; ``.xz`` files, for which Hadoop has no codec, are decompressed as a stream, one file per task.
+    are read by Spark; ``.xz`` files, for which Hadoop has no codec, are each read whole by a task and decompressed in
+    parts. A list may mix them.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if all(p.endswith(".xz") for p in paths):
-        return _read_xz(spark, paths)
+    packed = [p for p in paths if p.endswith(".xz")]
+    if packed:
+        rest = [p for p in paths if not p.endswith(".xz")]
+        unpacked = _read_xz(spark, packed)
+        return unpacked.unionByName(read_lines(spark, rest)) if rest else unpacked
     raw = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("mid"))
@@ -147,7 +152,7 @@ def read_labelled_sentences(
     lines = ordered_lines(spark, path)
     if max_rows:
         lines = lines.where(F.col("line") < max_rows)
-    rows = lines.withColumn("c", F.split(F.trim("value"), "\\Q" + sep + "\\E", -1)).select(
+    rows = lines.withColumn("c", F.split(X.strip("value"), "\\Q" + sep + "\\E", -1)).select(
         "line", F.get("c", F.lit(text)).alias("text"), F.get("c", F.lit(label)).alias("label"))
     return rows.join(label_ids(rows, "label", "line"), "label").select("line", "text", "label", "label_id")
 
@@ -170,14 +175,14 @@ NLI_LABELS = {"contradiction": 0, "entailment": 1, "neutral": 2}
 def read_nli(spark: SparkSession, s1: str, s2: str, labels: str, max_rows: int | None = None) -> DataFrame:
     """``(guid, texts, label)`` from three files zipped by line. An unknown label gives null."""
     rows = read_paired_files(spark, [s1, s2, labels], max_rows)
-    key = F.lower(F.trim(F.get("texts", F.lit(2))))
+    key = F.lower(X.strip(F.get("texts", F.lit(2))))
     number = F.coalesce(*[F.when(key == k, F.lit(v)) for k, v in NLI_LABELS.items()])
     return rows.select("guid", F.slice("texts", 1, 2).alias("texts"), number.cast("bigint").alias("label"))
 
 
 def read_parallel_tsv(spark: SparkSession, path: str, max_len: int | None = 128, max_rows: int | None = None) -> DataFrame:
     """``(line, texts)``: translations per line, the source first; a row with any cell over ``max_len`` is left out."""
-    rows = ordered_lines(spark, path).select("line", F.split(F.trim("value"), "\t", -1).alias("texts"))
+    rows = ordered_lines(spark, path).select("line", F.split(X.strip("value"), "\t", -1).alias("texts"))
     if max_len:
         rows = rows.where(F.array_max(F.transform("texts", lambda t: F.length(t))) <= max_len)
     return first_n(rows, [F.col("line").asc()], max_rows) if max_rows else rows
@@ -188,7 +193,7 @@ PADDING = "PADDING_TOKEN"
 
 def read_word_vectors(spark: SparkSession, path: str, sep: str = " ", max_vocab: int | None = None) -> DataFrame:
     """``(idx, word, vector)``. Line 1 fixes the dimension, other lengths are skipped; index 0 is a zero padding row."""
-    rows = ordered_lines(spark, path).withColumn("c", F.split(F.rtrim("value"), "\\Q" + sep + "\\E", -1))
+    rows = ordered_lines(spark, path).withColumn("c", F.split(F.rtrim("value", F.lit(X.WHITE)), "\\Q" + sep + "\\E", -1))
     first = rows.where("line = 0").select(F.size("c").alias("width")).head()
     if first is None:
         raise ValueError("empty word vector file")
@@ -207,7 +212,7 @@ def read_doc_frequencies(spark: SparkSession, path: str, stop: Sequence[str] = (
     """``(token, df, weight)`` with ``weight = ln(N / df)``; ``N`` is line 1. The first ``max_vocab`` words are kept."""
     rows = ordered_lines(spark, path)
     n = int(rows.where("line = 0").head()["value"])
-    cells = rows.where("line > 0").withColumn("c", F.split(F.trim(F.lower("value")), "\t"))
+    cells = rows.where("line > 0").withColumn("c", F.split(X.strip(F.lower("value")), "\t"))
     out = cells.select("line", F.get("c", F.lit(0)).alias("token"), F.get("c", F.lit(1)).cast("bigint").alias("df"))
     if stop:
         out = out.where(~F.col("token").isin(list(stop)))
