@@ -7,8 +7,7 @@ spread like any other.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import numpy as np
@@ -21,6 +20,7 @@ from ..functions import text as X
 from ..functions.hashing import hash_int, hash_key
 from ..session import cut_lineage
 from . import blocks as B
+from .batches import no_duplicate_batches
 from .graph import chunk_grid, components
 from .lexical import bm25_search
 from .prefix import first_n, global_row_number, running
@@ -445,72 +445,6 @@ def translation_groups(df: DataFrame, vectors: DataFrame | None = None, texts: s
     return rows.join(vectors.select(F.col("text").alias("source"), F.col("embedding").alias("label")), "source")
 
 
-def no_duplicate_batches(
-    df: DataFrame, texts: Sequence[str], size: int, seed: int = 0, id: str = "id", guid: str | None = None,
-    rows_per_task: int = 100_000, open_batches: int = 64, passes: int = 3,
-) -> DataFrame:
-    """Adds ``batch``: exactly ``size`` rows each, no normalized text (or guid) twice in a batch.
-
-    Rows are dealt to tasks by hash and fill batches there in hash order: a row goes to the first open batch without a
-    conflict. What a task could not place is dealt again to fewer tasks. Rows that fit nowhere (a text with more rows
-    than there are batches, or the last incomplete batch) have no batch and are left out, as any batch with them would
-    break the rule.
-    """
-    keys = [X.pooled_key(t) for t in texts] + ([F.concat(F.lit("\u0000"), F.col(guid).cast("string"))] if guid else [])
-    base = df.select(F.col(id).alias("__id"), F.array(*[F.xxhash64(k) for k in keys]).alias("__k"), hash_key(id, seed=seed).alias("__h"))
-    schema = T.StructType([base.schema["__id"], T.StructField("__k", T.ArrayType(T.LongType())), T.StructField("__h", T.StringType()),
-                           T.StructField("__n", T.LongType())])
-
-    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        opened: list[tuple[set, list]] = []
-        done, spare = 0, []
-
-        def rows(items, n):
-            out = pd.DataFrame(items, columns=["__id", "__k", "__h"])
-            out["__n"] = pd.array([n] * len(out), "Int64")
-            return out
-
-        for pdf in frames:
-            for item in zip(pdf["__id"], pdf["__k"], pdf["__h"]):
-                mine = set(item[1])
-                for at, (seen, held) in enumerate(opened):
-                    if seen.isdisjoint(mine):
-                        break
-                else:
-                    if len(opened) >= open_batches:
-                        spare.append(item)
-                        continue
-                    at = len(opened)
-                    opened.append((set(), []))
-                    seen, held = opened[at]
-                seen |= mine
-                held.append(item)
-                if len(held) == size:
-                    yield rows(opened.pop(at)[1], done)
-                    done += 1
-            if spare:
-                yield rows(spare, None)
-                spare = []
-        for _, held in opened:
-            yield rows(held, None)
-
-    placed, rest = None, base
-    n = df.count()
-    for p in range(passes):
-        tasks = max(1, math.ceil(n / rows_per_task) >> p)
-        dealt = rest.withColumn("__t", F.pmod(hash_int("__id", seed=seed + 7 * p + 1), F.lit(tasks)).cast("int"))
-        # One task per value of __t: partition ids are set by range, batches are numbered by (pass, task, order).
-        dealt = dealt.repartitionByRange(tasks, "__t").sortWithinPartitions("__t", "__h", "__id").select("__id", "__k", "__h")
-        out = cut_lineage(dealt.mapInPandas(fill, schema).withColumn("__pid", F.spark_partition_id()))
-        full = out.where("__n IS NOT NULL").select("__id", (F.lit(p << 52).cast("bigint") + F.col("__pid").cast("bigint") * (1 << 32) + F.col("__n")).alias("batch"))
-        placed = full if placed is None else placed.unionByName(full)
-        rest = out.where("__n IS NULL").select("__id", "__k", "__h")
-        n = rest.count()
-        if n < size:
-            break
-    return df.join(placed.withColumnRenamed("__id", id), id)
-
-
 def label_batches(df: DataFrame, label: str, n: int = 2, seed: int = 0, id: str = "id") -> DataFrame:
     """``(id, label, draw, slot, order_key)``: draws of ``n`` different random rows of one label.
 

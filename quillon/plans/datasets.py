@@ -187,10 +187,16 @@ def n21(spark, sf):
 
 
 def n22(spark, sf):
+    """Per dataset: rows served, full batches without a repeated text, scheduled steps that name no such batch; and all steps."""
     d = docs(spark, sf).select("id", "text", "lang")
     rows, plan = N.multi_dataset_batches({lang: d.where(F.col("lang") == lang) for lang in ("en", "de", "fr")}, ["text"], 8, 2.0)
-    return plan.groupBy("dataset").agg(F.count(F.lit(1)).alias("steps"), F.countDistinct("batch_no").alias("batches")).join(
-        rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows")), "dataset")
+    texts = d.select("id", X.pooled_key("text").alias("k"))
+    good = rows.join(texts, "id").groupBy("dataset", "batch_no").agg(F.countDistinct("id").alias("n"), F.countDistinct("k").alias("k")).where("n = 8 AND k = 8")
+    steps = plan.agg(F.count(F.lit(1)).alias("steps"), F.countDistinct("step").alias("different"))
+    wrong = plan.join(good, ["dataset", "batch_no"], "left_anti").agg(F.count(F.lit(1)).alias("wrong_steps"))
+    per = rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows")).join(good.groupBy("dataset").agg(F.count(F.lit(1)).alias("batches")), "dataset")
+    totals = steps.withColumn("one", F.lit(1)).join(F.broadcast(wrong.withColumn("one", F.lit(1))), "one")  # one row each
+    return per.withColumn("one", F.lit(1)).join(F.broadcast(totals), "one").drop("one")
 
 
 def n23(spark, sf):
@@ -218,14 +224,25 @@ BATCH = f"""{SQL_EMB},
 d AS (SELECT a.vec_id // 50 AS batch, a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, round(list_distance(a.v, b.v), 9) AS d
       FROM e a JOIN e b ON a.vec_id // 50 = b.vec_id // 50 AND a.vec_id <> b.vec_id)"""
 HITS2 = f"""{SQL_EMB},
-s AS (SELECT a.vec_id AS q, b.vec_id AS c, {COS} AS x, round(list_inner_product(a.v, b.v), 9) AS y, round(10 * list_cosine_similarity(a.v, b.v), 6) AS sc FROM e a, e b WHERE a.vec_id <> b.vec_id),
+s AS MATERIALIZED (SELECT a.vec_id AS q, b.vec_id AS c, {COS} AS x, round(list_inner_product(a.v, b.v), 9) AS y, round(10 * list_cosine_similarity(a.v, b.v), 6) AS sc FROM e a, e b WHERE a.vec_id <> b.vec_id),
 ql AS (SELECT a.vec_id AS q, b.vec_id AS c FROM e a JOIN e b ON abs(a.vec_id - b.vec_id) <= 10 AND a.vec_id <> b.vec_id AND a.label = b.label),
 h AS (SELECT q, c, sc, row_number() OVER (PARTITION BY q ORDER BY x DESC, c) AS rx, row_number() OVER (PARTITION BY q ORDER BY y DESC, c) AS ry FROM s),
-ng AS (SELECT q, c, sc, rx, ry FROM h ANTI JOIN ql USING (q, c) WHERE rx <= 20 OR ry <= 20)"""
+ng AS MATERIALIZED (SELECT q, c, sc, rx, ry FROM h ANTI JOIN ql USING (q, c) WHERE rx <= 20 OR ry <= 20)"""
 _DRAW = sql_hash_int("(id || '-' || {i})", 5)
 COMP = f"""{EDGES}, al AS (SELECT doc_id AS node, coalesce(component, doc_id) AS component, text FROM documents LEFT JOIN cc ON node = doc_id),
 sp AS (SELECT *, CASE WHEN b < 1 THEN 'dev' WHEN b < 3 THEN 'test' ELSE 'train' END AS split FROM (SELECT *, {sql_hash_int('component')} % 10 AS b FROM al))"""
 
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _most_batches(source: str, size: int) -> str:
+    """``bt(source, total, b)``: the largest number of batches that the copies of each text allow."""
+    return f"""
+        tx AS ({source}), cp AS (SELECT source, k, count(*) AS n FROM tx GROUP BY 1, 2), hs AS (SELECT source, n, count(*) AS keys FROM cp GROUP BY 1, 2),
+        al AS (SELECT source, sum(n * keys) AS total FROM hs GROUP BY 1), tr AS (SELECT source, total, unnest(range(0, (total // {size} + 1)::BIGINT)) AS i FROM al),
+        bt AS (SELECT source, total, max(i) AS b FROM (SELECT source, total, i, sum(least(n, i) * keys) AS held FROM tr JOIN hs USING (source) GROUP BY 1, 2, 3) WHERE held >= {size} * i GROUP BY 1, 2)"""
+
+
 QUERIES = {
     "n01_nli_triplets": (n01, f"""
         WITH {NLI}, g AS (SELECT s, {_pick('entailment', 0)}, {_pick('entailment', 1)}, {_pick('contradiction', 0)}, {_pick('contradiction', 1)} FROM r GROUP BY s)
@@ -314,7 +331,9 @@ QUERIES = {
         SELECT o AS "order", s AS src_text, t AS trg_text, CASE WHEN list_contains(r.dev, o) THEN 'dev' ELSE 'train' END AS split
         FROM c, w WHERE list_contains(r.dev, o) OR NOT list_has_any(r.used, [s, t])"""),
     "n18_translation_groups": (n18, "SELECT DISTINCT source, unnest([source, lang, source || '/' || lang]) AS sentence FROM documents"),
-    "n19_no_duplicate_batches": (n19, None),
+    "n19_no_duplicate_batches": (n19, f"""
+        WITH {_most_batches(f"SELECT 'all' AS source, lower(trim(text, {_BLANKS})) AS k FROM conversations", 16)}
+        SELECT unnest(range(0, b)) AS batch, 16::BIGINT AS n, 16::BIGINT AS texts FROM bt"""),
     "n20_label_batches": (n20, f"""
         WITH p AS (SELECT doc_id AS id, source AS label, row_number() OVER (PARTITION BY source ORDER BY {sql_hash('doc_id')}, doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM documents)
         SELECT id, label, pos // 4 AS draw, pos % 4 AS slot, md5('1:' || label || ':' || (pos // 4)) AS order_key FROM p WHERE (pos // 4 + 1) * 4 <= n"""),
@@ -322,7 +341,9 @@ QUERIES = {
         WITH p AS (SELECT doc_id AS id, row_number() OVER (ORDER BY {sql_hash('doc_id')}, doc_id) - 1 AS i, count(*) OVER () AS n FROM documents),
         x AS (SELECT a.i // 15 * 8 + (a.i % 15 + 1) // 2 AS pair, a.id AS a, CASE WHEN a.i % 15 = 0 THEN a.id ELSE b.id END AS b, (a.i % 15 = 0)::BIGINT AS label FROM p a JOIN p b ON b.i = a.i + 1 WHERE a.i % 15 = 0 OR (a.i % 15) % 2 = 1)
         SELECT pair, a, b, label FROM x"""),
-    "n22_multi_dataset_batches": (n22, None),
+    "n22_multi_dataset_batches": (n22, f"""
+        WITH {_most_batches(f"SELECT lang AS source, lower(trim(text, {_BLANKS})) AS k FROM documents WHERE lang IN ('en', 'de', 'fr')", 8)}
+        SELECT source AS dataset, (8 * b)::BIGINT AS rows, b::BIGINT AS batches, (sum(total) OVER () // 8)::BIGINT AS steps, (sum(total) OVER () // 8)::BIGINT AS different, 0::BIGINT AS wrong_steps FROM bt"""),
     "n23_identity_pairs": (n23, "SELECT doc_id AS id, md5(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS a, md5(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS b FROM documents WHERE length(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) >= 50"),
     "n24_denoise_pairs": (n24, f"""
         WITH t AS (SELECT conv_id * 1000 + turn AS id, text, {sql_words('text')} AS w FROM conversations),

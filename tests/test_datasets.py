@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -127,18 +129,55 @@ def test_scored_pairs_with_too_few_dev_candidates(spark):
     assert rows(N.parallel_pairs_scored(df, n_dev=10)) == [(1, "a", "b", "dev")]
 
 
-@pytest.mark.parametrize("per_task", [10_000, 60])
-def test_batches_without_duplicates(spark, rng, per_task):
+def checked_batches(out, size, *columns):
+    """Rows per batch, after the rules: full batches, every id once, no text twice in a batch over all columns."""
+    per = {}
+    for r in out.collect():
+        per.setdefault(r["batch"], []).append(r)
+    for group in per.values():
+        keys = [k for r in group for k in {str(r[c]).strip().lower() for c in columns}]
+        assert len(group) == size and len(keys) == len(set(keys))
+    ids = [r["id"] for group in per.values() for r in group]
+    assert len(ids) == len(set(ids))
+    return per
+
+
+@pytest.mark.parametrize("tasks", [1, 100])
+def test_every_batch_is_filled_beside_a_hot_text(spark, tasks):
+    """A text on every fifth row, batches of four: all 1,000 batches are full whatever the number of tasks."""
+    df = spark.range(4000).repartition(tasks).withColumn("t", F.when(F.col("id") % 5 == 0, " Hot ").otherwise(F.col("id").cast("string")))
+    assert len(checked_batches(N.no_duplicate_batches(df, ["t"], 4), 4, "t")) == 1000
+
+
+def test_batches_without_duplicates(spark, rng):
     texts = [f" T{x} " if x % 2 else f"t{x}" for x in rng.integers(0, 60, 300)]
     texts[:60] = ["Hot"] * 30 + ["hot "] * 30
     df = spark.createDataFrame([(i, t, f"u{i}") for i, t in enumerate(texts)], "id bigint, a string, b string")
-    out = N.no_duplicate_batches(df, ["a", "b"], 8, rows_per_task=per_task)
-    per = {}
-    for r in out.collect():
-        per.setdefault(r["batch"], []).append(r["a"].strip().lower())
-    assert all(len(v) == 8 and len(set(v)) == 8 for v in per.values())
-    assert len(per) >= 20
-    assert out.select("id").distinct().count() == out.count()
+    # 60 rows of one text: with B batches at most min(60, B) of them find a place, which 37 batches allow.
+    assert len(checked_batches(N.no_duplicate_batches(df.select("id", "a"), ["a"], 8), 8, "a")) == max(
+        b for b in range(38) if sum(min(n, b) for n in Counter(t.strip().lower() for t in texts).values()) >= 8 * b)
+
+
+def test_batches_over_two_columns(spark, rng):
+    """Pairs that meet in either column or the guid are kept apart; every batch that the rows allow is filled."""
+    a, b = rng.integers(0, 90, 300), rng.integers(100, 160, 300)
+    df = spark.createDataFrame([(i, f"t{x}", f"t{y}", i // 3) for i, (x, y) in enumerate(zip(a, b))], "id bigint, a string, b string, g bigint")
+    per = checked_batches(N.no_duplicate_batches(df, ["a", "b"], 6, guid="g"), 6, "a", "b")
+    assert len(per) == 50
+    assert all(len({r["g"] for r in group}) == 6 for group in per.values())
+
+
+def test_batches_with_more_copies_than_batches(spark):
+    df = spark.createDataFrame([(i, "x" if i < 50 else f"y{i}") for i in range(70)], "id bigint, t string")
+    assert len(checked_batches(N.no_duplicate_batches(df, ["t"], 3), 3, "t")) == 10  # 20 other rows, two per batch
+    assert N.no_duplicate_batches(df.where("id < 50"), ["t"], 3).count() == 0
+    assert N.no_duplicate_batches(df.limit(0), ["t"], 3).count() == 0
+
+
+def test_batches_that_cannot_be_filled(spark):
+    """Three rows that meet pairwise in different columns."""
+    df = spark.createDataFrame([(1, "a", "b"), (2, "b", "c"), (3, "c", "a")], "id bigint, a string, b string")
+    assert N.no_duplicate_batches(df, ["a", "b"], 3, patience=1).count() == 0
 
 
 def test_batches_are_stable_under_partitioning(spark):
