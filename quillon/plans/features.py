@@ -125,6 +125,6 @@ QUERIES = {
     "h07_one_hot": (h07, f"WITH {ORD} SELECT o_orderkey, " + ", ".join(f"(idx = {i})::BIGINT AS h{i}" for i in range(4)) + " FROM orders JOIN r ON p = o_orderpriority"),
     "h08_hashing_tf": (h08, f"SELECT doc_id AS id, len({WORDS})::BIGINT AS tokens, len({WORDS})::BIGINT AS mass FROM documents"),
     "h09_count_vectorizer": (h09, f"WITH w AS (SELECT doc_id, unnest({WORDS}) AS word FROM documents), c AS (SELECT word, count(*) AS n FROM w GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2) SELECT row_number() OVER (ORDER BY n DESC) - 1 AS i, word, n FROM c ORDER BY n DESC LIMIT 3"),
-    "h10_pca": (h10, None),
+    "h10_pca": (h10, "SELECT range AS dim, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS sd FROM range(19)"),
     "h11_nested_stages": (h11, f"WITH s AS (SELECT avg(l_discount) AS m, stddev_samp(l_discount) AS d, count(DISTINCT l_returnflag) + count(DISTINCT l_linestatus) AS w FROM lineitem) SELECT {K}, 3 + w AS width, 2::BIGINT AS ones, round((l_discount - m) / d, 6) AS discount FROM lineitem, s"),
 }

@@ -6,9 +6,11 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import vectors as V
 from ..operators import graph as G
 from ..operators import lexical as L
 from ..operators import search as S
+from ..session import cut_lineage
 from .common import SQL_EMB, embeddings, r6, table
 from .text import STOP, docs, sql_tokens, sql_words, turns
 
@@ -61,8 +63,30 @@ def community_detection(spark, sf):
 
 
 def kmeans(spark, sf):
-    out, _ = S.kmeans(embeddings(spark, sf), 10, seed=1)
-    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first_id"))
+    """Rows, clusters, rows at their nearest centre, and whether the rows lie closer to the centres than to the mean."""
+    emb = embeddings(spark, sf).select("id", "embedding")
+    out, model = S.kmeans(emb, 10, seed=1)
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+    near = emb.crossJoin(F.broadcast(centres)).withColumn("d", V.euclidean("embedding", "centre"))  # ten centres
+    near = near.groupBy("id").agg(F.min("d").alias("least"), F.map_from_entries(F.collect_list(F.struct("cluster", "d"))).alias("all"))
+    own = out.join(near, "id").select("cluster", "least", F.element_at("all", F.col("cluster")).alias("d"))
+    mean = S.centroids(emb.withColumn("one", F.lit(0)), "one").select(F.col("embedding").alias("mean"))
+    total = emb.crossJoin(F.broadcast(mean)).agg(F.sum(V.euclidean("embedding", "mean") ** 2).alias("total"))
+    some = own.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("cluster").alias("clusters"),
+                   F.sum((F.col("d") <= F.col("least") + 1e-9).cast("bigint")).alias("nearest"), F.sum(F.col("d") ** 2).alias("within"))
+    return some.crossJoin(total).select("n_rows", "clusters", "nearest", (F.col("within") < F.col("total")).alias("closer"))
+
+
+def _ann(hits, emb):
+    """Per query: whether its hits carry the exact cosine, the best hit, and whether the recall of all queries is 0.9 or more."""
+    hits = cut_lineage(hits)
+    side = lambda c, v: emb.select(F.col("id").alias(c), F.col("embedding").alias(v))
+    both = hits.join(side("query_id", "a"), "query_id").join(side("corpus_id", "b"), "corpus_id")
+    exact = F.abs(V.cosine("a", "b") - F.col("score")) < 1e-6
+    per = both.groupBy("query_id").agg(F.bool_and(exact).alias("exact"), F.min_by("corpus_id", "rank").alias("best_id"), F.max("score").alias("top"))
+    report, _ = S.ann_recall(hits, S.semantic_search(emb, emb, 10))
+    recall = report.agg((F.sum("hits") / F.sum("expected")).alias("recall"))
+    return per.crossJoin(F.broadcast(recall)).select("query_id", "exact", "best_id", r6("top", "top"), (F.col("recall") >= 0.9).alias("found"))
 
 
 def threshold_clusters(spark, sf):
@@ -71,7 +95,7 @@ def threshold_clusters(spark, sf):
 
 def ivf(spark, sf):
     emb = embeddings(spark, sf)
-    return S.ivf_search(emb, emb, 10, 3, 10, seed=1).select("query_id", "corpus_id", "rank", r6("score", "score"))
+    return _ann(S.ivf_search(emb, emb, 10, 8, 10, seed=1), emb)
 
 
 def ivf_all(spark, sf):
@@ -82,7 +106,7 @@ def ivf_all(spark, sf):
 
 def lsh(spark, sf):
     emb = embeddings(spark, sf)
-    return S.lsh_search(emb, emb, 10, tables=8, bits=6).select("query_id", "corpus_id", "rank", r6("score", "score"))
+    return _ann(S.lsh_search(emb, emb, 10, tables=24, bits=4), emb)
 
 
 def ann_recall(spark, sf):
@@ -279,6 +303,9 @@ w AS (SELECT list_reduce(list({{'s': src, 't': trg, 'us': []::BIGINT[], 'ut': []
         {{'s': NULL::BIGINT, 't': NULL::BIGINT, 'us': []::BIGINT[], 'ut': []::BIGINT[]}}) AS r FROM u WHERE score >= 1.0)
 SELECT src, trg, round(score, 6) AS score FROM (SELECT unnest(r.us) AS src, unnest(r.ut) AS trg FROM w) JOIN u USING (src, trg)"""
 
+# A row's best hit is the row itself, or the first with the same vector.
+SQL_ANN = "SELECT vec_id AS query_id, true AS exact, min(vec_id) OVER (PARTITION BY embedding) AS best_id, 1.0::DOUBLE AS top, true AS found FROM embeddings"
+
 QUERIES = {
     "c06_theta_join": (theta_join, f"WITH {SQL_EMB}, {CENTRES} SELECT c.id AS label, e.vec_id AS id, round(list_inner_product(c.v, e.v), 6) AS score FROM c, e WHERE round(list_inner_product(c.v, e.v), 9) > 0.02"),
     "c07_similarity_join": (similarity_join, f"WITH {SQL_EMB} SELECT a.vec_id AS id1, b.vec_id AS id2, round({COS}, 6) AS score FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE {COS} >= 0.4"),
@@ -289,15 +316,15 @@ QUERIES = {
     "j02_paraphrase_mining": (paraphrase_mining, SQL_MINING.format(k=5, tail="p")),
     "j03_near_duplicates": (near_duplicates, SQL_MINING.format(k=3, tail="(SELECT * FROM p ORDER BY score DESC, id1, id2 LIMIT 20000) WHERE score < 0.5")),
     "j04_community_detection": (community_detection, SQL_COMMUNITIES),
-    "j05_kmeans": (kmeans, None),
+    "j05_kmeans": (kmeans, "SELECT count(*) AS n_rows, 10::BIGINT AS clusters, count(*) AS nearest, true AS closer FROM embeddings"),
     "j06_threshold_clusters": (threshold_clusters, f"""
         WITH RECURSIVE {SQL_EMB},
         ed AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a, e b WHERE a.vec_id <> b.vec_id AND {COS} >= 1 - 1.05 * 1.05 / 2),
         reach AS (SELECT vec_id AS node, vec_id AS root FROM e UNION SELECT ed.b, reach.root FROM reach JOIN ed ON ed.a = reach.node)
         SELECT node AS id, min(root) AS cluster FROM reach GROUP BY 1"""),
-    "j07_ivf_search": (ivf, None),
+    "j07_ivf_search": (ivf, SQL_ANN),
     "j07_ivf_all_probes": (ivf_all, SQL_SEARCH.format(score=COS, k=10).replace(" WHERE a.vec_id <> b.vec_id", "")),
-    "j08_lsh_search": (lsh, None),
+    "j08_lsh_search": (lsh, SQL_ANN),
     "j09_ann_recall": (ann_recall, f"""
         WITH {SQL_EMB},
         s AS (SELECT a.vec_id AS q, b.vec_id AS c, {COS} AS x, round(list_inner_product(a.v, b.v), 9) AS y FROM e a, e b WHERE a.vec_id <> b.vec_id),

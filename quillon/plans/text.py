@@ -180,7 +180,16 @@ QUERIES = {
               CASE WHEN i0 IS NOT NULL THEN t0 ELSE t1 END AS token FROM g)
         SELECT id, count(*) AS n, sum(idx)::BIGINT AS idx_sum, sum(pos * length(token))::BIGINT AS pos_mass FROM c WHERE idx IS NOT NULL GROUP BY id"""),
     "g05_search_tokens": (g05, f"SELECT doc_id AS id, array_to_string({sql_tokens('text', _STOP)}, ' ') AS tokens FROM documents"),
-    "g06_phrase_merge": (g06, None),
+    "g06_phrase_merge": (g06, """
+        WITH b AS (SELECT list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '') AS w FROM benchmark),
+        g AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1])) AS phrase FROM b),
+        d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS w FROM documents),
+        t AS (SELECT id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM d), n AS (SELECT *, t || '_' || lead(t) OVER (PARTITION BY id ORDER BY i) AS gram FROM t),
+        h AS (SELECT id, i, t, coalesce(x.phrase, y.phrase) AS hit FROM n LEFT JOIN g x ON x.phrase = gram LEFT JOIN g y ON y.phrase = lower(gram)),
+        r AS (SELECT *, i - max(CASE WHEN hit IS NULL THEN i ELSE 0 END) OVER (PARTITION BY id ORDER BY i) AS nth FROM h),
+        k AS (SELECT id, i, t, hit, nth % 2 = 1 AND hit IS NOT NULL AS taken FROM r), m AS (SELECT *, coalesce(lag(taken) OVER (PARTITION BY id ORDER BY i), false) AS second FROM k)
+        SELECT d.id, len(w)::INT AS before, count(i) FILTER (WHERE NOT second)::INT AS after, md5(coalesce(string_agg(CASE WHEN taken THEN hit ELSE t END, ' ' ORDER BY i) FILTER (WHERE NOT second), '')) AS digest
+        FROM d LEFT JOIN m USING (id) GROUP BY d.id, w"""),
     "g07_duplicate_key": (g07, f"SELECT doc_id AS id, md5({_dup_sql()}) AS key FROM documents"),
     "g08_passage_windows": (g08, f"""
         WITH p AS (SELECT doc_id, pi, {SENTS.format(x='ps[pi]')} AS s FROM (SELECT doc_id, {PARAS} AS ps FROM documents) d, LATERAL (SELECT unnest(range(1, len(ps) + 1)) AS pi)),
