@@ -21,7 +21,7 @@ from ..functions.hashing import hash_int, hash_key
 from ..session import cut_lineage
 from . import blocks as B
 from .batches import no_duplicate_batches
-from .graph import chunk_grid, components
+from .graph import SMALL_EDGES, chunk_grid, components
 from .lexical import bm25_search
 from .prefix import first_n, global_row_number, running
 from .search import distances, predict_pairs, semantic_search
@@ -318,12 +318,12 @@ def cross_domain_labels(pairs: DataFrame, a: str, b: str, make_scorer: Callable,
     return predict_pairs(pairs, a, b, make_scorer).withColumn("label", binarize("score", threshold))
 
 
-def duplicate_split(pairs: DataFrame, dev: int = 1, test: int = 2, of: int = 10, seed: int = 0, a: str = "id1", b: str = "id2") -> DataFrame:
+def duplicate_split(pairs: DataFrame, dev: int = 1, test: int = 2, of: int = 10, seed: int = 0, a: str = "id1", b: str = "id2", small: int = SMALL_EDGES) -> DataFrame:
     """``(node, component, split)``: whole components go to one split, by the hash of the component.
 
     Of ``of`` buckets the first ``dev`` are dev, the next ``test`` test, the rest train; no pair can cross splits.
     """
-    comp = components(pairs, a, b)
+    comp = components(pairs, a, b, small)
     bucket = F.pmod(hash_int("component", seed=seed), F.lit(of))
     return comp.withColumn("split", F.when(bucket < dev, "dev").when(bucket < dev + test, "test").otherwise("train"))
 
@@ -409,30 +409,32 @@ def parallel_pairs_scored(df: DataFrame, threshold: float = 1.075, swap: bool =
     """
     rows = df.where(F.col("score") >= threshold).select("order", X.strip("sent1").alias("a"), X.strip("sent2").alias("b")).where("a <> b")
     rows = rows.select("order", *(["b", "a"] if swap else ["a", "b"])).toDF("order", "src_text", "trg_text")
-    rows = cut_lineage(rows)
-    dev, take = [], 4 * n_dev
-    while True:
-        # The choice depends on a bounded head of the order only: it grows until n_dev pairs are found.
-        head = first_n(rows, [F.col("order").asc()], take).select(
-            "order", F.sha2("src_text", 256).alias("s"), F.sha2("trg_text", 256).alias("t")).toArrow().to_pylist()
-        used, dev = set(), []
+    rows = cut_lineage(rows.withColumn("__s", F.sha2("src_text", 256)).withColumn("__t", F.sha2("trg_text", 256)))
+    spark = df.sparkSession
+    dev, used, open_rows = [], set(), rows
+    while len(dev) < n_dev:
+        # Every row of a head is taken or shares a sentence with dev, so the next round's head is a new one, and no head
+        # has more than 4 * n_dev rows.
+        head = first_n(open_rows, [F.col("order").asc()], 4 * n_dev).select("order", "__s", "__t").toArrow().to_pylist()
         for r in sorted(head, key=lambda r: r["order"]):
-            if len(dev) == n_dev:
-                break
-            if r["s"] not in used and r["t"] not in used:
-                used.update((r["s"], r["t"]))
-                dev.append((r["order"], r["s"], r["t"]))
-        if len(dev) == n_dev or len(head) < take:
+            if len(dev) < n_dev and r["__s"] not in used and r["__t"] not in used:
+                used.update((r["__s"], r["__t"]))
+                dev.append(r["order"])
+        if len(head) < 4 * n_dev:
             break
-        take *= 2
-    spark = df.sparkSession
-    chosen = spark.createDataFrame([(o,) for o, _, _ in dev], T.StructType([rows.schema["order"]]))
-    used = spark.createDataFrame([(x,) for _, s, t in dev for x in (s, t)], "d string").distinct()
+        open_rows = _without_sentences(rows, used)
+    chosen = spark.createDataFrame([(o,) for o in dev], T.StructType([rows.schema["order"]]))
     picked = rows.join(chosen, "order", "left_semi").withColumn("split", F.lit("dev"))
-    rest = rows.join(chosen, "order", "left_anti")
-    for c in ("src_text", "trg_text"):
-        rest = rest.withColumn("d", F.sha2(c, 256)).join(used, "d", "left_anti").drop("d")
-    return picked.unionByName(rest.withColumn("split", F.lit("train")))
+    rest = _without_sentences(rows, used).withColumn("split", F.lit("train"))
+    return picked.unionByName(rest).drop("__s", "__t")
+
+
+def _without_sentences(rows: DataFrame, used: set[str]) -> DataFrame:
+    """Rows whose sentence digests ``__s`` and ``__t`` are both unused (at most two per dev pair)."""
+    listed = rows.sparkSession.createDataFrame([(x,) for x in used], "__d string")
+    for c in ("__s", "__t"):
+        rows = rows.join(listed.withColumnRenamed("__d", c), c, "left_anti")
+    return rows.select("order", "src_text", "trg_text", "__s", "__t")
 
 
 def translation_groups(df: DataFrame, vectors: DataFrame | None = None, texts: str = "texts") -> DataFrame:

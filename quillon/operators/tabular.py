@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -189,10 +189,10 @@ def size_report(df: DataFrame, by: str) -> DataFrame:
 
 
 def frequency_order(df: DataFrame, c: str) -> DataFrame:
-    """``(label, index)``: most frequent first, ties alphabetical. The labels of one categorical column only."""
-    model = StringIndexer(inputCol=c, outputCol="__i", stringOrderType="frequencyDesc", handleInvalid="skip").fit(df)
-    rows = [(label, i) for i, label in enumerate(model.labelsArray[0])]
-    return df.sparkSession.createDataFrame(rows, "label string, index bigint")
+    """``(label, index)``: most frequent first, ties alphabetical, null left out. The labels stay distributed."""
+    counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    placed = global_row_number(counts, [F.col("n").desc(), F.col("label").asc()])
+    return placed.select("label", (F.col("position") - 1).alias("index"))
 
 
 def cap_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

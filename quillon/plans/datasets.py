@@ -127,6 +127,11 @@ def n12(spark, sf):
     return N.duplicate_split(copy_pairs(spark, sf)).select("node", "component", "split")
 
 
+def n12_rounds(spark, sf):
+    """The components without their driver-side ending."""
+    return N.duplicate_split(copy_pairs(spark, sf), small=0).select("node", "component", "split")
+
+
 def n13(spark, sf):
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     edges = copy_pairs(spark, sf)
@@ -354,3 +359,5 @@ QUERIES = {
         WITH s AS (SELECT p_name AS sentence FROM part UNION SELECT p_type FROM part UNION SELECT p_brand FROM part)
         SELECT sentence, CASE WHEN row_number() OVER (ORDER BY {sql_hash('sentence')}) <= 20 THEN 'dev' ELSE 'train' END AS split FROM s"""),
 }
+
+QUERIES["n12_duplicate_split_rounds"] = (n12_rounds, QUERIES["n12_duplicate_split"][1])

@@ -303,6 +303,25 @@ w AS (SELECT list_reduce(list({{'s': src, 't': trg, 'us': []::BIGINT[], 'ut': []
         {{'s': NULL::BIGINT, 't': NULL::BIGINT, 'us': []::BIGINT[], 'ut': []::BIGINT[]}}) AS r FROM u WHERE score >= 1.0)
 SELECT src, trg, round(score, 6) AS score FROM (SELECT unnest(r.us) AS src, unnest(r.ut) AS trg FROM w) JOIN u USING (src, trg)"""
 
+
+
+def _rounds(name):
+    """The same operators without their driver-side endings: every round runs on the executors."""
+    def query(spark, sf):
+        if name == "j04":
+            return G.community_detection(embeddings(spark, sf), 0.35, 5, edge_limit=0).select("community_id", "member_id", "is_center", r6("score", "score"))
+        if name == "j06":
+            return G.threshold_clusters(embeddings(spark, sf), 1.05, small=0)
+        if name == "j10":
+            return L.bm25_search(benchmark(spark, sf), docs(spark, sf), 10, stop=STOP, broadcast_terms=0).select("query_id", "corpus_id", "rank", r6("score", "score"))
+        if name == "j14":
+            return G.margin_bitext(*sides(spark, sf), k=4, min_score=1.0, small=0).select("src", "trg", r6("score", "score"))
+        if name == "j16":
+            return G.transitive_closure(copy_pairs(spark, sf), small=0)
+        return G.connected_nodes(copy_pairs(spark, sf), small=0)
+    return query
+
+
 # A row's best hit is the row itself, or the first with the same vector.
 SQL_ANN = "SELECT vec_id AS query_id, true AS exact, min(vec_id) OVER (PARTITION BY embedding) AS best_id, 1.0::DOUBLE AS top, true AS found FROM embeddings"
 
@@ -364,3 +383,7 @@ QUERIES = {
     "j19_encode_tokens": (encode_tokens, f"SELECT conv_id * 1000 + turn AS id, len(w)::BIGINT AS tokens, list_sum(list_transform(w, lambda x: length(x)))::DOUBLE AS chars FROM (SELECT *, {sql_words('text')} AS w FROM conversations) WHERE len(w) > 0"),
     "j20_predict_pairs": (predict_pairs, f"SELECT a.conv_id * 1000 + a.turn AS id, round(1 / (1 + exp(-(len({sql_words('a.text')}) - len({sql_words('b.text')})) / 10.0::DOUBLE)), 6) AS score FROM conversations a JOIN conversations b ON a.conv_id * 1000 + a.turn + 1 = b.conv_id * 1000 + b.turn"),
 }
+
+# The distributed halves return the same rows, so they share the SQL.
+QUERIES |= {f"{name}_rounds": (_rounds(name[:3]), QUERIES[name][1]) for name in (
+    "j04_community_detection", "j06_threshold_clusters", "j10_bm25_search", "j14_margin_bitext", "j16_transitive_closure", "j17_connected_nodes")}
