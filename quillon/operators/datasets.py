@@ -447,17 +447,31 @@ def translation_groups(df: DataFrame, vectors: DataFrame | None = None, texts: s
     return rows.join(vectors.select(F.col("text").alias("source"), F.col("embedding").alias("label")), "source")
 
 
-def label_batches(df: DataFrame, label: str, n: int = 2, seed: int = 0, id: str = "id") -> DataFrame:
+def label_batches(df: DataFrame, label: str, n: int = 2, seed: int = 0, id: str = "id", replace: bool = False) -> DataFrame:
     """``(id, label, draw, slot, order_key)``: draws of ``n`` different random rows of one label.
 
-    Sorting by ``order_key, slot`` gives the shuffled sequence. Each row is drawn at most once; labels with fewer than
-    ``n`` rows and a label's incomplete last draw are skipped.
+    Sorting by ``order_key, slot`` serves the labels in turn: every label's first draw, in a shuffled order, then every
+    second draw in another order, and so on. Labels with fewer than ``n`` rows and rows without a label are left out.
+
+    Without replacement each row is drawn at most once, and large labels go on alone when the small ones are used up.
+    With ``replace`` every label has a draw in every cycle, whatever its size, until as many rows are drawn as the used
+    labels have; a row may come again in another draw.
     """
     keyed = df.select(F.col(id).alias("id"), F.col(label).alias("label")).where("label IS NOT NULL").withColumn("h", hash_key("id", seed=seed))
     placed = global_row_number(keyed, [F.col("h").asc(), F.col("id").asc()], "pos", by=["label"])
-    sizes = placed.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
-    draws = placed.join(sizes, "label").withColumn("draw", F.floor((F.col("pos") - 1) / n)).where((F.col("draw") + 1) * n <= F.col("rows"))
-    return draws.select("id", "label", "draw", ((F.col("pos") - 1) % n).alias("slot"), hash_key("label", "draw", seed=seed + 1).alias("order_key"))
+    sizes = placed.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= n)
+    order = F.concat(F.lpad(F.col("draw").cast("string"), 12, "0"), F.lit(":"), hash_key("label", "draw", seed=seed + 1))
+    if not replace:
+        draws = placed.join(sizes, "label").withColumn("draw", F.floor((F.col("pos") - 1) / n)).where((F.col("draw") + 1) * n <= F.col("rows"))
+        return draws.select("id", "label", "draw", ((F.col("pos") - 1) % n).alias("slot"), order.alias("order_key"))
+    listed = cut_lineage(global_row_number(sizes.withColumn("o", hash_key("label", seed=seed + 3)), [F.col("o").asc(), F.col("label").asc()], "turn"))
+    labels, rows = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).head()
+    draws = df.sparkSession.range(-(-rows // n)).select((F.col("id") % max(labels, 1) + 1).alias("turn"), F.floor(F.col("id") / max(labels, 1)).alias("draw"))
+    draws = draws.join(listed.select("turn", "label", "rows"), "turn").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    # From a random start on, neighbours in the shuffled order of the label: different rows, as n <= rows.
+    at = (hash_int("label", "draw", seed=seed + 2) + F.col("slot")) % F.col("rows") + 1
+    draws = draws.select("label", "draw", F.col("slot").cast("bigint").alias("slot"), at.alias("pos"))
+    return draws.join(placed, ["label", "pos"]).select("id", "label", "draw", "slot", order.alias("order_key"))
 
 
 def contrastive_pairs(df: DataFrame, ratio: int = 8, seed: int = 0, id: str = "id") -> DataFrame:

@@ -78,9 +78,14 @@ def paraphrase_mining(
     score: str = "cos",
     id: str = "id",
     vector: str = "embedding",
+    hits: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs ``(score, id1, id2)`` in which either row is among the other's ``k`` nearest; best ``max_pairs``."""
-    hits = neighbours(emb, k, score, id, vector).where(F.col("score") > -1)
+    """Pairs ``(score, id1, id2)`` in which either row is among the other's ``k`` nearest; best ``max_pairs``.
+
+    The nearest are found by comparing all pairs, or are the ``hits`` of an approximate search that the caller ran.
+    """
+    found = neighbours(emb, k, score, id, vector) if hits is None else hits.where("query_id <> corpus_id")
+    hits = found.where(F.col("score") > -1)
     pairs = hits.groupBy(
         F.least("query_id", "corpus_id").alias("id1"), F.greatest("query_id", "corpus_id").alias("id2")
     ).agg(F.max("score").alias("score"))
@@ -456,8 +461,27 @@ def distances(a: np.ndarray, b: np.ndarray, squared: bool = False) -> np.ndarray
     return d if squared else np.sqrt(d)
 
 
-def similarity_join(emb: DataFrame, threshold: float, id: str = "id", vector: str = "embedding") -> DataFrame:
-    """Unordered pairs ``(id1, id2, score)`` with cosine at or above the threshold: the result set itself, no more."""
+def score_candidates(emb: DataFrame, candidates: DataFrame, id: str = "id", vector: str = "embedding") -> DataFrame:
+    """``(id1, id2, score)``: the exact cosine of every different unordered pair of ``candidates(query_id, corpus_id)``.
+
+    Candidates are hits of :func:`lsh_search` or :func:`ivf_search`, or come from any other join. Pairs of a row with
+    itself and pairs with an unknown id or a null vector drop out.
+    """
+    pairs = candidates.select(F.least("query_id", "corpus_id").alias("id1"), F.greatest("query_id", "corpus_id").alias("id2"))
+    pairs = pairs.where("id1 < id2").distinct()
+    rows = emb.where(F.col(vector).isNotNull()).select(F.col(id).cast("bigint").alias("id1"), F.col(vector).alias("__a"))
+    both = pairs.join(rows, "id1").join(rows.toDF("id2", "__b"), "id2")
+    return both.select("id1", "id2", F.round(V.cosine("__a", "__b"), 9).alias("score"))
+
+
+def similarity_join(emb: DataFrame, threshold: float, id: str = "id", vector: str = "embedding", candidates: DataFrame | None = None) -> DataFrame:
+    """Unordered pairs ``(id1, id2, score)`` with cosine at or above the threshold: the result set itself, no more.
+
+    All pairs are compared, or only ``candidates`` (see :func:`score_candidates`) where the caller names some: a corpus
+    too large for all pairs is joined at the recall of its candidates.
+    """
+    if candidates is not None:
+        return score_candidates(emb, candidates, id, vector).where(F.col("score") >= threshold)
     schema = T.StructType(
         [T.StructField("id1", T.LongType()), T.StructField("id2", T.LongType()), T.StructField("score", T.DoubleType())]
     )

@@ -187,6 +187,10 @@ def n20(spark, sf):
     return N.label_batches(table(spark, sf, "documents"), "source", 4, id="doc_id")
 
 
+def n20_replace(spark, sf):
+    return N.label_batches(table(spark, sf, "documents"), "source", 4, id="doc_id", replace=True)
+
+
 def n21(spark, sf):
     return N.contrastive_pairs(table(spark, sf, "documents").select("doc_id"), id="doc_id")
 
@@ -341,7 +345,13 @@ QUERIES = {
         SELECT unnest(range(0, b)) AS batch, 16::BIGINT AS n, 16::BIGINT AS texts FROM bt"""),
     "n20_label_batches": (n20, f"""
         WITH p AS (SELECT doc_id AS id, source AS label, row_number() OVER (PARTITION BY source ORDER BY {sql_hash('doc_id')}, doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM documents)
-        SELECT id, label, pos // 4 AS draw, pos % 4 AS slot, md5('1:' || label || ':' || (pos // 4)) AS order_key FROM p WHERE (pos // 4 + 1) * 4 <= n"""),
+        SELECT id, label, pos // 4 AS draw, pos % 4 AS slot, lpad((pos // 4)::VARCHAR, 12, '0') || ':' || md5('1:' || label || ':' || (pos // 4)) AS order_key FROM p WHERE (pos // 4 + 1) * 4 <= n"""),
+    "n20_label_batches_replacement": (n20_replace, f"""
+        WITH p AS (SELECT doc_id AS id, source AS label, row_number() OVER (PARTITION BY source ORDER BY {sql_hash('doc_id')}, doc_id) AS pos, count(*) OVER (PARTITION BY source) AS rows FROM documents),
+        l AS (SELECT label, rows, row_number() OVER (ORDER BY {sql_hash('label', 3)}, label) - 1 AS turn, count(*) OVER () AS labels, sum(rows) OVER () AS total FROM (SELECT DISTINCT label, rows FROM p WHERE rows >= 4)),
+        d AS (SELECT label, rows, t // labels AS draw FROM (SELECT *, unnest(range(0, ((total + 3) // 4)::BIGINT)) AS t FROM l) WHERE t % labels = turn),
+        x AS (SELECT label, draw, slot, ({sql_hash_int("(label || ':' || draw)", 2)} + slot) % rows + 1 AS pos FROM d, range(4) s(slot))
+        SELECT id, label, draw, slot, lpad(draw::VARCHAR, 12, '0') || ':' || md5('1:' || label || ':' || draw) AS order_key FROM x JOIN p USING (label, pos)"""),
     "n21_contrastive_pairs": (n21, f"""
         WITH p AS (SELECT doc_id AS id, row_number() OVER (ORDER BY {sql_hash('doc_id')}, doc_id) - 1 AS i, count(*) OVER () AS n FROM documents),
         x AS (SELECT a.i // 15 * 8 + (a.i % 15 + 1) // 2 AS pair, a.id AS a, CASE WHEN a.i % 15 = 0 THEN a.id ELSE b.id END AS b, (a.i % 15 = 0)::BIGINT AS label FROM p a JOIN p b ON b.i = a.i + 1 WHERE a.i % 15 = 0 OR (a.i % 15) % 2 = 1)

@@ -57,6 +57,20 @@ def similarity_join(spark, sf):
     return S.similarity_join(embeddings(spark, sf), 0.4).select("id1", "id2", r6("score", "score"))
 
 
+def similarity_join_candidates(spark, sf):
+    """Candidates of an inverted-list search with every list probed, so that all pairs are among them."""
+    emb = embeddings(spark, sf)
+    found = S.ivf_search(emb, emb, 6, 6, 100, seed=1)
+    return S.similarity_join(emb, 0.4, candidates=found).select("id1", "id2", r6("score", "score"))
+
+
+def paraphrase_mining_candidates(spark, sf):
+    emb = embeddings(spark, sf)
+    pairs = S.paraphrase_mining(emb, hits=S.ivf_search(emb, emb, 6, 6, 6, seed=1))
+    # A row's own hit is one of its six; another row with the same vector may push it out.
+    return pairs.select(r6("score", "score"), "id1", "id2")
+
+
 def community_detection(spark, sf):
     return G.community_detection(embeddings(spark, sf), 0.35, 5).select(
         "community_id", "member_id", "is_center", r6("score", "score"))
@@ -118,6 +132,14 @@ def ann_recall(spark, sf):
     return report.select("query_id", "hits", "expected", r6("recall", "recall"))
 
 
+def ann_recall_ivf(spark, sf):
+    """An approximate search against the exact one; with every list probed nothing is missed."""
+    emb = embeddings(spark, sf)
+    report, missed = S.ann_recall(S.ivf_search(emb, emb, 6, 6, 10, seed=1), S.semantic_search(emb, emb, 10))
+    return report.join(missed.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")), "query_id", "left").select(
+        "query_id", "hits", "expected", r6("recall", "recall"), F.coalesce("n", F.lit(0)).alias("missed"))
+
+
 def benchmark(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
 
@@ -344,6 +366,7 @@ QUERIES = {
     "j07_ivf_search": (ivf, SQL_ANN),
     "j07_ivf_all_probes": (ivf_all, SQL_SEARCH.format(score=COS, k=10).replace(" WHERE a.vec_id <> b.vec_id", "")),
     "j08_lsh_search": (lsh, SQL_ANN),
+    "j09_ann_recall_ivf": (ann_recall_ivf, "SELECT vec_id AS query_id, 10::BIGINT AS hits, 10::BIGINT AS expected, 1.0::DOUBLE AS recall, 0::BIGINT AS missed FROM embeddings"),
     "j09_ann_recall": (ann_recall, f"""
         WITH {SQL_EMB},
         s AS (SELECT a.vec_id AS q, b.vec_id AS c, {COS} AS x, round(list_inner_product(a.v, b.v), 9) AS y FROM e a, e b WHERE a.vec_id <> b.vec_id),
@@ -387,3 +410,5 @@ QUERIES = {
 # The distributed halves return the same rows, so they share the SQL.
 QUERIES |= {f"{name}_rounds": (_rounds(name[:3]), QUERIES[name][1]) for name in (
     "j04_community_detection", "j06_threshold_clusters", "j10_bm25_search", "j14_margin_bitext", "j16_transitive_closure", "j17_connected_nodes")}
+QUERIES["c07_similarity_join_candidates"] = (similarity_join_candidates, QUERIES["c07_similarity_join"][1])
+QUERIES["j02_mining_candidates"] = (paraphrase_mining_candidates, QUERIES["j02_paraphrase_mining"][1])

@@ -124,6 +124,14 @@ def test_scored_pairs_equal_the_sequential_rule(spark, rng):
     assert rows(N.parallel_pairs_scored(df, n_dev=8)) == want
 
 
+def test_scored_pairs_with_a_sentence_on_every_other_row(spark):
+    """The shared sentence fills many heads; each round removes it, and the head stays bounded."""
+    df = spark.createDataFrame([(i, 2.0, "hot" if i < 300 else f"a{i}", f"b{i}") for i in range(400)], "order bigint, score double, sent1 string, sent2 string")
+    out = N.parallel_pairs_scored(df, n_dev=4)
+    assert sorted(r["order"] for r in out.where("split = 'dev'").collect()) == [0, 300, 301, 302]
+    assert out.where("split = 'train'").count() == 97
+
+
 def test_scored_pairs_with_too_few_dev_candidates(spark):
     df = spark.createDataFrame([(1, 2.0, "a", "b"), (2, 2.0, "a", "c")], "order bigint, score double, sent1 string, sent2 string")
     assert rows(N.parallel_pairs_scored(df, n_dev=10)) == [(1, "a", "b", "dev")]
@@ -192,6 +200,21 @@ def test_label_batches(spark):
     for r in out:
         groups.setdefault((r["label"], r["draw"]), set()).add(r["slot"])
     assert all(v == {0, 1, 2} for v in groups.values()) and len(groups) == 11
+    # Labels take turns: the small label's only draw is among the first two.
+    served = list(dict.fromkeys((r["order_key"], r["label"]) for r in sorted(out, key=lambda r: r["order_key"])))
+    assert {label for _, label in served[:2]} == {"big", "small"}
+
+
+def test_label_batches_with_replacement(spark):
+    df = spark.createDataFrame([(i, "big" if i < 31 else "small" if i < 34 else "one") for i in range(35)], "id bigint, label string")
+    out = N.label_batches(df, "label", 3, replace=True).collect()
+    per = {}
+    for r in out:
+        per.setdefault((r["order_key"], r["label"], r["draw"]), []).append(r["id"])
+    assert len(per) == 12 and all(len(v) == len(set(v)) == 3 for v in per.values())  # 34 rows of both labels, three a draw
+    served = [label for _, label, _ in sorted(per)]
+    assert all({served[i], served[i + 1]} == {"big", "small"} for i in range(0, 12, 2))
+    assert N.label_batches(df.where("label = 'one'"), "label", 3, replace=True).count() == 0
 
 
 @pytest.mark.parametrize("n", [1, 2, 15, 16, 17, 31, 47])
