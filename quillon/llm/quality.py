@@ -9,12 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import words as W
 from .labelled import with_label
 
 BUCKETS = 1 << 16
-#: Trusted prose scores from about -0.03 up, symbol and capital noise under -0.13.
+#: The cut where no labelled document says what is bad; else the labels decide (``label_cut``).
 THRESHOLD = -0.08
+#: Scores of labelled documents are counted in steps of this width.
+STEP = 1 / 2048
 #: A pseudo-count of this many n-grams per bucket, dealt out as the corpus is.
 PRIOR = 5.0
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -73,51 +76,99 @@ def gram_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> np.ndarray:
-    """Per bucket the log of its trusted share over its corpus share; at most ``buckets`` rows reach the driver."""
+class Ratios:
+    """Per bucket the trusted count and the corpus share, and the log of the trusted share over the corpus share."""
+
+    def __init__(self, share: np.ndarray, trusted: np.ndarray, prior: float):
+        self.share, self.trusted, self.total, self.prior = share, trusted, trusted.sum(), prior * len(share)
+        self.log = self.of(np.arange(len(share)), 0, 0)
+
+    def of(self, gram: np.ndarray, own: np.ndarray | int, size: np.ndarray | int) -> np.ndarray:
+        """The log ratios of ``gram`` after ``own`` of its trusted counts and ``size`` of all of them are taken away."""
+        share = self.share[gram]
+        return np.log((self.trusted[gram] - own + self.prior * share) / (self.total - size + self.prior) / share)
+
+    def scores(self, gram: np.ndarray, owner: np.ndarray, good: np.ndarray) -> np.ndarray:
+        """The mean log ratio of every document; those that are ``good`` are measured without their own counts."""
+        n = len(good)
+        size = np.bincount(owner, minlength=n)
+        value = self.log[gram]
+        mine = np.flatnonzero(good[owner])
+        _, at, own = np.unique(owner[mine] * len(self.share) + gram[mine], return_inverse=True, return_counts=True)
+        value[mine] = self.of(gram[mine], own[at], size[owner[mine]])
+        return np.bincount(owner, value, minlength=n) / np.maximum(size, 1)
+
+
+def log_ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> Ratios:
+    """The ratios of the counted n-grams; at most ``buckets`` rows reach the driver."""
     raw, trusted = np.zeros(buckets), np.zeros(buckets)
     rows = counts.collect()
     if rows:
         at = np.array([r[0] for r in rows])
         raw[at], trusted[at] = [r[1] for r in rows], [r[2] for r in rows]
     share = (raw + 1) / (raw.sum() + buckets)
-    if not trusted.any():
-        return np.zeros(buckets)
-    return np.log((trusted + prior * buckets * share) / (trusted.sum() + prior * buckets) / share)
+    return Ratios(share, trusted, prior)
+
 
+def label_cut(scored: DataFrame) -> float:
+    """The cut that the labelled documents which pass the base rules ask for.
 
-def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+    It makes the share of good documents under it plus the share of bad documents from it up least (the lowest of equal
+    ones), and lies halfway to the next lower score of a labelled document. Without a bad document it is ``THRESHOLD``, or
+    the least score of a good one if that is lower; without a good one it is ``THRESHOLD``. What reaches the driver is one
+    row per occupied step of ``STEP``.
+    """
+    steps = scored.where("not base_failed and __label in (0, 1)").groupBy(F.floor(F.col("llr") / STEP).alias("step"))
+    rows = sorted(steps.agg(F.sum("__label"), F.sum(1 - F.col("__label"))).collect())
+    step, good, bad = np.array(rows, dtype=np.int64).reshape(-1, 3).T
+    if not good.any():
+        return THRESHOLD
+    if not bad.any():
+        return min(THRESHOLD, float(step[0] * STEP))
+    below = (np.cumsum(good) - good) / good.sum()
+    above = (bad.sum() - np.cumsum(bad) + bad) / bad.sum()
+    at = int(np.argmin(np.round(below + above, 12)))
+    low = step[at - 1] + 1 if at else step[at]
+    return float((low + step[at]) / 2 * STEP)
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float | None = None) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``): the base counts, ``base_failed``, ``llr`` and ``kept``.
 
     Words and word pairs are hashed to ``buckets``; their counts over all documents (the corpus) and over the documents
     labelled ``quality = 1`` (the trusted target) are two multinomials. ``llr`` is the mean over a document's n-grams of the
-    log ratio of the two, so long and short texts are measured alike. A document is kept unless ``base_failed`` or ``llr``
-    is under ``threshold``. ``base_failed`` is ``n_words < 50 or 100 * n_repeat_words > 50 * n_words``.
+    log ratio of the two, so long and short texts are measured alike. A trusted document is measured without its own counts
+    in the target, so that its score says what an unlabelled document like it would get. A document is kept unless
+    ``base_failed`` or ``llr`` is under ``threshold``, by default the cut of ``label_cut``, as the scale of ``llr`` follows
+    the size and the coverage of the target. ``base_failed`` is ``n_words < 50 or 100 * n_repeat_words > 50 * n_words``.
 
     A null or empty text has no words, ``llr`` 0 and fails the base rules. Without a trusted document every ``llr`` is 0. A
     null id counts in the corpus and comes out as it is; repeated rows come out repeated. Further columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
-    ratio = log_ratios(gram_counts(with_label(docs, labels, "quality"), buckets), buckets)
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    marked = with_label(docs.select("doc_id", "text"), labels, "quality")
+    shared = docs.sparkSession.sparkContext.broadcast(log_ratios(gram_counts(marked, buckets), buckets))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = shared.value
+        ratios = shared.value
         for batch in W.slices(batches):
             data, offsets = W.column_bytes(batch.column("text"))
             spans = W.word_spans(data, offsets)
             h = W.hash_spans(data, spans)
             base = measures(data, offsets, spans, h)
             gram, owner = _grams(h, spans, buckets)
-            n = batch.num_rows
-            llr = np.bincount(owner, ratio[gram], minlength=n) / np.maximum(np.bincount(owner, minlength=n), 1)
+            label = batch.column("__label")
+            llr = ratios.scores(gram, owner, label.fill_null(0).to_numpy(zero_copy_only=False) == 1)
             failed = (base[0] < 50) | (100 * base[4] > 50 * base[0])
-            columns = [*(pa.array(x.astype(np.int64)) for x in base), pa.array(failed), pa.array(llr), pa.array(~failed & (llr >= threshold))]
+            columns = [*(pa.array(x.astype(np.int64)) for x in base), pa.array(failed), pa.array(llr), label]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {MEASURES}, base_failed boolean, llr double, kept boolean"
+    schema = f"doc_id {marked.schema['doc_id'].dataType.simpleString()}, {MEASURES}, base_failed boolean, llr double, __label int"
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.mapInArrow(score, schema)
+    path = scratch_path(docs.sparkSession, "quality")
+    marked.mapInArrow(score, schema).write.parquet(path)  # without the texts
+    scored = docs.sparkSession.read.parquet(path)
+    cut = label_cut(scored) if threshold is None else threshold
+    return scored.drop("__label").withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(cut)))
 
 
 def quality_stage(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -224,6 +224,25 @@ def test_quality_rules(spark, corpus):
     assert quality.quality_rules(table(spark, ODD), labels.limit(0)).count() == 3
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_quality_rules_held_out(spark, sf):
+    """Good documents whose label is withheld are kept, and most bad ones go (README: how many stay, and sf0.001)."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    fold = "crc32(cast(doc_id as string)) % 5 = 1"
+    got = quality.quality_rules(docs, labels.where(f"not {fold}")).where(f"not base_failed and {fold}").join(labels, "doc_id").toPandas()
+    good, bad = got[got.quality == 1], got[got.quality == 0]
+    assert len(good) > 10 and len(bad) > 0 and good.kept.mean() > 0.98 and bad.kept.mean() < 0.25
+
+
+def test_quality_rules_leave_own_counts_out(spark):
+    """A trusted document scores as it would with its label withheld; the only one of its kind gains nothing by it."""
+    rng = random.Random(4)
+    docs = table(spark, [(i, sentence(rng, 80, 9000)) for i in range(12)])
+    labels = lambda ids: spark.createDataFrame([(i, 1) for i in ids], "doc_id bigint, quality int")
+    full, without = ({r.doc_id: r.llr for r in quality.quality_rules(docs, labels(ids)).collect()} for ids in (range(6), range(1, 6)))
+    assert full[0] == pytest.approx(without[0], abs=1e-12) and full[6] != without[6]
+
+
 def test_classifier(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = classifier.quality_scores(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
