@@ -7,8 +7,10 @@ Equal windows therefore hold the same symbols wherever the context lies inside t
 
 Every window is filed under one such symbol, the one with the least hash among the highest level that has any. Windows in a
 row filed under one occurrence travel as one row, keyed by the hash of the occurrence's context words (about nine words at the
-second level), so only texts that share those words meet; there the windows themselves are compared. A task first settles the
-copies among its own texts, so that a passage that a third of the corpus repeats sends one row from each slice of texts.
+second level), so only texts that share those words meet; there the windows are compared by 64 further bits of hash. A task
+first settles the copies among its own texts, so that a passage that a third of the corpus repeats sends one row from each slice
+of texts. Keys are counted before: the windows of a key that a large part of the corpus shares travel one by one, keyed by the
+window itself, so that no task holds such a key whole.
 """
 
 from __future__ import annotations
@@ -26,7 +28,10 @@ from .ids import numbered, set_aside
 
 WIDTH = 20
 ROUNDS = 2
-HASH_BYTES = 5  # of a window, beside the 64 bits of its key
+HASH_BYTES = 8  # of a window, beside the 64 bits of its key
+COUNTERS = 1 << 16  # keys are counted by their low bits, so a count is never too low
+HOT_WINDOWS = 1 << 14  # a key is hot from so many windows, and from HOT_SHARE times the mean of the counters
+HOT_SHARE = 8
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -141,15 +146,43 @@ def anchors(h: np.ndarray, first: np.ndarray, width: int, rounds: int) -> tuple[
     return windows, key, place, prefix
 
 
-def _file(batches: Iterator[pa.RecordBatch], width: int, rounds: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``key, id, at, n, hashes``: ``n`` windows from word ``at`` on, filed under one anchor. Rows without hashes are
-    windows with an earlier copy in the same slice of texts."""
+def _counter(key: np.ndarray) -> np.ndarray:
+    return (key & W.U(COUNTERS - 1)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch], width: int, rounds: int) -> Iterator[pa.RecordBatch]:
+    """``counter, n``: the windows of a task by the low bits of their key."""
+    total = np.zeros(COUNTERS, dtype=np.int64)
+    for batch in W.slices(batches):
+        data, offsets = W.column_bytes(batch.column("text"))
+        spans = W.word_spans(data, offsets)
+        total += np.bincount(_counter(anchors(W.hash_spans(data, spans, 23), spans.first, width, rounds)[1]), minlength=COUNTERS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
+
+
+def hot_counters(docs: DataFrame, width: int, rounds: int, least: int = HOT_WINDOWS) -> np.ndarray:
+    """True for the counters of keys that must be dealt out; at most ``COUNTERS`` rows reach the driver."""
+    counts = docs.select("text").mapInArrow(lambda b: _count(b, width, rounds), "counter bigint, n bigint")
+    total = np.zeros(COUNTERS, dtype=np.int64)
+    for counter, n in counts.groupBy("counter").agg(F.sum("n")).collect():
+        total[counter] = n
+    return total >= max(least, HOT_SHARE * total.mean())
+
+
+def _file(batches: Iterator[pa.RecordBatch], width: int, rounds: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows ``key, id, at, n, hashes``: ``n`` windows from word ``at`` on, filed under one anchor, or a single window under
+    its own hash where the anchor is ``hot``. Rows without hashes are windows with an earlier copy in the same slice of
+    texts."""
     for batch in W.slices(batches):
         data, offsets = W.column_bytes(batch.column("text"))
         spans = W.word_spans(data, offsets)
         windows, key, place, prefix = anchors(W.hash_spans(data, spans, 23), spans.first, width, rounds)
         if not len(windows):
             continue
+        hashes = prefix.of(windows, windows + width).astype("<u8")
+        alone = hot[_counter(key)]
+        key[alone] = W.pair_hash(key[alone], hashes[alone], 41)
         head = np.ones(len(windows), dtype=bool)
         head[1:] = (place[1:] != place[:-1]) | (windows[1:] != windows[:-1] + 1) | (key[1:] != key[:-1])
         begin = np.flatnonzero(head)
@@ -161,9 +194,7 @@ def _file(batches: Iterator[pa.RecordBatch], width: int, rounds: int) -> Iterato
         order = np.lexsort((at, ids, content))
         copy = np.zeros(len(at), dtype=bool)
         copy[order[1:]] = content[order[1:]] == content[order[:-1]]
-        hashes = prefix.of(windows, windows + width).astype("<u8")
-        packed = hashes.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
-        packed = packed[np.repeat(~copy, n)].tobytes()
+        packed = hashes[np.repeat(~copy, n)].tobytes()
         sizes = np.where(copy, 0, n) * HASH_BYTES
         bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         valid = pa.py_buffer(np.packbits(~copy, bitorder="little").tobytes())
@@ -186,16 +217,13 @@ def _settle(table: pa.Table) -> pa.RecordBatch:
     rows, group = open_rows[shared], group[shared] if len(k) else group
     if len(rows):
         raw = b"".join(table.column("hashes").take(pa.array(rows)).to_pylist())
-        hashes = np.zeros((len(raw) // HASH_BYTES, 8), dtype=np.uint8)
-        hashes[:, :HASH_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, HASH_BYTES)
-        hashes = hashes.reshape(-1).view("<u8")
+        hashes = np.frombuffer(raw, dtype="<u8")
         owner = np.repeat(np.arange(len(rows)), n[rows])
         first = np.cumsum(n[rows]) - n[rows]
         start = at[rows][owner] + (np.arange(len(owner)) - first[owner])
-        name = W.U(1 << 8 * HASH_BYTES) * group[owner].astype(W.U) + hashes
-        order = np.lexsort((start, ids[rows][owner], name))
+        order = np.lexsort((start, ids[rows][owner], hashes, group[owner]))
         later = np.zeros(len(owner), dtype=bool)
-        later[order[1:]] = name[order[1:]] == name[order[:-1]]
+        later[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (group[owner[order[1:]]] == group[owner[order[:-1]]])
         head = later.copy()
         head[1:] &= ~later[:-1] | (owner[1:] != owner[:-1])
         begin = np.flatnonzero(head)
@@ -206,7 +234,7 @@ def _settle(table: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1].astype(np.int32)), pa.array(columns[2].astype(np.int32))], ["id", "at", "n"])
 
 
-GROUPS = 1 << 22  # rows settled together, far under the 2^24 groups that fit beside a window's hash
+GROUPS = 1 << 22  # rows settled together at most
 
 
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,10 +255,11 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _settle(pa.Table.from_batches(held))
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """``id, at, n`` over ``docs`` (``__id, text``): the ``n`` windows of ``width`` words from word ``at`` on start earlier too,
     in a document of smaller id or before in the same one."""
-    filed = docs.select("__id", "text").mapInArrow(lambda b: _file(b, width, rounds), "key bigint, id bigint, at int, n int, hashes binary")
+    hot = hot_counters(docs, width, rounds, hot_windows)
+    filed = docs.select("__id", "text").mapInArrow(lambda b: _file(b, width, rounds, hot), "key bigint, id bigint, at int, n int, hashes binary")
     met = filed.repartition("key").sortWithinPartitions("key")
     return met.mapInArrow(_settled, "id bigint, at int, n int")
 

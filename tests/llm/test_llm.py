@@ -90,6 +90,40 @@ def test_substrings(spark, corpus):
     assert len(odd) == len(corpus) + 4 and sorted(r.n_removed for r in odd if r.doc_id == 0) == [0, len(words(corpus[0][1]))]
 
 
+def settled_windows(rows, hot):
+    """The rows filed for ``rows``, and the windows settled as later copies, without Spark."""
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["__id", "text"])
+    filed = pa.Table.from_batches(substrings._file(iter([batch]), 20, 2, hot)).combine_chunks().sort_by("key")
+    got = pa.Table.from_batches(substrings._settled(iter(filed.to_batches()))).to_pylist()
+    return filed, sorted((r["id"], r["at"] + k) for r in got for k in range(r["n"]))
+
+
+def test_substrings_hot_key(spark):
+    """A phrase shorter than a window in every text, with different surroundings: its key is dealt out, the result is the same."""
+    rng = random.Random(8)
+    phrase = sentence(rng, 14, 9000)
+    rows = [(i, f"{sentence(rng, 30, 9000)} {phrase} {sentence(rng, 30, 9000)}") for i in range(200)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)]
+    whole, want = settled_windows(rows, np.zeros(substrings.COUNTERS, dtype=bool))
+    docs = spark.createDataFrame(rows, "__id bigint, text string")
+    hot = substrings.hot_counters(docs, 20, 2, 500)
+    dealt, got = settled_windows(rows, hot)
+    load = lambda t: t.to_pandas().groupby("key").n.sum().max()
+    assert hot.any() and load(whole) > 500 and load(dealt) < 500 and got == want and len(want) == 20 * 55
+    found = substrings.repeated_windows(docs, hot_windows=500).collect()
+    assert sorted((r.id, r["at"] + k) for r in found for k in range(r.n)) == want
+
+
+def test_substrings_compare_64_bits(monkeypatch):
+    """Windows that meet under one key and agree in 40 bits of their hash are not copies."""
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 40, 9000)) for i in range(30)]
+    monkeypatch.setattr(substrings, "anchors", lambda h, first, width, rounds, f=substrings.anchors: (lambda w, k, p, x: (w, k * np.uint64(0) + np.uint64(7), p, x))(*f(h, first, width, rounds)))
+    of = substrings.Prefix.of
+    monkeypatch.setattr(substrings.Prefix, "of", lambda self, a, b: of(self, a, b) << np.uint64(40))
+    assert settled_windows(rows, np.zeros(substrings.COUNTERS, dtype=bool))[1] == []
+
+
 def brute_lines(rows, min_lines=2, min_words=8):
     first, pair, out = {}, {}, {}
     for i, t in rows:
