@@ -297,6 +297,21 @@ def test_html(spark):
     assert sorted(got, key=str) == sorted([(*w, len(w[1])) for w in want], key=str)
 
 
+def test_html_keeps_the_article(spark):
+    """Other attributes' values, compound classes, ids and formulas cost an article nothing; what pages of a host share there goes."""
+    share = '<div class="share">Share this page</div>'
+    body = ('<p><a href="/hidden-valley" title="The hidden valley">valley</a> <b data-hidden="false">shown</b> <i href="/p?id=search" data-id="share-prices">price</i></p>'
+            '<section id="discussion"><h2 id="related-work">Discussion {0}</h2><p>since {0}</p></section><div class="article-header">Lead {0}</div>'
+            '<p>so <math><mi>x</mi><mo>=</mo><mn>{0}</mn></math></p><p hidden>gone</p><div class="ad">buy</div><div aria-hidden="true">gone</div>')
+    rows = [(i, f"http://v.x/a/{i}", f"<div>Site</div><article><h1>Title {i}</h1>{body.format(i)}{share}</article>") for i in (1, 2)]
+    rows.append((3, "http://w.x/a", rows[0][2]))
+    rows.append((4, "http://w.x/b", rows[0][2]))
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    want = {i: f"Title {i}\n\nvalley shown price\n\nDiscussion {i}\n\nsince {i}\n\nLead {i}\n\nso x={i}" for i in (1, 2)}
+    copy = want[1] + "\n\nShare this page"
+    assert got == {**want, 3: copy, 4: copy}
+
+
 def test_shared_lines_is_longest(spark):
     rng = random.Random(2)
     for _ in range(200):
