@@ -335,11 +335,10 @@ def task_tables(pairs: DataFrame, texts: DataFrame, split: DataFrame, n_queries:
     * ``classification``: pairs whose ends are in one split, with their texts.
     * ``mining_corpus`` ``(split, id, text)`` and ``mining_gold`` ``(split, component, id)``: ids with the same
       component are duplicates, the linear form of the pair list.
-    * ``retrieval_queries`` ``(split, id, text)``: one member per dev or test component with duplicates, at most
-      ``n_queries`` per split; ``retrieval_relevant`` ``(split, id, corpus_id)``; ``retrieval_corpus`` ``(id, text)``:
+    * ``retrieval_queries`` ``(split, id, text)``: one member per dev or test component with duplicates, or at
+      most ``n_queries`` of each split it names (the script has ``{"dev": 5000, "test": 10000}``); ``retrieval_relevant`` ``(split, id, corpus_id)``; ``retrieval_corpus`` ``(id, text)``:
       all other sentences.
     """
-    n_queries = n_queries or {"dev": 5000, "test": 10000}
     side = lambda c, s, t: split.select(F.col("node").alias(c), F.col("split").alias(s)).join(
         texts.select(F.col("id").alias(c), F.col("text").alias(t)), c)
     classification = pairs.join(side("id1", "split", "text1"), "id1").join(side("id2", "__s2", "text2"), "id2")
@@ -349,8 +348,11 @@ def task_tables(pairs: DataFrame, texts: DataFrame, split: DataFrame, n_queries:
                                            F.min(F.struct(hash_key("node", seed=seed).alias("h"), F.col("node").alias("node"))).alias("q"))
     multi = sizes.where("n > 1").select("component", "split", F.col("q.h").alias("h"), F.col("q.node").alias("id"))
     gold = split.join(multi.select("component"), "component", "left_semi").select("split", "component", F.col("node").alias("id"))
-    chosen = cut_lineage(reduce(DataFrame.unionByName, [
-        first_n(multi.where(F.col("split") == s), [F.col("h").asc(), F.col("id").asc()], n) for s, n in n_queries.items()]))
+    chosen = multi.where("split in ('dev', 'test')")
+    if n_queries:
+        chosen = reduce(DataFrame.unionByName, [
+            first_n(multi.where(F.col("split") == s), [F.col("h").asc(), F.col("id").asc()], n) for s, n in n_queries.items()])
+    chosen = cut_lineage(chosen)
     queries = chosen.join(texts, "id").select("split", "id", "text")
     relevant = chosen.select("split", "id", "component").join(split.select("component", F.col("node").alias("corpus_id")), "component")
     relevant = relevant.where("id <> corpus_id").select("split", "id", "corpus_id")

@@ -107,6 +107,15 @@ def test_task_tables(spark, tmp_path, rng):
     assert spark.read.parquet(f"{tmp_path}/classification").count() == t["classification"].count()
 
 
+def test_task_tables_take_all_components(spark):
+    """Without an explicit number every dev and test component with duplicates gives a query."""
+    n = 5_200
+    split = spark.range(2 * n).selectExpr("id AS node", "id div 2 AS component", "'dev' AS split")
+    pairs = spark.range(n).selectExpr("2 * id AS id1", "2 * id + 1 AS id2", "1 AS is_duplicate")
+    t = N.task_tables(pairs, spark.range(2 * n).selectExpr("id", "cast(id AS string) AS text"), split)
+    assert [t[f"retrieval_{x}"].count() for x in ("queries", "relevant", "corpus")] == [n, n, n]
+
+
 def test_scored_pairs_equal_the_sequential_rule(spark, rng):
     data = [(i, float(s), f"a{x}", f"b{y}") for i, (s, x, y) in enumerate(zip(rng.random(200) + .9, rng.integers(0, 30, 200), rng.integers(0, 30, 200)))]
     data += [(200, 1.5, "same", "same"), (201, 1.5, "a0", "new")]
