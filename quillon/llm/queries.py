@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from ..session import ship_package
-from . import bpe, classifier, exact, html, jaccard, lines, packing, quality, shards, substrings
+from . import bitslices, bpe, classifier, collocations, exact, html, infill, jaccard, lines, packing, quality, shards, substrings
 
 
 def _documents(spark, sf):
@@ -63,6 +63,18 @@ def op10_exact_dedup(spark, sf):
     return exact.exact_dedup(_documents(spark, sf))
 
 
+def op11_fill_in_middle(spark, sf):
+    return infill.fill_query(_documents(spark, sf))
+
+
+def op12_collocations(spark, sf):
+    return collocations.collocations(_documents(spark, sf))
+
+
+def op13_topk_search(spark, sf):
+    return bitslices.topk_search(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 def _shipped(query):
     """The workers may run in another folder than the driver and still need the package."""
     @functools.wraps(query)
@@ -83,6 +95,9 @@ _ALL = {
     "op8_line_dedup": (op8_line_dedup, lines.SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_exact_dedup": (op10_exact_dedup, exact.SQL),
+    "op11_fill_in_middle": (op11_fill_in_middle, infill.SQL),
+    "op12_collocations": (op12_collocations, collocations.SQL),
+    "op13_topk_search": (op13_topk_search, bitslices.SQL),
 }
 
 QUERIES = {name: (_shipped(query), sql) for name, (query, sql) in _ALL.items()}
