@@ -362,19 +362,21 @@ def collocations(
 
 SQL = """
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
-                  regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents),
-p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\\x20\\x09]+') AS w FROM t),
-c AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
-s AS (SELECT p.lang, k.k, unnest(list_transform(range(1, len(w) - k.k + 2), lambda i: w[i : i + k.k - 1])) AS g FROM p, (SELECT unnest(range(1, 6)) AS k) k WHERE len(w) >= k.k),
-f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM s GROUP BY ALL HAVING count(*) >= 100),
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, row_number() OVER () AS d, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM t),
+e AS (SELECT lang, d, unnest(w) AS w, unnest(range(len(w))) AS i FROM p),
+c AS (SELECT lang, count(*) AS n FROM e GROUP BY lang),
+s AS (SELECT lang, w AS g1, g1 || ' ' || lead(w, 1) OVER x AS g2, g2 || ' ' || lead(w, 2) OVER x AS g3,
+             g3 || ' ' || lead(w, 3) OVER x AS g4, g4 || ' ' || lead(w, 4) OVER x AS g5 FROM e WINDOW x AS (PARTITION BY d ORDER BY i)),
+g AS (SELECT lang, g1 AS phrase FROM s UNION ALL SELECT lang, g2 FROM s UNION ALL SELECT lang, g3 FROM s UNION ALL SELECT lang, g4 FROM s UNION ALL SELECT lang, g5 FROM s),
+f AS MATERIALIZED (SELECT lang, phrase, string_split(phrase, ' ') AS g, len(string_split(phrase, ' ')) AS k, count(*) AS f FROM g WHERE phrase IS NOT NULL
+                   GROUP BY lang, phrase HAVING count(*) >= 100),
 o AS (SELECT x.lang, x.g[i.i : i.i + j.j - 1] AS g, max(x.f) AS f FROM f x, (SELECT unnest(range(1, 5)) AS i) i, (SELECT unnest(range(2, 5)) AS j) j
       WHERE j.j < x.k AND i.i + j.j - 1 <= x.k GROUP BY ALL),
 q AS MATERIALIZED (SELECT f.* FROM f LEFT JOIN o ON f.lang = o.lang AND f.g = o.g WHERE f.k >= 2 AND (o.f IS NULL OR 100 * o.f < 100 * f.f)),
-u AS (SELECT q.lang, q.g, q.f AS a, h.f AS l, e.f AS r, c.n, x.x, CAST((1000 * CAST(q.f AS HUGEINT) * c.n) // (CAST(h.f AS HUGEINT) * e.f) AS BIGINT) AS score
+u AS (SELECT q.lang, q.phrase, q.f AS a, h.f AS l, e.f AS r, c.n, x.x, CAST((1000 * CAST(q.f AS HUGEINT) * c.n) // (CAST(h.f AS HUGEINT) * e.f) AS BIGINT) AS score
       FROM q JOIN c ON q.lang = c.lang, (SELECT unnest(range(1, 5)) AS x) x
       JOIN f h ON h.lang = q.lang AND h.g = q.g[1 : x.x] JOIN f e ON e.lang = q.lang AND e.g = q.g[x.x + 1 : q.k] WHERE x.x < q.k),
-b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, x) = 1),
-z AS (SELECT *, array_to_string(g, ' ') AS phrase FROM b)
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
-FROM z QUALIFY rank <= 2000
+b AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, x) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b QUALIFY rank <= 2000
 """
