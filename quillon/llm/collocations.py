@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -51,10 +51,19 @@ def _words(batch: pa.RecordBatch, seed: int) -> tuple[np.ndarray, W.Spans, np.nd
     return data, spans, h, np.repeat(ends, np.diff(ends, prepend=0))
 
 
-def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters: int) -> Iterator[pa.RecordBatch]:
-    """Per slice one row per word of a language; at the end the counters of leading words (``word`` null)."""
+def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters: int, merge_rows: int) -> Iterator[pa.RecordBatch]:
+    """One row per word of a language and run of slices; at the end the counters of leading words (``word`` null)."""
     names = ["h", "lang", "word", "f"]
     table = np.zeros(counters, dtype=np.int64)
+    held, size = [], 0
+
+    def flush():
+        parts = pa.Table.from_batches(held).combine_chunks()
+        h, first, at = np.unique(parts.column("h").to_numpy(), return_index=True, return_inverse=True)
+        f = np.bincount(at, weights=parts.column("f").to_numpy()).astype(np.int64)
+        one = parts.take(pa.array(first)).combine_chunks()
+        return pa.RecordBatch.from_arrays([pa.array(h), one.column("lang").combine_chunks(), one.column("word").combine_chunks(), pa.array(f)], names)
+
     for batch in W.slices(batches):
         data, spans, h, ends = _words(batch, seed)
         if not len(h):
@@ -68,7 +77,13 @@ def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters
         raw = data[np.repeat(spans.starts[first] - at[:-1], width) + np.arange(at[-1])]
         word = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw)])
         lang = batch.column("lang").take(pa.array(spans.owners()[first]))
-        yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), lang, word.cast(pa.binary()).cast(pa.string()), pa.array(f, pa.int64())], names)
+        held.append(pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), lang, word.cast(pa.binary()).cast(pa.string()), pa.array(f, pa.int64())], names))
+        size += len(kinds)
+        if size >= merge_rows // 4:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
     some = np.flatnonzero(table)
     none = pa.nulls(len(some), pa.string())
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), none, none, pa.array(table[some])], names)
@@ -124,13 +139,13 @@ def _packing(bits: int, longest: int) -> int:
 
 
 def pack(rows: np.ndarray, bits: int) -> np.ndarray:
-    """Rows of ``longest`` word numbers as rows of fewer bigints."""
+    """Rows of ``longest`` word numbers as rows of fewer bigints, which sort as the words do."""
     each = _packing(bits, rows.shape[1])
     if each == 1:
         return rows
     out = np.zeros((len(rows), -(-rows.shape[1] // each)), dtype=np.int64)
     for i in range(rows.shape[1]):
-        out[:, i // each] |= rows[:, i] << (bits * (i % each))
+        out[:, i // each] |= rows[:, i] << _shift(i, bits, each)
     return out
 
 
@@ -139,7 +154,18 @@ def unpack(packed: np.ndarray, bits: int, longest: int) -> np.ndarray:
     if each == 1:
         return packed
     mask = (1 << bits) - 1
-    return np.stack([packed[:, i // each] >> (bits * (i % each)) & mask for i in range(longest)], axis=1)
+    return np.stack([packed[:, i // each] >> _shift(i, bits, each) & mask for i in range(longest)], axis=1)
+
+
+def _shift(i: int, bits: int, each: int) -> int:
+    return bits * (each - 1 - i % each) if each > 1 else 0
+
+
+def _route(bits: int, longest: int) -> list[Column]:
+    """The leading words of a pointer that say where it goes: as many as its depth."""
+    each = _packing(bits, longest)
+    word = [F.shiftright(f"k{i // each}", _shift(i, bits, each)).bitwiseAND(F.lit((1 << bits) - 1)) if each > 1 else F.col(f"k{i}") for i in range(longest)]
+    return [word[0], word[1], *[F.when(F.col("depth") > i, word[i]) for i in range(2, longest)]]
 
 
 def pointers(h: np.ndarray, ends: np.ndarray, coder: Coder, hot: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +200,7 @@ def pointers(h: np.ndarray, ends: np.ndarray, coder: Coder, hot: np.ndarray, lon
 
 
 def _routed(batches: Iterator[pa.RecordBatch], seed: int, coder: Coder, hot: np.ndarray, longest: int, merge_rows: int) -> Iterator[pa.RecordBatch]:
-    """Merged pointers with their route (a hash of the leading words), depth and weight."""
+    """Merged pointers with their depth and weight."""
     held, size = [], 0
     width = -(-longest // _packing(coder.bits, longest))
 
@@ -183,12 +209,8 @@ def _routed(batches: Iterator[pa.RecordBatch], seed: int, coder: Coder, hot: np.
         depth = np.concatenate([x[1] for x in held])
         both, weight = merged(np.column_stack([rows, depth]), np.concatenate([x[2] for x in held]))
         rows, depth = both[:, :-1], both[:, -1]
-        words = unpack(rows, coder.bits, longest)
-        route = words[:, 0].view(U)
-        for i in range(1, longest):
-            route = np.where(i < depth, W.pair_hash(route, words[:, i].view(U), i), route)
-        columns = [pa.array(route.view(np.int64)), pa.array(depth, pa.int8()), pa.array(weight, pa.int64())] + [pa.array(np.ascontiguousarray(c)) for c in rows.T]
-        return pa.RecordBatch.from_arrays(columns, ["route", "depth", "weight"] + [f"k{i}" for i in range(width)])
+        columns = [pa.array(depth, pa.int8()), pa.array(weight, pa.int64())] + [pa.array(np.ascontiguousarray(c)) for c in rows.T]
+        return pa.RecordBatch.from_arrays(columns, ["depth", "weight"] + [f"k{i}" for i in range(width)])
 
     for batch in W.slices(batches):
         _, _, h, ends = _words(batch, seed)
@@ -238,7 +260,7 @@ def _phrases(batches: Iterator[pa.RecordBatch], bits: int, longest: int, least:
     if not parts:
         return
     table = pa.Table.from_batches(parts)
-    packed = np.column_stack([c.to_numpy() for c in table.columns[3:]]) if len(table) else np.zeros((0, 1), dtype=np.int64)
+    packed = np.column_stack([c.to_numpy() for c in table.columns[2:]]) if len(table) else np.zeros((0, 1), dtype=np.int64)
     weight, depth = table.column("weight").to_numpy(), table.column("depth").to_numpy().astype(np.int64)
     del table, parts
     words = unpack(packed, bits, longest) if len(packed) else np.zeros((0, longest), dtype=np.int64)
@@ -260,11 +282,11 @@ def _phrases(batches: Iterator[pa.RecordBatch], bits: int, longest: int, least:
                 ["ids", "f", "whole"])
 
 
-def _vocabulary(rows: DataFrame, longest: int, counters: int) -> tuple[DataFrame, int]:
+def _vocabulary(rows: DataFrame, longest: int, counters: int, merge_rows: int) -> tuple[DataFrame, int]:
     """Counts of all words (``h, lang, word, f``) and of leading words (``word`` null), and the hash seed under which no
     two words of the table share a hash."""
     for seed in range(0, 64, 2):
-        made = rows.mapInArrow(lambda batches: _counts(batches, seed, longest, counters), "h bigint, lang string, word string, f bigint")
+        made = rows.mapInArrow(lambda batches: _counts(batches, seed, longest, counters, merge_rows), "h bigint, lang string, word string, f bigint")
         kinds = F.col("word").isNull().alias("counter")
         counted = made.groupBy("h", kinds).agg(
             F.sum("f").alias("f"), F.min("lang").alias("lang"), F.max("lang").alias("lang2"), F.min("word").alias("word"), F.max("word").alias("word2"))
@@ -282,7 +304,7 @@ def phrase_counts(
     (``ids, f``), the frequent words (``id, lang, word, f``), and the number of words of each language (``lang, n``)."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    table, seed = _vocabulary(rows, longest, counters)
+    table, seed = _vocabulary(rows, longest, counters, merge_rows)
     words = table.where(F.col("word").isNotNull())
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
@@ -304,9 +326,9 @@ def phrase_counts(
     shared = spark.sparkContext.broadcast((coder, hot))
     bits = coder.bits
     width = -(-longest // _packing(bits, longest))
-    schema = "route bigint, depth tinyint, weight bigint, " + ", ".join(f"k{i} bigint" for i in range(width))
+    schema = "depth tinyint, weight bigint, " + ", ".join(f"k{i} bigint" for i in range(width))
     routed = rows.mapInArrow(lambda batches: _routed(batches, seed, *shared.value, longest, merge_rows), schema)
-    counted = routed.repartition(max(tasks, spark.sparkContext.defaultParallelism), "route").mapInArrow(
+    counted = routed.repartition(max(tasks, spark.sparkContext.defaultParallelism), *_route(bits, longest)).mapInArrow(
         lambda batches: _phrases(batches, bits, longest, least), "ids array<bigint>, f bigint, whole boolean")
     counted = cut_lineage(counted)
     parts = counted.where(~F.col("whole")).groupBy("ids").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
