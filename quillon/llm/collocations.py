@@ -53,7 +53,7 @@ def _words(batch: pa.RecordBatch, seed: int) -> tuple[np.ndarray, W.Spans, np.nd
 
 def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters: int, merge_rows: int) -> Iterator[pa.RecordBatch]:
     """One row per word of a language and run of slices; at the end the counters of leading words (``word`` null)."""
-    names = ["h", "lang", "word", "f"]
+    names = ["counter", "lang", "word", "f"]
     table = np.zeros(counters, dtype=np.int64)
     held, size = [], 0
 
@@ -62,7 +62,8 @@ def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters
         h, first, at = np.unique(parts.column("h").to_numpy(), return_index=True, return_inverse=True)
         f = np.bincount(at, weights=parts.column("f").to_numpy()).astype(np.int64)
         one = parts.take(pa.array(first)).combine_chunks()
-        return pa.RecordBatch.from_arrays([pa.array(h), one.column("lang").combine_chunks(), one.column("word").combine_chunks(), pa.array(f)], names)
+        none = pa.nulls(len(f), pa.int32())
+        return pa.RecordBatch.from_arrays([none, one.column("lang").combine_chunks(), one.column("word").combine_chunks(), pa.array(f)], names)
 
     for batch in W.slices(batches):
         data, spans, h, ends = _words(batch, seed)
@@ -77,7 +78,7 @@ def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters
         raw = data[np.repeat(spans.starts[first] - at[:-1], width) + np.arange(at[-1])]
         word = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw)])
         lang = batch.column("lang").take(pa.array(spans.owners()[first]))
-        held.append(pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), lang, word.cast(pa.binary()).cast(pa.string()), pa.array(f, pa.int64())], names))
+        held.append(pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), lang, word.cast(pa.binary()).cast(pa.string()), pa.array(f, pa.int64())], ["h", *names[1:]]))
         size += len(kinds)
         if size >= merge_rows // 4:
             yield flush()
@@ -86,7 +87,7 @@ def _counts(batches: Iterator[pa.RecordBatch], seed: int, longest: int, counters
         yield flush()
     some = np.flatnonzero(table)
     none = pa.nulls(len(some), pa.string())
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), none, none, pa.array(table[some])], names)
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), none, none, pa.array(table[some])], names)
 
 
 def _leading(h: np.ndarray, ends: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -209,8 +210,8 @@ def _routed(batches: Iterator[pa.RecordBatch], seed: int, coder: Coder, hot: np.
         depth = np.concatenate([x[1] for x in held])
         both, weight = merged(np.column_stack([rows, depth]), np.concatenate([x[2] for x in held]))
         rows, depth = both[:, :-1], both[:, -1]
-        columns = [pa.array(depth, pa.int8()), pa.array(weight, pa.int64())] + [pa.array(np.ascontiguousarray(c)) for c in rows.T]
-        return pa.RecordBatch.from_arrays(columns, ["depth", "weight"] + [f"k{i}" for i in range(width)])
+        columns = [pa.array(depth, pa.int8()), pa.array(weight, pa.int64())] + [pa.array(np.ascontiguousarray(c)) for c in rows.T[::-1]]
+        return pa.RecordBatch.from_arrays(columns, ["depth", "weight"] + [f"k{i}" for i in reversed(range(width))])
 
     for batch in W.slices(batches):
         _, _, h, ends = _words(batch, seed)
@@ -260,7 +261,7 @@ def _phrases(batches: Iterator[pa.RecordBatch], bits: int, longest: int, least:
     if not parts:
         return
     table = pa.Table.from_batches(parts)
-    packed = np.column_stack([c.to_numpy() for c in table.columns[2:]]) if len(table) else np.zeros((0, 1), dtype=np.int64)
+    packed = np.column_stack([c.to_numpy() for c in table.columns[:1:-1]]) if len(table) else np.zeros((0, 1), dtype=np.int64)
     weight, depth = table.column("weight").to_numpy(), table.column("depth").to_numpy().astype(np.int64)
     del table, parts
     words = unpack(packed, bits, longest) if len(packed) else np.zeros((0, longest), dtype=np.int64)
@@ -282,17 +283,26 @@ def _phrases(batches: Iterator[pa.RecordBatch], bits: int, longest: int, least:
                 ["ids", "f", "whole"])
 
 
+def _hashed(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """The hash that :func:`_words` gives each word; a counter keeps its number."""
+    for batch in batches:
+        data, offsets = W.column_bytes(batch.column("word"))
+        langs, at = W.column_bytes(batch.column("lang"))
+        own = [W.hash_spans(d, W.Spans(o[:-1], o[1:], np.arange(len(o))), s) for d, o, s in ((langs, at, seed + 1), (data, offsets, seed))]
+        h = pa.array(np.maximum(W.pair_hash(*own, seed), U(1)).view(np.int64))
+        counter = batch.column("counter").cast(pa.int64())
+        yield pa.RecordBatch.from_arrays([pc.coalesce(counter, h), *batch.columns[1:]], ["h", "lang", "word", "f"])
+
+
 def _vocabulary(rows: DataFrame, longest: int, counters: int, merge_rows: int) -> tuple[DataFrame, int]:
     """Counts of all words (``h, lang, word, f``) and of leading words (``word`` null), and the hash seed under which no
     two words of the table share a hash."""
     for seed in range(0, 64, 2):
-        made = rows.mapInArrow(lambda batches: _counts(batches, seed, longest, counters, merge_rows), "h bigint, lang string, word string, f bigint")
-        kinds = F.col("word").isNull().alias("counter")
-        counted = made.groupBy("h", kinds).agg(
-            F.sum("f").alias("f"), F.min("lang").alias("lang"), F.max("lang").alias("lang2"), F.min("word").alias("word"), F.max("word").alias("word2"))
-        counted = cut_lineage(counted)
-        if not counted.where((F.col("lang") != F.col("lang2")) | (F.col("word") != F.col("word2"))).limit(1).count():
-            return counted.select("h", "lang", "word", "f"), seed
+        made = rows.mapInArrow(lambda batches: _counts(batches, seed, longest, counters, merge_rows), "counter int, lang string, word string, f bigint")
+        counted = made.groupBy("counter", "lang", "word").agg(F.sum("f").alias("f"))
+        counted = cut_lineage(counted.mapInArrow(lambda batches: _hashed(batches, seed), "h bigint, lang string, word string, f bigint"))
+        if not counted.where(F.col("word").isNotNull()).groupBy("h").count().where("count > 1").limit(1).count():
+            return counted, seed
     raise ValueError("no seed keeps the words apart")
 
 
@@ -326,7 +336,8 @@ def phrase_counts(
     shared = spark.sparkContext.broadcast((coder, hot))
     bits = coder.bits
     width = -(-longest // _packing(bits, longest))
-    schema = "depth tinyint, weight bigint, " + ", ".join(f"k{i} bigint" for i in range(width))
+    # Last words first: sorted rows then differ in one stretch of bytes, which the shuffle's compression needs.
+    schema = "depth tinyint, weight bigint, " + ", ".join(f"k{i} bigint" for i in reversed(range(width)))
     routed = rows.mapInArrow(lambda batches: _routed(batches, seed, *shared.value, longest, merge_rows), schema)
     counted = routed.repartition(max(tasks, spark.sparkContext.defaultParallelism), *_route(bits, longest)).mapInArrow(
         lambda batches: _phrases(batches, bits, longest, least), "ids array<bigint>, f bigint, whole boolean")
