@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import graph as G
 from ..operators import lexical as L
+from ..operators import pivots as P
 from ..operators import search as S
 from ..session import cut_lineage
 from .common import SQL_EMB, embeddings, r6, table
@@ -57,11 +58,25 @@ def similarity_join(spark, sf):
     return S.similarity_join(embeddings(spark, sf), 0.4).select("id1", "id2", r6("score", "score"))
 
 
-def similarity_join_candidates(spark, sf):
-    """Candidates of an inverted-list search with every list probed, so that all pairs are among them."""
-    emb = embeddings(spark, sf)
-    found = S.ivf_search(emb, emb, 6, 6, 100, seed=1)
-    return S.similarity_join(emb, 0.4, candidates=found).select("id1", "id2", r6("score", "score"))
+def similarity_join_pivots(spark, sf):
+    return P.pivot_join(embeddings(spark, sf), 0.4)[0].select("id1", "id2", r6("score", "score"))
+
+
+def clustered(spark, sf):
+    """Every vector drawn towards one of fifty rows: fifty clusters narrower than the angle of 0.9."""
+    emb = embeddings(spark, sf).select("id", "embedding")
+    centres = emb.where("id < 50").select(F.col("id").alias("centre"), F.col("embedding").alias("c"))
+    both = emb.withColumn("centre", F.col("id") % 50).join(F.broadcast(centres), "centre")
+    return both.select("id", F.zip_with("c", "embedding", lambda c, v: 4 * c.cast("double") + v.cast("double")).alias("embedding"))
+
+
+def pivot_join_clusters(spark, sf):
+    return P.pivot_join(clustered(spark, sf), 0.9)[0].select("id1", "id2", r6("score", "score"))
+
+
+def pivot_join_share(spark, sf):
+    """Rows, pairs, and whether under a tenth of all pairs of rows were compared for them."""
+    return P.compared_share(clustered(spark, sf), 0.9).select("n_rows", "n_pairs", (F.col("share") < 0.1).alias("under_a_tenth"))
 
 
 def paraphrase_mining_candidates(spark, sf):
@@ -410,5 +425,12 @@ QUERIES = {
 # The distributed halves return the same rows, so they share the SQL.
 QUERIES |= {f"{name}_rounds": (_rounds(name[:3]), QUERIES[name][1]) for name in (
     "j04_community_detection", "j06_threshold_clusters", "j10_bm25_search", "j14_margin_bitext", "j16_transitive_closure", "j17_connected_nodes")}
-QUERIES["c07_similarity_join_candidates"] = (similarity_join_candidates, QUERIES["c07_similarity_join"][1])
+SQL_CLUSTERS = """o AS (SELECT a.vec_id, a.label, list_transform(list_zip(c.embedding, a.embedding), lambda x: 4 * x[1]::DOUBLE + x[2]::DOUBLE) AS v
+                       FROM embeddings a JOIN embeddings c ON c.vec_id = a.vec_id % 50),
+                 e AS (SELECT vec_id, label, v FROM o)"""
+QUERIES["c07_similarity_join_pivots"] = (similarity_join_pivots, QUERIES["c07_similarity_join"][1])
+QUERIES["c07_pivot_join_clusters"] = (pivot_join_clusters, QUERIES["c07_similarity_join"][1].replace(SQL_EMB, SQL_CLUSTERS).replace(">= 0.4", ">= 0.9"))
+QUERIES["c07_pivot_join_share"] = (pivot_join_share, f"""
+    WITH {SQL_CLUSTERS}, p AS (SELECT count(*) AS n_pairs FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE {COS} >= 0.9)
+    SELECT (SELECT count(*) FROM e) AS n_rows, n_pairs, true AS under_a_tenth FROM p""")
 QUERIES["j02_mining_candidates"] = (paraphrase_mining_candidates, QUERIES["j02_paraphrase_mining"][1])
