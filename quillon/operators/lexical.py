@@ -16,6 +16,7 @@ from ..functions import text as X
 from ..functions import vectors as V
 from ..session import cut_lineage
 from . import blocks as B
+from .maxscore import SLICE_TEXTS, block_max_search
 from .search import top_k
 
 
@@ -118,12 +119,14 @@ def bm25_search(
     id: str = "id",
     text: str = "text",
     broadcast_terms: int = BROADCAST_TERMS,
+    slice_texts: int = SLICE_TEXTS,
 ) -> DataFrame:
     """``(query_id, corpus_id, score, rank)`` under BM25 with ``idf = ln(1 + (N - df + .5) / (df + .5))``.
 
     A repeated query word counts each time; texts without a common word are no hits. If the query words are few enough
     to broadcast (counted first), the corpus is scanned twice - for document counts and for scores - and only top lists
-    are shuffled. Otherwise the words are joined.
+    are shuffled. Otherwise an inverted index with score bounds answers them, slice by slice of the texts: a pair of a query
+    and a text below the query's floor is never made, however frequent the words they share.
     """
     def toks(c):
         return X.search_tokens(c, stop)
@@ -132,26 +135,26 @@ def bm25_search(
     terms = cut_lineage(terms.groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("qtf")))
     docs = corpus.select(F.col(id).cast("bigint").alias("corpus_id"), toks(text).alias("toks"))
     small = terms.limit(broadcast_terms + 1).count() <= broadcast_terms
-    scores = _scan_scores(terms, docs, k, k1, b) if small else _join_scores(terms, docs, k1, b)
+    scores = _scan_scores(terms, docs, k, k1, b) if small else _index_scores(terms, docs, k, k1, b, slice_texts)
     return top_k(scores, "query_id", "score", "corpus_id", k)
 
 
-def _join_scores(terms: DataFrame, docs: DataFrame, k1: float, b: float) -> DataFrame:
+def _index_scores(terms: DataFrame, docs: DataFrame, k: int, k1: float, b: float, slice_texts: int) -> DataFrame:
+    """Top lists per slice of texts from an inverted index with score bounds (see :mod:`maxscore`)."""
     docs = docs.withColumn("dl", F.size("toks"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).withColumn("__k", F.lit(1))
+    texts, avgdl = docs.agg(F.count(F.lit(1)), F.avg("dl")).head()
     # Corpus words that no query holds are dropped before the shuffle. The index is read twice, so it is written once.
     postings = cut_lineage(
         docs.select("corpus_id", "dl", F.explode("toks").alias("token"))
         .join(terms.select("token").distinct(), "token", "left_semi")
         .groupBy("corpus_id", "token").agg(F.first("dl").alias("dl"), F.count(F.lit(1)).alias("tf")))
-    df = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn("__k", F.lit(1))
-    weighted = df.join(F.broadcast(stats), "__k").select(
-        "token", "avgdl", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    wanted = terms.join(weighted, "token")
+    df = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    weighted = df.select("token", F.log(1 + (F.lit(texts) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     tf = F.col("tf")
-    part = F.col("qtf") * F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    # A frequent word is split by the adaptive skew join; partial sums per (query, document) precede the shuffle.
-    return postings.join(wanted, "token").groupBy("query_id", "corpus_id").agg(F.round(F.sum(part), B.SCORE_DECIMALS).alias("score"))
+    impact = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl or 1.0)))
+    # A frequent word's postings are split by the adaptive skew join.
+    impacts = postings.join(weighted, "token").select("corpus_id", "token", impact.alias("impact"))
+    return block_max_search(terms, impacts, texts, k, slice_texts)
 
 
 def _word_counts(toks: pa.ListArray, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
