@@ -12,7 +12,7 @@ from ..functions import vectors as V
 from ..operators import datasets as N
 from ..operators import search as S
 from .common import SQL_EMB, embeddings, r6, sql_hash, sql_hash_int, table
-from .evaluate import GOLD, PAIRS, SQL_SHIFT, gold_pairs, label_qrels, pairs, shifted, wide
+from .evaluate import GOLD, PAIRS, SQL_SHIFT, SQL_WIDE, gold_pairs, label_qrels, pairs, shifted, wide
 from .search import COS, EDGES, benchmark, copy_pairs, length_gap, sql_bm25, turn_pairs
 from .tabular import doc_links
 from .text import STOP, docs, sql_words, turns
@@ -288,9 +288,10 @@ QUERIES = {
         two AS (SELECT q, c, ry FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY ry, c) AS n FROM (SELECT * FROM u ANTI JOIN one USING (q, c) WHERE ry <= 20)) WHERE n <= 3)
         SELECT q AS query_id, 'cos' AS system, c AS corpus_id, rx AS position FROM one UNION ALL SELECT q, 'dot', c, ry FROM two"""),
     "n07_margin_labels": (n07, f"""
-        WITH {HITS2}, p AS (SELECT * FROM (SELECT q, c, row_number() OVER (PARTITION BY q ORDER BY c) - 1 AS i, count(*) OVER (PARTITION BY q) AS n FROM ql) WHERE i = 2 % n),
-        n AS (SELECT * FROM (SELECT q, c, row_number() OVER (PARTITION BY q ORDER BY c) - 1 AS i, count(*) OVER (PARTITION BY q) AS n FROM ng) WHERE i = 2 % n)
-        SELECT q AS query_id, p.c AS positive, n.c AS negative, round(a.sc - b.sc, 6) AS label FROM p JOIN n USING (q) JOIN s a ON a.q = p.q AND a.c = p.c JOIN s b ON b.q = n.q AND b.c = n.c"""),
+        WITH {HITS2}, g AS MATERIALIZED (SELECT q, c, s.sc FROM ql JOIN s USING (q, c)),
+        p AS MATERIALIZED (SELECT q, c, sc FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY c) - 1 AS i, count(*) OVER (PARTITION BY q) AS n FROM g) WHERE i = 2 % n),
+        n AS MATERIALIZED (SELECT q, c, sc FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY c) - 1 AS i, count(*) OVER (PARTITION BY q) AS n FROM ng) WHERE i = 2 % n)
+        SELECT p.q AS query_id, p.c AS positive, n.c AS negative, round(p.sc - n.sc, 6) AS label FROM p JOIN n ON p.q = n.q"""),
     "n08_ratio_sample": (n08, """
         WITH f AS (SELECT user_id FROM events GROUP BY 1 ORDER BY min(event_id) LIMIT 20), r AS (SELECT *, row_number() OVER (ORDER BY event_id) AS position FROM events WHERE user_id NOT IN (FROM f))
         SELECT position, user_id AS query_id, CASE WHEN (position - 1) % 5 = 0 THEN event_id % 97 ELSE floor(value * 10)::BIGINT END AS passage_id, ((position - 1) % 5 = 0)::BIGINT AS label FROM r"""),
@@ -321,8 +322,8 @@ QUERIES = {
         WITH nd AS (SELECT doc_id AS id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)),
         ot AS (SELECT doc_id AS id, lang, row_number() OVER (ORDER BY {sql_hash('doc_id')}, doc_id) AS n FROM documents WHERE doc_id NOT IN (SELECT id FROM nd))
         SELECT id, lang FROM nd UNION ALL SELECT id, lang FROM ot WHERE n <= 300 - (SELECT count(*) FROM nd)"""),
-    "n15_parallel_wide": (n15, """
-        WITH w AS (SELECT doc_id // 4 AS g, min(text) FILTER (WHERE lang = 'en') AS en, min(text) FILTER (WHERE lang = 'de') AS de, min(text) FILTER (WHERE lang = 'fr') AS fr, min(text) FILTER (WHERE lang = 'es') AS es FROM documents GROUP BY 1),
+    "n15_parallel_wide": (n15, f"""
+        WITH {SQL_WIDE},
         l AS (SELECT 'de' AS lang, g, en AS s, de AS t FROM w UNION ALL SELECT 'fr', g, en, fr FROM w UNION ALL SELECT 'es', g, en, es FROM w),
         x AS (SELECT lang, g, trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s, trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM l WHERE trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' AND trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')
         SELECT lang, g, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY g) <= 10 THEN 'dev' ELSE 'train' END AS split, md5(s) AS src, md5(t) AS trg FROM x"""),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -153,9 +154,14 @@ def k12(spark, sf):
 
 
 def wide(spark, sf):
-    """Texts of consecutive documents as language columns, blank where the language differs."""
-    d = table(spark, sf, "documents").withColumn("g", F.floor(F.col("doc_id") / 4))
-    return d.groupBy("g").agg(*[F.min(F.when(F.col("lang") == lang, F.col("text"))).alias(lang) for lang in ("en", "de", "fr", "es")])
+    """Documents as rows of one text per language: the i-th texts of each language in a run of 64 ids share a row.
+
+    Every text has its cell; a cell is null where a language has fewer texts in the run.
+    """
+    d = table(spark, sf, "documents").withColumn("run", F.floor(F.col("doc_id") / 64))
+    place = Window.partitionBy("run", "lang").orderBy("doc_id", "text")  # 64 rows at most, beyond repeated ids
+    d = d.withColumn("g", F.col("run") * 64 + F.row_number().over(place) - 1)
+    return d.groupBy("g").agg(*[F.max(F.when(F.col("lang") == lang, F.col("text"))).alias(lang) for lang in ("en", "de", "fr", "es")])
 
 
 def text_vector(c):
@@ -168,7 +174,7 @@ def k13(spark, sf):
 
 
 def k14(spark, sf):
-    d = embeddings(spark, sf).select("label", F.slice("embedding", 1, 10).alias("scores"))
+    d = embeddings(spark, sf).select("label", F.col("embedding").alias("scores"))
     return E.label_accuracy(d, "scores", "label").select(r6("accuracy", "accuracy"))
 
 
@@ -262,6 +268,10 @@ pq AS (SELECT sy.system, nr.q, {cols} FROM nr CROSS JOIN (VALUES ('cos_sim'), ('
 SQL_SHIFT = "sh AS (SELECT vec_id, list_transform(v, lambda x, i: CASE WHEN (i - 1) % 3 = 0 THEN 0.0 ELSE x END) AS v FROM e)"
 TV = "[length({x}) / 1000.0::DOUBLE, len(list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')) / 100.0::DOUBLE, length(regexp_replace({x}, '[^e]', '', 'g')) / 100.0::DOUBLE]"
 
+SQL_WIDE = """t AS (SELECT (doc_id // 64) * 64 + row_number() OVER (PARTITION BY doc_id // 64, lang ORDER BY doc_id, text) - 1 AS g, lang, text FROM documents),
+        w AS (SELECT g, max(text) FILTER (WHERE lang = 'en') AS en, max(text) FILTER (WHERE lang = 'de') AS de,
+                     max(text) FILTER (WHERE lang = 'fr') AS fr, max(text) FILTER (WHERE lang = 'es') AS es FROM t GROUP BY 1)"""
+
 QUERIES = {
     "k01_embedding_similarity": (k01, f"""
         WITH {PAIRS},
@@ -305,12 +315,11 @@ QUERIES = {
         SELECT round(c, 6) AS cosine, round(m, 6) AS manhattan, round(u, 6) AS euclidean, round(greatest(c, m, u), 6) AS main FROM c"""),
     "k12_embedding_mse": (k12, f"WITH {SQL_EMB}, {SQL_SHIFT}, x AS (SELECT 100 * sum(list_distance(e.v, sh.v) ** 2) / sum(len(e.v)) AS m FROM e JOIN sh USING (vec_id)) SELECT round(m, 6) AS mse, round(-m, 6) AS score FROM x"),
     "k13_mse_by_language_pair": (k13, f"""
-        WITH w AS (SELECT doc_id // 4 AS g, min(text) FILTER (WHERE lang = 'en') AS en, min(text) FILTER (WHERE lang = 'de') AS de,
-                          min(text) FILTER (WHERE lang = 'fr') AS fr, min(text) FILTER (WHERE lang = 'es') AS es FROM documents GROUP BY 1),
+        WITH {SQL_WIDE},
         l AS (SELECT 'en' AS src, 'de' AS trg, en AS s, de AS t FROM w UNION ALL SELECT 'en', 'fr', en, fr FROM w UNION ALL SELECT 'en', 'es', en, es FROM w),
         x AS (SELECT src, trg, 100 * sum(list_distance({TV.format(x='s')}, {TV.format(x='t')}) ** 2) / sum(3) AS m FROM l WHERE trim(s) <> '' AND trim(t) <> '' GROUP BY 1, 2)
         SELECT src, trg, round(m, 6) AS mse, round(-m, 6) AS score FROM x"""),
-    "k14_label_accuracy": (k14, f"WITH {SQL_EMB}, x AS (SELECT label, v[1:10] AS s FROM e) SELECT round(avg((list_position(s, list_max(s)) - 1 = label)::INT), 6) AS accuracy FROM x"),
+    "k14_label_accuracy": (k14, f"WITH {SQL_EMB}, x AS (SELECT label, v AS s FROM e) SELECT round(avg((list_position(s, list_max(s)) - 1 = label)::INT), 6) AS accuracy FROM x"),
     "k15_binary_accuracy": (k15, f"WITH {SD} SELECT round(avg(((score > 200)::INT = quality)::INT), 6) AS accuracy FROM sd"),
     "k16_correlation_report": (k16, f"""
         WITH {SD}, r AS (SELECT lang, score, toxic, rank() OVER (PARTITION BY lang ORDER BY score) + (count(*) OVER (PARTITION BY lang, score) - 1) / 2.0 AS ra,

@@ -88,15 +88,22 @@ def h09(spark, sf):
 
 
 def wide_embeddings(spark, sf):
-    return embeddings(spark, sf).select("id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(24)])
+    """All coordinates as columns ``x0, x1, ...``."""
+    emb = embeddings(spark, sf)
+    width = emb.agg(F.max(F.size("embedding"))).head()[0] or 0
+    return emb.select("id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(width)]), width
 
 
 def h10(spark, sf):
-    d = wide_embeddings(spark, sf)
-    out = H.pca_pipeline([f"x{i}" for i in range(24)], 19).fit(d).transform(d).select("id", vector_to_array("features").alias("f"))
-    # Standardized components: every one has mean 0 and deviation 1.
-    flat = out.select(F.posexplode("f").alias("dim", "x")).groupBy("dim").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
-    return flat.select(F.col("dim").cast("bigint").alias("dim"), F.abs(F.round("mean", 6)).alias("mean"), r6("sd", "sd"))
+    """19 standardized components of all coordinates (mean 0, deviation 1), beside the variance of the full projection."""
+    d, width = wide_embeddings(spark, sf)
+    columns = [f"x{i}" for i in range(width)]
+    out = H.pca_pipeline(columns, 19).fit(d).transform(d).select("id", vector_to_array("features").alias("f"))
+    flat = out.select(F.posexplode("f").alias("dim", "x")).groupBy("dim").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"), F.count("x").alias("n"))
+    # A rotation keeps the total variance: the full projection has that of the coordinates.
+    full = H.pca_pipeline(columns, width).fit(d).transform(d).select(F.posexplode(vector_to_array("pca")).alias("dim", "x"))
+    total = full.groupBy("dim").agg(F.var_samp("x").alias("v")).agg(F.sum("v").alias("variance"))
+    return flat.crossJoin(total).select(F.col("dim").cast("bigint").alias("dim"), F.abs(F.round("mean", 6)).alias("mean"), r6("sd", "sd"), "n", r6("variance", "variance"))
 
 
 def h11(spark, sf):
@@ -125,6 +132,8 @@ QUERIES = {
     "h07_one_hot": (h07, f"WITH {ORD} SELECT o_orderkey, " + ", ".join(f"(idx = {i})::BIGINT AS h{i}" for i in range(4)) + " FROM orders JOIN r ON p = o_orderpriority"),
     "h08_hashing_tf": (h08, f"SELECT doc_id AS id, len({WORDS})::BIGINT AS tokens, len({WORDS})::BIGINT AS mass FROM documents"),
     "h09_count_vectorizer": (h09, f"WITH w AS (SELECT doc_id, unnest({WORDS}) AS word FROM documents), c AS (SELECT word, count(*) AS n FROM w GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2) SELECT row_number() OVER (ORDER BY n DESC) - 1 AS i, word, n FROM c ORDER BY n DESC LIMIT 3"),
-    "h10_pca": (h10, "SELECT range AS dim, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS sd FROM range(19)"),
+    "h10_pca": (h10, """
+        WITH x AS (SELECT unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings), c AS (SELECT i, var_samp(v) AS v FROM x GROUP BY i)
+        SELECT d.range AS dim, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS sd, (SELECT count(*) FROM embeddings) AS n, (SELECT round(sum(v), 6) FROM c) AS variance FROM range(19) d"""),
     "h11_nested_stages": (h11, f"WITH s AS (SELECT avg(l_discount) AS m, stddev_samp(l_discount) AS d, count(DISTINCT l_returnflag) + count(DISTINCT l_linestatus) AS w FROM lineitem) SELECT {K}, 3 + w AS width, 2::BIGINT AS ones, round((l_discount - m) / d, 6) AS discount FROM lineitem, s"),
 }
