@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..operators.prefix import first_n, global_row_number
+from ..session import cut_lineage
 
 
 def read_json(spark: SparkSession, path, schema: T.StructType | str | None = None, drop: Sequence[str] = ()) -> DataFrame:
@@ -53,12 +54,46 @@ def id_range(spark: SparkSession, n: int, name: str = "id", kind: str = "bigint"
     return spark.range(n).select(F.col("id").cast(kind).alias(name))
 
 
+#: The most bytes of block rows that are broadcast to number lines; beyond it the blocks are joined by a shuffle.
+BLOCK_TABLE_BYTES = 64 << 20
+
+
+def _blocks(raw: DataFrame) -> DataFrame:
+    """One row per block of a file (a byte range that Spark planned): its lines, the number its rows start at in this plan,
+    and the lines before it in its file. The text is not decoded into rows that travel: only counts are shuffled."""
+    counted = raw.groupBy("file", "start").agg(F.count(F.lit(1)).alias("lines"), F.min("mid").alias("first"))
+    before = F.sum("lines").over(W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, W.currentRow))
+    return cut_lineage(counted.withColumn("offset", before - F.col("lines")))
+
+
+def _numbered(spark: SparkSession, paths: Sequence[str], over_files: bool) -> DataFrame:
+    """``(file, line, value)``: two scans of the files, the first counts the lines of every block, the second numbers them.
+
+    Both scans have the same byte ranges in the same order, so a line is its block's offset plus its distance to the
+    block's first row; a row outside its block's counted range is an error. With ``over_files`` the numbers run on over
+    the files in name order.
+    """
+    raw = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("mid"))
+    blocks = _blocks(raw.select("file", "start", "mid"))
+    if over_files:
+        files = blocks.groupBy("file").agg(F.sum("lines").alias("own"))  # one row per file
+        ahead = F.sum("own").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("own")
+        blocks = cut_lineage(blocks.join(files.select("file", ahead.alias("ahead")), "file").withColumn("offset", F.col("offset") + F.col("ahead")).drop("ahead"))
+    size = blocks.agg(F.sum(F.length("file") + 32)).head()[0] or 0
+    met = raw.join(F.broadcast(blocks) if size <= BLOCK_TABLE_BYTES else blocks, ["file", "start"])
+    at = F.col("mid") - F.col("first")
+    line = F.when((at >= 0) & (at < F.col("lines")), F.col("offset") + at).otherwise(F.raise_error(F.lit("the files changed between two reads")).cast("bigint"))
+    return met.select("file", line.cast("bigint").alias("line"), "value")
+
+
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """``(file, line, value)``: text lines numbered from 0 within each file, in parallel over the blocks of a file.
 
-    A line's number is its place in its block plus the lines of the blocks before. Compressed ``.gz`` and ``.bz2`` files
-    are read by Spark; ``.xz`` files, for which Hadoop has no codec, are each read whole by a task and decompressed in
-    parts. A list may mix them.
+    A line's number is its place in its block plus the lines of the blocks before; texts are numbered where they are
+    read. ``.gz`` and ``.bz2`` files are read by Spark (``.bz2`` in blocks); ``.xz`` files, for which Hadoop has no
+    codec, are each read whole by a task and decompressed in parts. A list may mix them.
     """
     paths = [path] if isinstance(path, str) else list(path)
     packed = [p for p in paths if p.endswith(".xz")]
@@ -66,15 +101,7 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
         rest = [p for p in paths if not p.endswith(".xz")]
         unpacked = _read_xz(spark, packed)
         return unpacked.unionByName(read_lines(spark, rest)) if rest else unpacked
-    raw = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("mid"))
-    # A block is at most maxPartitionBytes (a compressed file is one block), so the window group is bounded.
-    inside = raw.withColumn("n", F.row_number().over(W.partitionBy("file", "start").orderBy("mid")))
-    blocks = raw.groupBy("file", "start").agg(F.count(F.lit(1)).alias("lines"))
-    before = F.sum("lines").over(W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, W.currentRow))
-    offsets = blocks.select("file", "start", (before - F.col("lines")).alias("offset"))
-    return inside.join(offsets, ["file", "start"]).select("file", (F.col("offset") + F.col("n") - 1).cast("bigint").alias("line"), "value")
+    return _numbered(spark, paths, False)
 
 
 def _read_xz(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -97,6 +124,8 @@ def _read_xz(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def ordered_lines(spark: SparkSession, path) -> DataFrame:
     """``(line, value)`` over one file, or over the part files of a folder in name order."""
+    if not (isinstance(path, str) and path.endswith(".xz")):
+        return _numbered(spark, [path] if isinstance(path, str) else path, True).select("line", "value")
     lines = read_lines(spark, path)
     counts = lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))  # one row per file
     before = F.sum("lines").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("lines")
