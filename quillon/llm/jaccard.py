@@ -161,8 +161,8 @@ class _Bitmaps:
 def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of members of one block pair that the sizes and bitmaps don't exclude, as ``a < b``.
 
-    ``nearest``: for each member only the pair with the fewest differing bits among those of smaller id. Otherwise all pairs
-    whose components differ.
+    ``nearest``: for each member only the pair with the fewest differing bits among those of smaller id, and a row
+    ``(null, token)`` for every element that has more pairs than those. Otherwise all pairs whose components differ.
     """
     keys = ["token", "lo", "hi"]
     for table in _whole_keys(batches, keys):
@@ -173,6 +173,7 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) ->
         group = np.concatenate([[0], np.cumsum(change)])
         best = np.full(len(n), 1 << 62, dtype=np.int64)  # per row: differing bits, then the partner's row
         found = [np.zeros((2, 0), dtype=np.int64)]
+        met = np.zeros(len(n), dtype=np.int64)  # pairs of each row, as the one of larger id
         # Rows are sorted by size in a group: row i meets the rows after it while these are small enough.
         end = np.searchsorted(group, group, side="right")
         rows, step = np.arange(len(n)), 1
@@ -191,6 +192,7 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) ->
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
                 if nearest:
                     np.minimum.at(best, j, differ << 32 | i)
+                    met += np.bincount(j, minlength=len(n))
                 else:
                     found.append(np.unique(np.stack([ids[i], ids[j]]), axis=1))
             step += 1
@@ -198,7 +200,9 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) ->
             j = np.flatnonzero(best < 1 << 62)
             found.append(np.stack([ids[best[j] & 0xFFFFFFFF], ids[j]]))
         pair = np.unique(np.concatenate(found, axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+        more = np.unique(table.column("token").to_numpy()[met > 1])
+        first = pa.chunked_array([pa.array(pair[0]), pa.nulls(len(more), pa.int64())]).combine_chunks()
+        yield pa.RecordBatch.from_arrays([first, pa.array(np.concatenate([pair[1], more]))], ["a", "b"])
 
 
 def meetings(leads: DataFrame, percent: int) -> DataFrame:
@@ -266,7 +270,10 @@ def links(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, perc
     members = classes.join(groups, ["g1", "g2"]).select(F.col("rep").alias("id"), "lead")
     members = cut_lineage(made.select("id", "n", "bitmap").join(members, "id"))
     met = meetings(leads, percent)
-    near = _verified(docs, cut_lineage(candidates(met, members.withColumn("component", F.col("id")), percent, True)), width, percent)
+    first = cut_lineage(candidates(met, members.withColumn("component", F.col("id")), percent, True))
+    near = _verified(docs, first.where(F.col("a").isNotNull()), width, percent)
+    # Only elements with pairs beyond the nearest ones are met again.
+    met = cut_lineage(met.join(first.where(F.col("a").isNull()).select(F.col("b").alias("token")), "token", "left_semi"))
     known = star_components(near).withColumnRenamed("node", "id")
     labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rest = cut_lineage(candidates(met, labelled, percent, False))
