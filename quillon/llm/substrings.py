@@ -20,9 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import words as W
 from .ids import numbered, set_aside
 
@@ -32,6 +33,7 @@ HASH_BYTES = 8  # of a window, beside the 64 bits of its key
 COUNTERS = 1 << 16  # keys are counted by their low bits, so a count is never too low
 HOT_WINDOWS = 1 << 14  # a key is hot from so many windows, and from HOT_SHARE times the mean of the counters
 HOT_SHARE = 8
+MARK_BITS = 1 << 26  # of the bitmap of documents with repeated windows; others may be taken for one, never the reverse
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -305,7 +307,13 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, names: list[str]) -> Ite
 ADDED = {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"}
 
 
-def substring_dedup(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+def _bit(id: str, bits: int) -> tuple[Column, Column]:
+    """The word and the bit of a bitmap that an id's hash has."""
+    place = F.pmod(F.xxhash64(id), F.lit(bits))
+    return F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+
+
+def substring_dedup(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, mark_bits: int = MARK_BITS) -> DataFrame:
     """``docs`` without the words that lie in a window of ``width`` words that starts earlier too; ``ADDED`` columns appended.
 
     Words are runs of characters outside space and 0x09-0x0D. A window's copy is earlier if its document has a smaller
@@ -320,8 +328,17 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -
     given, docs = docs.columns, set_aside(docs, "doc_id", "text")
     rows = numbered(docs)
     found = repeated_windows(rows, width, rounds)
-    spans = found.groupBy(F.col("id").alias("__key")).agg(F.collect_list(F.struct("at", "n")).alias("__spans"))
-    joined = rows.join(spans, F.col("__id") == F.col("__key"), "left").drop("__id", "__key")
+    spans = cut_lineage(found.groupBy(F.col("id").alias("__key")).agg(F.collect_list(F.struct("at", "n")).alias("__spans")))
+    # Most documents have no repeated window; a bitmap of those that have, of a fixed size, keeps the other texts out of
+    # the shuffle. It is broadcast as rows of 64 bits, at most mark_bits / 64 of them.
+    word, bit = _bit("__key", mark_bits)
+    marks = cut_lineage(spans.select(word.alias("__w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("b")).groupBy("__w").agg(F.bit_or("b").alias("__b")))
+    word, bit = _bit("__id", mark_bits)
+    placed = rows.withColumn("__at", word).join(F.broadcast(marks), F.col("__at") == F.col("__w"), "left").drop("__at", "__w")
+    marked = F.call_function("shiftrightunsigned", F.coalesce("__b", F.lit(0).cast("bigint")), bit).bitwiseAND(F.lit(1)) == 1
+    some, rest = placed.where(marked).drop("__b"), placed.where(~marked).drop("__b")
+    joined = some.join(spans, F.col("__id") == F.col("__key"), "left").drop("__id", "__key")
+    joined = joined.unionByName(rest.drop("__id").withColumn("__spans", F.lit(None).cast(spans.schema["__spans"].dataType)))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"{k} {v}" for k, v in ADDED.items()]
     names = [*docs.columns, *ADDED]
     return joined.mapInArrow(lambda b: _cut(b, width, names), ", ".join(fields)).toDF(*given, *ADDED)
