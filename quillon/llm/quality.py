@@ -102,10 +102,8 @@ class Ratios:
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> Ratios:
     """The ratios of the counted n-grams; at most ``buckets`` rows reach the driver."""
     raw, trusted = np.zeros(buckets), np.zeros(buckets)
-    rows = counts.collect()
-    if rows:
-        at = np.array([r[0] for r in rows])
-        raw[at], trusted[at] = [r[1] for r in rows], [r[2] for r in rows]
+    at, *both = (c.to_numpy() for c in counts.toArrow().columns)
+    raw[at], trusted[at] = both
     share = (raw + 1) / (raw.sum() + buckets)
     return Ratios(share, trusted, prior)
 

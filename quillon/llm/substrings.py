@@ -167,8 +167,8 @@ def hot_counters(docs: DataFrame, width: int, rounds: int, least: int = HOT_WIND
     """True for the counters of keys that must be dealt out; at most ``COUNTERS`` rows reach the driver."""
     counts = docs.select("text").mapInArrow(lambda b: _count(b, width, rounds), "counter bigint, n bigint")
     total = np.zeros(COUNTERS, dtype=np.int64)
-    for counter, n in counts.groupBy("counter").agg(F.sum("n")).collect():
-        total[counter] = n
+    counter, n = (c.to_numpy() for c in counts.groupBy("counter").agg(F.sum("n")).toArrow().columns)
+    total[counter] = n
     return total >= max(least, HOT_SHARE * total.mean())
 
 
