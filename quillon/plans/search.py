@@ -10,6 +10,7 @@ from ..functions import vectors as V
 from ..operators import graph as G
 from ..operators import lexical as L
 from ..operators import pivots as P
+from ..operators import probing as PR
 from ..operators import search as S
 from ..session import cut_lineage
 from .common import SQL_EMB, embeddings, r6, table
@@ -138,6 +139,19 @@ def lsh(spark, sf):
     return _ann(S.lsh_search(emb, emb, 10, tables=24, bits=4), emb)
 
 
+def multiprobe(spark, sf):
+    """Search that visits eight buckets of two tables, and whether it compared under a tenth of all pairs."""
+    emb = clustered(spark, sf)
+    hits, compared = PR.multiprobe_search(emb, emb, 10, tables=2, probes=8, bucket_rows=2, seed=1)
+    return _ann(hits, emb).withColumn("under_a_tenth", F.lit(PR.compared_share(emb, emb, compared) < 0.1))
+
+
+def multiprobe_all(spark, sf):
+    """With every bucket of one table allowed the search ends by its bound, and is exact."""
+    emb = embeddings(spark, sf)
+    return PR.multiprobe_search(emb, emb, 10, tables=1, bits=5, probes=32, seed=1)[0].select("query_id", "corpus_id", "rank", r6("score", "score"))
+
+
 def ann_recall(spark, sf):
     """Search in two steps of different depth: how much of the exact top 10 the top 5 of the other score holds."""
     emb = embeddings(spark, sf)
@@ -434,3 +448,6 @@ QUERIES["c07_pivot_join_share"] = (pivot_join_share, f"""
     WITH {SQL_CLUSTERS}, p AS (SELECT count(*) AS n_pairs FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE {COS} >= 0.9)
     SELECT (SELECT count(*) FROM e) AS n_rows, n_pairs, true AS under_a_tenth FROM p""")
 QUERIES["j02_mining_candidates"] = (paraphrase_mining_candidates, QUERIES["j02_paraphrase_mining"][1])
+QUERIES["j08_multiprobe"] = (multiprobe, f"""
+    WITH {SQL_CLUSTERS} SELECT vec_id AS query_id, true AS exact, min(vec_id) OVER (PARTITION BY v) AS best_id, 1.0::DOUBLE AS top, true AS found, true AS under_a_tenth FROM e""")
+QUERIES["j08_multiprobe_all"] = (multiprobe_all, QUERIES["j07_ivf_all_probes"][1])
