@@ -24,14 +24,14 @@ def exact_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     row per distinct text, without the text) are then joined to the rows' hashes; a hot group is split by the adaptive
     join because both sides of it are plain shuffles.
 
-    Null and empty texts are equal. Rows that repeat an id with an equal text are one document and come out once;
-    ``group_size`` counts all rows. A null id never wins against another id. Further columns are ignored.
+    Null and empty texts are equal. Rows that repeat an id with an equal text each come out, and ``group_size`` counts all
+    rows. A null id never wins against another id. Further columns are ignored.
     """
     staged = docs.select(F.col(id).alias("doc_id"), normalized(text).alias("norm"))
     hashed = staged.withColumn("h", F.md5("norm"))
     groups = hashed.groupBy("h", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = cut_lineage(groups.select("h", F.sha2("norm", 256).alias("sha"), "keep_id", "group_size"))
-    rows = hashed.select("doc_id", "h", F.sha2("norm", 256).alias("sha")).distinct()
+    rows = hashed.select("doc_id", "h", F.sha2("norm", 256).alias("sha"))
     return rows.join(groups, ["h", "sha"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"))
