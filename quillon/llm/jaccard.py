@@ -263,8 +263,11 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return chosen.mapInArrow(run, "id bigint, shingles binary")
 
 
-def links(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between classes that connect what is connected, as ``a < b``. ``classes``: ``rep, n, g1, g2``; ``made``: features."""
+def linked(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, percent: int) -> DataFrame:
+    """``node, component`` of the classes that links connect to a smaller one. ``classes``: ``rep, n, g1, g2``; ``made``: features.
+
+    The second round's links are few; they join components of the first round, so only their ends are contracted and merged.
+    """
     groups = cut_lineage(classes.groupBy("g1", "g2").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("m")))
     leads = made.select("id", "n", "prefix").join(groups.select("lead", "m"), F.col("id") == F.col("lead")).drop("id")
     members = classes.join(groups, ["g1", "g2"]).select(F.col("rep").alias("id"), "lead")
@@ -274,10 +277,21 @@ def links(docs: DataFrame, classes: DataFrame, made: DataFrame, width: int, perc
     near = _verified(docs, first.where(F.col("a").isNotNull()), width, percent)
     # Only elements with pairs beyond the nearest ones are met again.
     met = cut_lineage(met.join(first.where(F.col("a").isNull()).select(F.col("b").alias("token")), "token", "left_semi"))
-    known = star_components(near).withColumnRenamed("node", "id")
+    found = star_components(near)
+    if met.isEmpty():
+        return found
+    known = found.withColumnRenamed("node", "id")
     labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rest = cut_lineage(candidates(met, labelled, percent, False))
-    return near.unionByName(_verified(docs, rest, width, percent))
+    more = rest if rest.isEmpty() else _verified(docs, rest, width, percent)
+    if more.isEmpty():
+        return found
+    for end in ("a", "b"):
+        more = more.join(known, F.col(end) == F.col("id"), "left").withColumn(end, F.coalesce("component", end)).drop("id", "component")
+    merged = star_components(more).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    # A merged component's own smallest class was a node of no star and becomes one.
+    every = found.unionByName(merged.select(F.col("old").alias("node"), F.col("old").alias("component")))
+    return every.join(merged, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -304,7 +318,7 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     equal = ["n", "f1", "f2"]
     classes = made.where("n > 0").groupBy(*equal, "g1", "g2").agg(F.min("id").alias("rep"))  # equal sets, equal prefix
     classes = cut_lineage(classes)
-    found = star_components(links(rows, classes, made, width, percent))
+    found = linked(rows, classes, made, width, percent)
     known = cut_lineage(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*equal, F.coalesce("component", "rep").alias("component")))
     out = made.select("id", *equal).join(known, equal, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
     names = rows.select("__id", "doc_id")

@@ -16,7 +16,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
-from quillon.llm import bpe, classifier, exact, html, jaccard, lines, packing, quality, queries, shards, substrings, tokens  # noqa: E402
+from quillon.llm import bpe, classifier, exact, html, jaccard, lines, packing, quality, queries, shards, stars, substrings, tokens  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = "/root/testdata/sf0.001"
@@ -350,3 +350,27 @@ def test_pipeline(spark):
     assert sorted(set(got.doc_id)) == want and not got.duplicated(["doc_id", "piece"]).any()
     assert (got.groupby("sequence_id").length.sum() <= packing.CAPACITY).all()
     assert after.columns == docs.columns
+
+
+@pytest.mark.parametrize("edges", [
+    [], [(3, 3)], [(1, 2), (1, 3), (1, 3), (5, 4)], [(i, i + 1) for i in range(40)], [(7, i) for i in range(6)] + [(9, 7), (9, 20)],
+    [(random.Random(2).randrange(90) * (i % 7 + 1) % 97, (i * 31) % 97) for i in range(60)]])
+def test_star_components(spark, edges):
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    found = stars.star_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert sorted(map(tuple, found)) == sorted((x, y) for x, y in root.items() if x != y)
+
+
+def test_jaccard_merges_components(spark):
+    """Two groups of near copies, linked by a pair that is the nearest of neither end."""
+    a = [f"p{i}" for i in range(200)]
+    texts = [a[:], a[:], a[:], a[:]]
+    for t, cut in enumerate([0, 3, 9, 12]):
+        texts[t][100 : 100 + cut] = [f"x{i}" for i in range(cut)]
+    rows = [(10 * t + i, " ".join([*w, *([f"y{i}"] * i)])) for t, w in enumerate(texts) for i in range(3)]
+    for width, percent in [(1, 90), (3, 90), (2, 95), (1, 94)]:
+        got = jaccard.jaccard_components(table(spark, rows), width, percent).collect()
+        assert {r[0]: tuple(r[1:]) for r in got} == brute_components(rows, width, percent)
