@@ -280,6 +280,10 @@ def closure(spark, sf):
     return G.transitive_closure(copy_pairs(spark, sf))
 
 
+def closure_pairs(spark, sf):
+    return G.closure_pairs(copy_pairs(spark, sf))
+
+
 def connected_nodes(spark, sf):
     return G.connected_nodes(copy_pairs(spark, sf))
 
@@ -430,6 +434,7 @@ QUERIES = {
         d AS (SELECT label, a AS id, comp, count(*) AS deg FROM ed JOIN cc ON node = a GROUP BY 1, 2, 3)
         SELECT label, id, round(deg * count(*) OVER w / sum(deg) OVER w, 6) AS score FROM d WINDOW w AS (PARTITION BY comp)"""),
     "j16_transitive_closure": (closure, f"WITH RECURSIVE {EDGES} SELECT node, component, count(*) OVER (PARTITION BY component) AS size FROM cc"),
+    "j16_closure_pairs": (closure_pairs, f"WITH RECURSIVE {EDGES} SELECT x.node AS a, y.node AS b FROM cc x JOIN cc y ON x.component = y.component AND x.node < y.node"),
     "j17_connected_nodes": (connected_nodes, f"WITH RECURSIVE {EDGES} SELECT component, row_number() OVER (PARTITION BY component ORDER BY node) AS position, node FROM cc"),
     "j18_encode": (encode, f"WITH x AS ({_enc('documents', 'doc_id')}), n AS (SELECT id, v, greatest(sqrt(list_inner_product(v, v)), 1e-12) AS nn FROM x) SELECT id, " + ", ".join(f"round((v[{i + 1}] / nn)::FLOAT, 6)::DOUBLE AS x{i}" for i in range(DIMS)) + " FROM n"),
     "j19_encode_tokens": (encode_tokens, f"SELECT conv_id * 1000 + turn AS id, len(w)::BIGINT AS tokens, list_sum(list_transform(w, lambda x: length(x)))::DOUBLE AS chars FROM (SELECT *, {sql_words('text')} AS w FROM conversations) WHERE len(w) > 0"),
