@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import features as H
+from ..operators import selection as S
 from .common import embeddings, r6, table
 from .text import docs
 
@@ -42,6 +43,16 @@ def h03(spark, sf):
     return v.select(*KEY, *[r6(F.get("a", F.lit(i)), f"a{i}") for i in range(3)], *[r6(F.get("b", F.lit(i)), f"b{i}") for i in range(3)])
 
 
+MEDIANS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def h04_exact(spark, sf):
+    """Every third quantity is taken away and filled again; the sums tell the filled columns."""
+    d = table(spark, sf, "lineitem").withColumn("l_quantity", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_quantity")))
+    return S.fill_medians(d, MEDIANS).groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("n"), *[F.round(F.sum(c), 2).alias(f"sum_{c[2:]}") for c in MEDIANS], r6(F.min(F.when(F.col("l_orderkey") % 3 == 0, F.col("l_quantity"))), "median"))
+
+
 def h04(spark, sf):
     d = gaps(spark, sf).select(*KEY, "l_quantity")
     model = H.median_imputer(["l_quantity"]).fit(d)
@@ -123,6 +134,11 @@ QUERIES = {
     "h02_bucketizer": (h02, f"SELECT {K}, CASE WHEN l_quantity < 5 THEN 0 WHEN l_quantity < 10 THEN 1 WHEN l_quantity < 15 THEN 2 WHEN l_quantity < 20 THEN 3 ELSE 4 END::BIGINT AS bucket FROM lineitem"),
     "h03_standard_scaler": (h03, "WITH s AS (SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS d{i}" for i, c in enumerate(NUM)) + f" FROM lineitem) SELECT {K}, "
                             + ", ".join(f"round({c} / d{i}, 6) AS a{i}, round(({c} - m{i}) / d{i}, 6) AS b{i}" for i, c in enumerate(NUM)) + " FROM lineitem, s"),
+    "h04_exact_median": (h04_exact, """
+        WITH d AS (SELECT * REPLACE (CASE WHEN l_orderkey % 3 <> 0 THEN l_quantity::DOUBLE END AS l_quantity) FROM lineitem), m AS (SELECT median(l_quantity) AS q FROM d)
+        SELECT l_linenumber, count(*) AS n, round(sum(coalesce(l_quantity, q)), 2) AS sum_quantity, round(sum(l_extendedprice::DOUBLE), 2) AS sum_extendedprice,
+               round(sum(l_discount::DOUBLE), 2) AS sum_discount, round(sum(l_tax::DOUBLE), 2) AS sum_tax, round(min(q) FILTER (WHERE l_orderkey % 3 = 0), 6) AS median
+        FROM d, m GROUP BY 1"""),
     "h04_imputer": (h04, """
         WITH d AS (SELECT CASE WHEN l_partkey % 7 <> 0 THEN l_quantity END AS q FROM lineitem), m AS (SELECT quantile_disc(q, 0.5) AS m FROM d),
         s AS (SELECT avg((q < m)::INT) AS below, avg((q <= m)::INT) AS upto FROM d, m WHERE q IS NOT NULL)
