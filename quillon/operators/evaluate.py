@@ -20,6 +20,7 @@ from .graph import in_closure, transitive_closure
 from .prefix import join_groups, running
 from .search import semantic_search, top_k
 from .tabular import correlations
+from .thresholds import threshold_measures
 
 MEASURES = ["cosine", "euclidean", "manhattan", "dot"]
 
@@ -51,39 +52,16 @@ def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return (df, list(by)) if by else (df.withColumn("__g", F.lit(0)), ["__g"])
 
 
-def _sweep(df: DataFrame, score: str, label: str, order: str, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Rows sorted by falling score with running counts and the group totals."""
-    keyed, keys = _grouped(df.select(*by, F.col(score).alias("s"), F.col(label).cast("double").alias("y"), F.col(order).alias("rid")), by)
-    run = running(keyed, [F.col("s").desc(), F.col("rid").asc()], {"hits": F.col("y")}, by=keys)
-    totals = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives"))
-    return join_groups(run, totals, keys), keys
-
-
-def _with_threshold(run: DataFrame, best: DataFrame, keys: list[str], default: float) -> DataFrame:
-    """Adds the midpoint between the best row's score and the next one's."""
-    nxt = run.select(*keys, (F.col("position") - 1).alias("at"), F.col("s").alias("s_next"))
-    out = join_groups(best, nxt, [*keys, "at"], "left")
-    return out.withColumn("threshold", F.when(F.col("at").isNull(), F.lit(default)).otherwise((F.col("s") + F.col("s_next")) / 2))
-
-
 def _signed(df: DataFrame, score: str, higher: bool) -> DataFrame:
     return df if higher else df.withColumn(score, -F.col(score))
 
 
-def _best_rows(run: DataFrame, keys: list[str], value: Column, usable: Column) -> DataFrame:
-    """First row (by position) with the greatest value; a null row where no value is above zero."""
-    cand = F.when(usable & (value > 0), F.struct(value.alias("v"), (-F.col("position")).alias("neg"), F.col("s"), F.col("hits"), F.col("positives")))
-    best = run.groupBy(*keys).agg(F.max(cand).alias("m"))
-    return best.select(*keys, F.col("m.v").alias("v"), (-F.col("m.neg")).alias("at"), F.col("m.s").alias("s"), F.col("m.hits").alias("hits"),
-                       F.col("m.positives").alias("positives"))
-
-
 def best_accuracy_threshold(
     df: DataFrame, score: str, label: str, order: str, higher_is_similar: bool = True, by: Sequence[str] = ()
 ) -> DataFrame:
     """``(by..., accuracy, threshold)``. The last row is never a cut; the first best cut wins; -1 without a cut."""
-    run, keys = _sweep(_signed(df, score, higher_is_similar), score, label, order, by)
-    out = _accuracy(run, keys)
+    out = threshold_measures(_signed(df, score, higher_is_similar), score, label, order, by, ["accuracy"])
+    out = out.withColumnRenamed("accuracy_threshold", "threshold")
     return out.select(*by, "accuracy", _unsign(higher_is_similar, "threshold", "accuracy"))
 
 
@@ -92,30 +70,15 @@ def _unsign(higher: bool, c: str, value: str) -> Column:
     return (F.col(c) if higher else F.when(F.col(value) > 0, -F.col(c)).otherwise(F.col(c))).alias(c)
 
 
-def _accuracy(run: DataFrame, keys: list[str]) -> DataFrame:
-    negatives_left = (F.col("n") - F.col("positives")) - (F.col("position") - F.col("hits"))
-    best = _best_rows(run, keys, (F.col("hits") + negatives_left) / F.col("n"), F.col("position") < F.col("n"))
-    return _with_threshold(run, best, keys, -1.0).select(*keys, F.coalesce("v", F.lit(0.0)).alias("accuracy"), "threshold")
-
-
 def best_f1_threshold(
     df: DataFrame, score: str, label: str, order: str, higher_is_similar: bool = True, by: Sequence[str] = ()
 ) -> DataFrame:
     """``(by..., f1, precision, recall, threshold)``, swept like the accuracy; zeros without a cut."""
-    run, keys = _sweep(_signed(df, score, higher_is_similar), score, label, order, by)
-    out = _f1(run, keys)
+    out = threshold_measures(_signed(df, score, higher_is_similar), score, label, order, by, ["f1"])
+    out = out.withColumnRenamed("f1_threshold", "threshold")
     return out.select(*by, "f1", "precision", "recall", _unsign(higher_is_similar, "threshold", "f1"))
 
 
-def _f1(run: DataFrame, keys: list[str]) -> DataFrame:
-    f1 = F.try_divide(2 * F.col("hits"), F.col("position") + F.col("positives"))
-    best = _best_rows(run, keys, f1, F.col("position") < F.col("n"))
-    out = _with_threshold(run, best, keys, 0.0)
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return out.select(*keys, zero(F.col("v")).alias("f1"), zero(F.col("hits") / F.col("at")).alias("precision"),
-                      zero(F.try_divide("hits", "positives")).alias("recall"), "threshold")
-
-
 def average_precision(df: DataFrame, score: str, label: str, by: Sequence[str] = (), higher_is_similar: bool = True) -> DataFrame:
     """``(by..., ap)``: sum of recall steps times precision; rows with an equal score are one step."""
     keyed, keys = _grouped(_signed(df, score, higher_is_similar), by)
@@ -130,18 +93,14 @@ def binary_classification_report(
 ) -> DataFrame:
     """``(by..., metric, accuracy, accuracy_threshold, f1, precision, recall, f1_threshold, ap, main)``.
 
-    The four measures are swept together in long form, one sort for all. ``main`` is the greatest ap. A label other
+    The four measures are swept together in long form: one sort, one pass for the cuts, one more for the average precision. ``main`` is the greatest ap. A label other
     than 0 or 1 is an error.
     """
     checked = F.when(F.col(label).isin(0, 1), F.col(label)).otherwise(F.raise_error(F.lit("labels must be 0 or 1"))).cast("int")
     long = pairs.select(id, *by, checked.alias("y"), F.explode(F.array(*[
         F.struct(F.lit(n).alias("metric"), c.alias("s")) for n, c in _measures(a, b).items()])).alias("m")
     ).select(id, *by, "y", "m.metric", "m.s")
-    groups = [*by, "metric"]
-    run, keys = _sweep(long, "s", "y", id, groups)
-    acc = _accuracy(run, keys).withColumnRenamed("threshold", "accuracy_threshold")
-    f1 = _f1(run, keys).withColumnRenamed("threshold", "f1_threshold")
-    out = join_groups(join_groups(acc, f1, keys), average_precision(long, "s", "y", groups), keys)
+    out = threshold_measures(long, "s", "y", id, [*by, "metric"])
     distance = F.col("metric").isin("euclidean", "manhattan")
     for c, v in (("accuracy_threshold", "accuracy"), ("f1_threshold", "f1")):
         out = out.withColumn(c, F.when(distance & (F.col(v) > 0), -F.col(c)).otherwise(F.col(c)))

@@ -7,7 +7,7 @@ through the driver. The full sort key includes the row id, so a value shared by
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -138,6 +138,59 @@ def running(
     return staged.mapInPandas(scan, out_schema)
 
 
+def arrange(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
+    """Rows dealt to partitions by range and sorted, written once, with the partition's number ``__pid``."""
+    keys = [F.col(b).asc() for b in by] + list(order)
+    return cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id()))
+
+
+def fold_segments(
+    arranged: DataFrame,
+    by: Sequence[str],
+    columns: Sequence[str],
+    step: Callable[[object, pd.DataFrame, int, bool], object],
+    emit: Callable[[object], dict],
+    fields: Sequence[T.StructField],
+) -> DataFrame:
+    """One row ``(by..., part, opens, fields...)`` per segment, which is what one partition of :func:`arrange` holds of a group.
+
+    ``step(state, rows, part, opens)`` folds the next rows of a segment into its state (None before the first), so a task
+    holds one batch and one state. ``opens`` marks the first segment of a partition, the only one that can continue a group
+    of the partition before. A group has at most as many segments as there are partitions.
+    """
+    by = list(by)
+    schema = T.StructType(
+        [arranged.schema[b] for b in by] + [T.StructField("part", T.IntegerType()), T.StructField("opens", T.BooleanType())] + list(fields)
+    )
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state, part, opens = None, None, -1, True
+
+        def row() -> dict:
+            return {**dict(zip(by, key)), "part": part, "opens": opens, **emit(state)}
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            part, done = int(pdf[_PID].iloc[0]), []
+            cuts = np.flatnonzero(_breaks(pdf[by], key))
+            for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(pdf)]])):
+                if a == b:
+                    continue
+                if a in cuts and state is not None:
+                    done.append(row())
+                    state, opens = None, False
+                piece = pdf.iloc[a:b]
+                key = tuple(piece[by].iloc[0])
+                state = step(state, piece, part, opens)
+            if done:
+                yield pd.DataFrame(done, columns=schema.names)
+        if state is not None:
+            yield pd.DataFrame([row()], columns=schema.names)
+
+    return arranged.select(_PID, *dict.fromkeys([*by, *columns])).mapInPandas(fold, schema)
+
+
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on group columns in which null is a value of its own, so that rows of a null group are not lost."""
     renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
