@@ -6,6 +6,7 @@ from pyspark.ml.feature import RegexTokenizer, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import boundaries as B
 from ..operators import lexical as L
 from .common import r6, sql_hash_int, table
 
@@ -76,6 +77,14 @@ def g09(spark, sf):
     return p.select("id", F.col("pos").cast("bigint").alias("pos"), "sentence")
 
 
+def g09_scores(spark, sf):
+    return B.abbreviation_scores(docs(spark, sf), "text", ["lang"]).select("lang", "kind", "n_stop", "n_plain", r6("score", "score"))
+
+
+def g09_learned(spark, sf):
+    return B.learned_sentences(docs(spark, sf), "id", "text", ["lang"])
+
+
 def g10(spark, sf):
     return docs(spark, sf).select("id", X.joined_fields("source", "lang", "text").alias("joined"))
 
@@ -155,6 +164,49 @@ IDF = "df AS (SELECT token, count(DISTINCT id) AS df FROM tk GROUP BY 1), idf AS
 SENTS = "list_filter(list_transform(string_split(regexp_replace({x}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda s: s <> '')"
 PARAS = "list_filter(list_transform(string_split(text, chr(10)), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda p: p <> '')"
 
+_KIND = "regexp_replace(lower({x}), '^[\"''(\\[]+|\\.$', '', 'g')"
+
+
+def _g2(both: str, a: str, b: str, n: str) -> str:
+    cells = [(both, a, b), (f"({a} - {both})", a, f"({n} - {b})"), (f"({b} - {both})", f"({n} - {a})", b), (f"({n} - {a} - {b} + {both})", f"({n} - {a})", f"({n} - {b})")]
+    parts = [f"CASE WHEN {o} > 0 THEN {o} * ln({o}::DOUBLE * {n} / ({r}::DOUBLE * {c})) ELSE 0 END" for o, r, c in cells]
+    return f"CASE WHEN {both}::DOUBLE * {n} > {a}::DOUBLE * {b} THEN 2 * ({' + '.join(parts)}) ELSE 0 END"
+
+
+LEARNED = f"""
+    wd AS (SELECT lang, {sql_words('text')} AS w FROM documents),
+    tn AS (SELECT lang, w[i + 1] AS token, w[i + 2] AS following FROM wd, LATERAL (SELECT unnest(range(len(w))) AS i)),
+    tt AS (SELECT lang, {_KIND.format(x='token')} AS kind, {_KIND.format(x='following')} AS following, token LIKE '%.' AS stop, regexp_matches(token, '[.!?]$') AS fin,
+           regexp_matches(following, '^[\"''(\\[]*\\p{{Lu}}') AS up, regexp_matches(following, '^[\"''(\\[]*\\p{{Ll}}') AS low FROM tn),
+    kn AS (SELECT lang, kind, count(*) AS n, count(*) FILTER (WHERE stop) AS n_stop FROM tt GROUP BY 1, 2),
+    ks AS (SELECT lang, least(greatest(sum(n_stop) / sum(n), 1e-9), 1 - 1e-9) AS q, sum(n)::BIGINT AS tokens FROM kn GROUP BY 1),
+    sc AS (SELECT lang, kind, n_stop, n - n_stop AS n_plain, length(replace(kind, '.', '')) AS m,
+           2 * (n_stop * ln(0.99::DOUBLE / q) + (n - n_stop) * ln((1 - 0.99::DOUBLE) / (1 - q))) * exp(-m) * (length(kind) - m + 1) * power(m::DOUBLE, n_stop - n) AS score
+           FROM kn JOIN ks USING (lang) WHERE n_stop > 0 AND regexp_matches(kind, '\\p{{L}}'))"""
+
+
+def _learned_sql() -> str:
+    last = f"list_extract({sql_words('s[i + 1]')}, -1)"
+    return f"""
+        WITH {LEARNED}, ab AS (SELECT lang, kind FROM sc WHERE score >= 0.3),
+        mk AS (SELECT tt.*, coalesce(ab.kind IS NOT NULL AND stop, false) AS short FROM tt LEFT JOIN ab ON ab.lang = tt.lang AND ab.kind = tt.kind),
+        en AS (SELECT lang, count(*) FILTER (WHERE fin AND NOT short AND following IS NOT NULL) AS ends FROM mk GROUP BY 1),
+        op AS (SELECT lang, following, count(*) FILTER (WHERE fin AND NOT short) AS x, count(*) FILTER (WHERE low) AS low, count(*) FILTER (WHERE up AND NOT fin) AS inn
+               FROM mk WHERE regexp_matches(following, '\\p{{L}}') GROUP BY 1, 2),
+        oq AS (SELECT op.lang, op.following, {_g2('op.x', 'en.ends', 'kn.n', 'ks.tokens')} >= 30 AS starts, op.low > 0 AND op.inn = 0 AS ordinary
+               FROM op JOIN en USING (lang) JOIN ks USING (lang) JOIN kn ON kn.lang = op.lang AND kn.kind = op.following),
+        mt AS (SELECT lang, kind, following, count(*) AS x FROM mk WHERE short AND regexp_matches(following, '\\p{{L}}') GROUP BY 1, 2, 3 HAVING count(*) > 1),
+        co AS (SELECT mt.lang, mt.kind, mt.following FROM mt JOIN ks USING (lang) JOIN kn a ON a.lang = mt.lang AND a.kind = mt.kind JOIN kn b ON b.lang = mt.lang AND b.kind = mt.following
+               WHERE {_g2('mt.x', 'a.n', 'b.n', 'ks.tokens')} >= 7.88),
+        ps AS (SELECT doc_id AS id, lang, {SENTS.format(x='text')} AS s FROM documents),
+        pe AS (SELECT id, lang, i, s[i + 1] AS piece, {last} AS token, {sql_words('s[i + 2]')}[1] AS nxt FROM ps, LATERAL (SELECT unnest(range(len(s))) AS i)),
+        cl AS (SELECT pe.id, pe.i, pe.piece, coalesce(token LIKE '%.' AND nxt IS NOT NULL AND ab.kind IS NOT NULL
+                 AND NOT (regexp_matches(nxt, '^[\"''(\\[]*\\p{{Lu}}') AND (coalesce(oq.starts, false) OR (coalesce(oq.ordinary, false) AND (co.kind IS NULL OR coalesce(oq.starts, false))))), false) AS open
+               FROM pe LEFT JOIN ab ON ab.lang = pe.lang AND ab.kind = {_KIND.format(x='token')}
+               LEFT JOIN oq ON oq.lang = pe.lang AND oq.following = {_KIND.format(x='nxt')} LEFT JOIN co ON co.lang = pe.lang AND co.kind = ab.kind AND co.following = oq.following),
+        gr AS (SELECT *, count(*) FILTER (WHERE NOT open) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM cl)
+        SELECT id, g AS pos, string_agg(piece, ' ' ORDER BY i) AS sentence FROM gr GROUP BY id, g"""
+
 
 def _dup_sql() -> str:
     x = "lower(text)"
@@ -196,6 +248,8 @@ QUERIES = {
         w AS (SELECT doc_id, pi, gi, array_to_string(s[gi * 3 + 1 : gi * 3 + 3], ' ') AS passage FROM p, LATERAL (SELECT unnest(range(ceil(len(s) / 3.0)::INT)) AS gi))
         SELECT doc_id AS id, row_number() OVER (PARTITION BY doc_id ORDER BY pi, gi) - 1 AS pos, passage FROM w"""),
     "g09_sentence_split": (g09, f"SELECT id, pos, s[pos + 1] AS sentence FROM (SELECT doc_id AS id, {SENTS.format(x='text')} AS s FROM documents) d, LATERAL (SELECT unnest(range(len(s))) AS pos)"),
+    "g09_abbreviation_scores": (g09_scores, f"WITH {LEARNED} SELECT lang, kind, n_stop, n_plain, round(score, 6) AS score FROM sc"),
+    "g09_learned_sentences": (g09_learned, _learned_sql()),
     "g10_joined_fields": (g10, "SELECT doc_id AS id, source || '[SEP]' || lang || '[SEP]' || text AS joined FROM documents"),
     "g11_paragraphs": (g11, f"SELECT id, pos, md5(p[1]) AS first_digest, p[pos + 1] AS paragraph FROM (SELECT doc_id AS id, {PARAS} AS p FROM documents) d, LATERAL (SELECT unnest(range(len(p))) AS pos)"),
     "g12_word_deletion": (g12, f"""
