@@ -1,5 +1,6 @@
 import gzip
 import lzma
+import re
 
 import pytest
 from conftest import rows
@@ -196,3 +197,20 @@ def test_row_rules_hold_on_a_stream(spark, tmp_path):
     finally:
         q.stop()
     assert rows(spark.table("tokens_out")) == [(1, ["a", "b"]), (2, ["c"])]
+
+
+def _shuffled_rows(df):
+    """Keys of the plan's exchanges by hash."""
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_word_vectors_move_no_tokens_of_dealt_texts(spark):
+    lists = spark.createDataFrame([(i, ["a", "b", "b", "c"][: 1 + i % 4]) for i in range(20)], "id bigint, tokens array<string>")
+    t = lists.repartition("id").select("id", F.posexplode("tokens").alias("pos", "token"))
+    v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 2.0]), ("c", [5.0, 5.0])], "word string, vector array<double>")
+    w = spark.createDataFrame([("a", 3.0)], "token string, weight double")
+    for modes in (("mean",), ("cls", "max", "mean", "sqrt")):
+        out = L.average_word_vectors(t, v, w, modes)
+        assert len(_shuffled_rows(out)) == 1 and "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+        joined = L.average_word_vectors(t, v, w, modes, broadcast_words=0)
+        assert rows(out.select("id", F.transform("embedding", lambda x: F.round(x, 9)))) == rows(joined.select("id", F.transform("embedding", lambda x: F.round(x, 9))))
