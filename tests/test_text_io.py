@@ -214,3 +214,18 @@ def test_word_vectors_move_no_tokens_of_dealt_texts(spark):
         assert len(_shuffled_rows(out)) == 1 and "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
         joined = L.average_word_vectors(t, v, w, modes, broadcast_words=0)
         assert rows(out.select("id", F.transform("embedding", lambda x: F.round(x, 9)))) == rows(joined.select("id", F.transform("embedding", lambda x: F.round(x, 9))))
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 9])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_only_rare_words_are_shuffled(spark, how, most):
+    said = ["a"] * 9 + ["b"] * 5 + ["x"] * 4 + ["c", None, "y"]  # x and y are not in the table, d is in no row, c is twice
+    df = spark.createDataFrame(list(enumerate(said)), "id bigint, token string")
+    words = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0), ("c", 4.0), ("d", 5.0), ("e", 6.0)], "token string, weight double")
+    key = lambda r: tuple(str(x) for x in r)
+    want = sorted(map(key, df.join(words, "token", how).collect()))
+    got = L.join_words(df, words, how, most=most)
+    assert sorted(map(key, got.collect())) == want
+    if most in (1, 2):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
