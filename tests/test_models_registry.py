@@ -83,3 +83,12 @@ def test_entry_and_registry(spark):
 @pytest.mark.parametrize("name", ["d10_spearman", "k05_binary_report", "j04_community_detection", "n13_task_files", "g04_vocab_tokenizer"])
 def test_queries_run(spark, name):
     assert registry()[name][0](spark, SF).count() > 0
+
+
+def test_kept_tables_have_tasks_of_bounded_rows(spark, monkeypatch):
+    from quillon.operators import models as M
+    df = spark.range(1000).repartition(2)
+    assert M.dealt(df) is df
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 100)
+    sizes = [len(p) for p in M.dealt(df).rdd.glom().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 150 and sum(sizes) == 1000
