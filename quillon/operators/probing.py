@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,15 +111,6 @@ def _ask(batches: Iterator[pa.RecordBatch], tables: Tables, low: int, high: int)
         yield pa.RecordBatch.from_arrays([some.column("id"), some.column("embedding"), pa.array(bucket, pa.int64())], ["id", "embedding", "bucket"])
 
 
-def _score(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
-    if not len(a) or not len(b):
-        return pd.DataFrame({"query_id": [], "corpus_id": [], "score": []})
-    b = b.sort_values("id")
-    s = B.scores(np.vstack(a["embedding"]), np.vstack(b["embedding"]))
-    top, who = B.best_columns(s, b["id"].to_numpy(), k)
-    return pd.DataFrame({"query_id": np.repeat(a["id"].to_numpy(), top.shape[1]), "corpus_id": who.ravel(), "score": top.ravel()})
-
-
 def multiprobe_search(
     queries: DataFrame, corpus: DataFrame, k: int = 10, tables: int = 2, bits: int | None = None, probes: int = 16, seed: int = 0,
     id: str = "id", vector: str = "embedding", bucket_rows: int = BUCKET_ROWS, chunk_rows: int = 2048,
@@ -143,7 +133,7 @@ def multiprobe_search(
     made = make_tables(n, dim, tables, bits, bucket_rows, seed)
     hashed = cut_lineage(rows.mapInArrow(lambda b: _hash(b, made), "id bigint, embedding array<double>, bucket bigint"))
     # At most tables * 2 ** bits rows.
-    sizes = cut_lineage(hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks")))
+    sizes = cut_lineage(hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), B.chunk_count(F.count(F.lit(1)), chunk_rows, dim).alias("chunks")))
     held = hashed.join(F.broadcast(sizes.drop("size")), "bucket").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     asked = cut_lineage(_unit(queries, id, vector))
     best, compared, low = None, 0, 0
@@ -159,13 +149,13 @@ def multiprobe_search(
         work = probed.agg(F.sum("size")).head()[0]
         if work:
             compared += int(work)
-            slices = probed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("slices"))  # a row per bucket
+            slices = probed.groupBy("bucket").agg(B.chunk_count(F.count(F.lit(1)), chunk_rows, dim).alias("slices"))  # a row per bucket
             q = probed.join(F.broadcast(slices), "bucket").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
             q = q.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             c = held.join(F.broadcast(slices), "bucket").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
             keys = ["bucket", "chunk", "slice"]
             q, c = q.select(*keys, "id", "embedding"), c.select(*keys, "id", "embedding")
-            hits = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(lambda a, b: _score(a, b, k), B.HITS)
+            hits = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(lambda a, b: B.best_pairs(a, b, k), B.HITS)
             hits = hits if best is None else hits.unionByName(best.drop("rank"))
             hits = hits.groupBy("query_id", "corpus_id").agg(F.max("score").alias("score"))
             best = cut_lineage(top_k(hits, "query_id", "score", "corpus_id", k))

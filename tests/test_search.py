@@ -212,3 +212,34 @@ def test_nested_hits(spark, vectors, points):
     hits = S.semantic_search(vectors(points[:4]), vectors(points), 3)
     out = S.nested_hits(hits).collect()
     assert len(out) == 4 and all([h["rank"] for h in r["hits"]] == [1, 2, 3] for r in out)
+
+
+def test_a_bucket_has_few_chunks_until_they_are_heavy(spark):
+    sizes = [1, 2000, 8192, 50_000, 130_000, 1_000_000]
+    df = spark.createDataFrame([(n,) for n in sizes], "n bigint").select("n", B.chunk_count(F.col("n"), 2048, 64).alias("c"))
+    got = dict(tuple(r) for r in df.collect())
+    assert [got[n] for n in sizes] == [1, 1, 4, 4, 4, 31]
+
+
+def test_scores_of_copies_are_held_a_slice_at_a_time():
+    import tracemalloc
+    mat = np.ones((2048, 8))
+    block, other = B.Block(0, np.arange(2048), mat), B.Block(1, np.arange(2048, 4096), mat)
+    top = B.TopK(3, "cos", both=False)
+    a, b = top.load(block), top.load(other)
+    tracemalloc.start()
+    top.pair(a, b, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20  # the double scores alone would be 32 MB, and several copies of them
+    row, who, _ = top.leave(a)[0]
+    assert row.tolist() == np.repeat(np.arange(2048), 3).tolist() and set(who.tolist()) == {2048, 2049, 2050}
+
+
+@pytest.mark.parametrize("left, right", [(1, 1), (1, 50), (24, 24), (147, 147), (400, 3), (1000, 1000)])
+def test_a_product_of_two_tables_has_few_groups_and_enough_tasks(left, right):
+    groups, slices = B._grid(left, right, 12)
+    assert groups <= right and slices <= left and -(-right // groups) <= B.BLOCKS_PER_GROUP
+    assert groups * slices >= min(24, left * right) // 2
+    if left >= 24:
+        assert groups == -(-right // B.BLOCKS_PER_GROUP)
