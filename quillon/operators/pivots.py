@@ -30,6 +30,8 @@ from . import blocks as B
 #: Rows of a leaf, rows from which the pivots are picked, and the most pivots.
 LEAF_ROWS, SAMPLE_ROWS, MOST_PIVOTS = 4096, 4096, 512
 BINS = 1024
+#: Rows of the table for which a leaf gets another slice of guests, each met by a copy of the leaf.
+GUEST_ROWS = 65536
 #: Guests that are multiplied with a leaf at once, after sorting by their angle.
 STEP = 256
 #: Added to the angle of the threshold, far above the rounding of angles in double precision.
@@ -202,8 +204,11 @@ class _Leaf:
                 yield [np.minimum(x, y), np.maximum(x, y), B.pair_scores(left, right, i, j)]
 
 
-def _join(batches: Iterator[pa.RecordBatch], threshold: float, alpha: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of every leaf; the row after them has a null ``id2``, the leaf as ``id1`` and the pairs compared as ``score``."""
+def _join(batches: Iterator[pa.RecordBatch], threshold: float, alpha: float, slices: int = 1) -> Iterator[pa.RecordBatch]:
+    """Pairs of every leaf; the row after them has a null ``id2``, the leaf as ``id1`` and the pairs compared as ``score``.
+
+    ``leaf`` is the leaf's number times ``slices`` plus the slice of its guests; its own pairs are made with the first slice.
+    """
     names = ["id1", "id2", "score"]
     at, leaf, parts = None, None, []
 
@@ -211,10 +216,12 @@ def _join(batches: Iterator[pa.RecordBatch], threshold: float, alpha: float) ->
         return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2])], names)
 
     def close():
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([None], pa.int64()), pa.array([float(leaf.compared)])], names)
+        return pa.RecordBatch.from_arrays([pa.array([at // slices], pa.int64()), pa.array([None], pa.int64()), pa.array([float(leaf.compared)])], names)
 
     def settle():
         made = _Leaf(parts)
+        if at % slices:
+            return made, []
         return made, [pairs(f) for f in made.meet(made.ids, made.angle, made.mat, threshold, alpha, True)]
 
     for batch in batches:
@@ -276,9 +283,14 @@ def pivot_join(
     leaves = cut_leaves(chosen, counted.toArrow(), leaf_rows)
     shared = spark.sparkContext.broadcast(leaves)
     routed = rows.mapInArrow(lambda batches: _route(batches, shared.value, alpha), "leaf int, guest boolean, id bigint, angle double, vec binary")
-    tasks = max(2 * spark.sparkContext.defaultParallelism, len(leaves.cell) // 4)
-    met = routed.repartition(tasks, "leaf").sortWithinPartitions("leaf", "guest").mapInArrow(lambda batches: _join(batches, threshold, alpha), MET)
-    return met.where(F.col("id2").isNotNull()), met.where(F.col("id2").isNull()).select(F.col("id1").alias("leaf"), F.col("score").cast("bigint").alias("compared"))
+    # A leaf may have any share of the table as guests: they are dealt to slices, so that no task reads them all.
+    slices = math.ceil(count / GUEST_ROWS)
+    mine = F.when(F.col("guest"), F.array(F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))).otherwise(F.sequence(F.lit(0), F.lit(slices - 1)))
+    routed = routed.withColumn("slice", F.explode(mine)).withColumn("leaf", F.col("leaf").cast("bigint") * slices + F.col("slice")).drop("slice")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, len(leaves.cell) // 4 if slices == 1 else len(leaves.cell) * slices)
+    met = routed.repartition(tasks, "leaf").sortWithinPartitions("leaf", "guest").mapInArrow(lambda batches: _join(batches, threshold, alpha, slices), MET)
+    work = met.where(F.col("id2").isNull()).groupBy(F.col("id1").alias("leaf")).agg(F.sum(F.col("score").cast("bigint")).alias("compared"))
+    return met.where(F.col("id2").isNotNull()), work
 
 
 def compared_share(emb: DataFrame, threshold: float, id: str = "id", vector: str = "embedding", **options) -> DataFrame:

@@ -68,3 +68,22 @@ def test_odd_rows(spark):
     assert P.compared_share(none, 0.5).head().share == 0
     with pytest.raises(ValueError):
         P.pivot_join(df, 0.0)
+
+
+def test_guests_of_a_leaf_are_dealt_to_slices(spark, vectors, rng, monkeypatch):
+    from quillon.operators import pivots, search
+    mat = rng.standard_normal((200, 6))
+    mat[50:90] = mat[3]
+    emb = vectors(mat)
+    want = sorted(tuple(r) for r in search.similarity_join(emb, 0.5).select("id1", "id2").collect())
+    whole = pivots.pivot_join(emb, 0.5, pivots=4, leaf_rows=20)[1]
+    monkeypatch.setattr(pivots, "GUEST_ROWS", 30)
+    met, work = pivots.pivot_join(emb, 0.5, pivots=4, leaf_rows=20)
+    assert sorted(tuple(r) for r in met.select("id1", "id2").collect()) == want
+    assert sorted(r["leaf"] for r in work.collect()) == sorted(r["leaf"] for r in whole.collect())
+    # Seven slices of a leaf's guests: a task's share is far below the table.
+    seen = []
+    real = type(emb).repartition
+    monkeypatch.setattr(type(emb), "repartition", lambda self, *a: seen.append(self) or real(self, *a))
+    pivots.pivot_join(emb, 0.5, pivots=4, leaf_rows=20)
+    assert seen[0].where("guest").groupBy("leaf").count().agg({"count": "max"}).head()[0] <= 70
