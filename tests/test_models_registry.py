@@ -92,3 +92,15 @@ def test_kept_tables_have_tasks_of_bounded_rows(spark, monkeypatch):
     monkeypatch.setattr(M, "ROWS_PER_TASK", 100)
     sizes = [len(p) for p in M.dealt(df).rdd.glom().collect()]
     assert len(sizes) == 10 and max(sizes) <= 150 and sum(sizes) == 1000
+
+
+def test_fits_together_hold_bounded_rows(spark, classes, monkeypatch):
+    assert M.fits_at_once(classes, 8) == 8
+    monkeypatch.setattr(M, "ROWS_AT_ONCE", 70)  # four cores: 280 rows, two copies of 120
+    assert M.fits_at_once(classes, 8) == 2
+    seen = []
+    real = M.CrossValidator
+    monkeypatch.setattr(M, "CrossValidator", lambda **k: seen.append(k["parallelism"]) or real(**k))
+    M.tune(classes, DecisionTreeClassifier(labelCol="y"), {"maxDepth": [1, 3]}, BinaryClassificationEvaluator(labelCol="y"), folds=2, parallelism=8)
+    monkeypatch.setattr(M, "ROWS_AT_ONCE", 1)
+    assert seen == [2] and M.fits_at_once(classes, 8) == 1
