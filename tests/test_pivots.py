@@ -87,3 +87,18 @@ def test_guests_of_a_leaf_are_dealt_to_slices(spark, vectors, rng, monkeypatch):
     monkeypatch.setattr(type(emb), "repartition", lambda self, *a: seen.append(self) or real(self, *a))
     pivots.pivot_join(emb, 0.5, pivots=4, leaf_rows=20)
     assert seen[0].where("guest").groupBy("leaf").count().agg({"count": "max"}).head()[0] <= 70
+
+
+def test_a_row_travels_once_to_a_bundle_of_leaves(spark, vectors, rng, monkeypatch):
+    """On evenly spread vectors every row meets most leaves; its copies are bounded by the bundles."""
+    mat = rng.standard_normal((600, 8))
+    seen = []
+    emb = vectors(mat)
+    real = type(emb).repartition
+    monkeypatch.setattr(type(emb), "repartition", lambda self, *a: seen.append(self) or real(self, *a))
+    pairs, work = P.pivot_join(emb, 0.5, pivots=40, leaf_rows=15)
+    got = [(a, b) for a, b, _ in rows(pairs)]
+    assert got == brute(mat, 0.5) and work.count() > 50
+    copies = seen[0].count() / len(mat)  # four cores: 6 bundles, 3 slices
+    assert copies <= 3 + 6 / 2 + 0.5
+    assert seen[0].select("leaf").distinct().count() <= 8 * 3
