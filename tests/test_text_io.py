@@ -229,3 +229,19 @@ def test_only_rare_words_are_shuffled(spark, how, most):
     if most in (1, 2):
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("most", [0, 2, 9])
+def test_both_bags_from_one_pass(spark, monkeypatch, most):
+    """The weights say how frequent a word is, so that the texts are not counted again for the words to broadcast."""
+    monkeypatch.setattr(L, "BROADCAST_WORDS", most)
+    said = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "c"), (3, "a"), (3, "b"), (3, "x"), (None, "x")]
+    t = spark.createDataFrame(said, "id bigint, token string")
+    w = spark.createDataFrame([("a", 2.0, 3), ("b", 3.0, 2), ("c", 5.0, 1)], "token string, weight double, df bigint")
+    out = L.bow(t, w, cumulative={"sum": True, "once": False})
+    assert out.columns == ["id", "token", "sum", "once"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, out.collect())) == sorted(map(key, [
+        (1, "a", 4.0, 2.0), (1, "b", 3.0, 3.0), (2, "a", 2.0, 2.0), (2, "c", 5.0, 5.0), (3, "a", 2.0, 2.0), (3, "b", 3.0, 3.0), (3, "x", 1.0, 1.0), (None, "x", 1.0, 1.0)]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == (1 if most == 9 else 2)  # one count of the rows for each branch, none for the words
