@@ -243,3 +243,32 @@ def test_a_product_of_two_tables_has_few_groups_and_enough_tasks(left, right):
     assert groups * slices >= min(24, left * right) // 2
     if left >= 24:
         assert groups == -(-right // B.BLOCKS_PER_GROUP)
+
+
+@pytest.mark.parametrize("tables,bits", [(3, 2), (12, 5)])
+def test_dense_buckets_are_searched_by_blocks(spark, vectors, rng, monkeypatch, tables, bits):
+    mat = rng.standard_normal((260, 8))
+    mat[40:60] = mat[3]
+    mat[7] = 0
+    emb, other = vectors(mat), vectors(mat[:90] + 0.2, ids=range(1000, 1090))
+    packed = []
+    real = B.pack
+    monkeypatch.setattr(B, "pack", lambda *a, **k: packed.append(a) or real(*a, **{**k, "rows_per_block": 64}))
+    for q, c in ((emb, emb), (other, emb)):
+        monkeypatch.setattr(S, "DENSE", 9.0)
+        buckets = rows(S.lsh_search(q, c, 6, tables=tables, bits=bits, chunk_rows=40))
+        assert not packed
+        monkeypatch.setattr(S, "DENSE", 0.0)
+        assert rows(S.lsh_search(q, c, 6, tables=tables, bits=bits)) == buckets
+        assert len(packed) == 1 + (q is not c)
+        packed.clear()
+    twice = emb.unionByName(emb.where("id < 9"))  # an id that comes twice must not fill a list
+    S.lsh_search(emb, twice, 6, tables=tables, bits=bits)
+    assert not packed
+
+
+def test_few_copies_where_buckets_are_dense(vectors, rng):
+    """Twenty-four tables of four bits: a row is not copied to a bucket of each."""
+    emb = vectors(rng.standard_normal((200, 8)))
+    plan = S.lsh_search(emb, emb, 3, tables=24, bits=4)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapCoGroups" not in plan
