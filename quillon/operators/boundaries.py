@@ -11,7 +11,7 @@ Nothing is listed in advance. Three tables are counted over all texts, per group
 
 A full stop after an abbreviation ends a sentence only before an upper-case word that is a starter, or that is ordinary and no
 collocation of it. Counts are
-merged in each task before the shuffle. Only those pairs of neighbouring pieces of a text whose first one ends with a full stop meet
+merged in each task before the shuffle; only counts of single types and pairs that begin with an abbreviation are kept. Only those pairs of neighbouring pieces of a text whose first one ends with a full stop meet
 the learned tables; Catalyst broadcasts these tables where they are small and splits hot types where they are not.
 """
 
@@ -28,6 +28,7 @@ from ..session import cut_lineage
 ABBREVIATION = 0.3  # least scores, as published for this kind of model
 STARTER = 30.0
 COLLOCATION = 7.88
+BROADCAST_ROWS = 1_000_000  # rows of a table that may be shipped to every task
 ENDS_WITH_STOP = 0.99  # share of its occurrences in which an abbreviation is expected to have its full stop
 
 
@@ -89,33 +90,49 @@ def _scored_kinds(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     return found.select(*by, "kind", "n_stop", plain.alias("n_plain"), score.alias("score"))
 
 
+def _few(small: DataFrame) -> DataFrame:
+    """A table written once, marked for broadcast if it is counted to be small enough, so that what meets it is not shuffled."""
+    small = cut_lineage(small)
+    return F.broadcast(small) if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else small
+
+
 def boundary_tables(df: DataFrame, text: str, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``abbreviations (by..., kind)``, ``openers (by..., following, starts, ordinary)`` and ``collocations (by..., kind, following)``."""
-    t = _tokens(df, text, by).select(
-        *by, type_of(F.col("token")).alias("kind"), type_of(F.col("following")).alias("following"), F.col("token").endswith(".").alias("stop"),
-        F.col("token").rlike(_END).alias("end"), F.col("following").rlike(_UPPER).alias("upper"), F.col("following").rlike(_LOWER).alias("lower"))
-    # All that is needed of the texts from here on: counts of neighbours, read several times.
-    pairs = cut_lineage(t.groupBy(*t.columns).agg(F.count(F.lit(1)).alias("n")))
-    kinds = pairs.groupBy(*by, "kind").agg(F.sum(F.when(F.col("stop"), F.col("n")).otherwise(0)).alias("n_stop"), F.sum("n").alias("n"))
-    abbreviations = cut_lineage(_scored_kinds(kinds, by).where(F.col("score") >= ABBREVIATION).select(*by, "kind"))
+    """``abbreviations (by..., kind)``, ``openers (by..., following, starts, ordinary)`` and ``collocations (by..., kind, following)``.
+
+    Only counts of types are kept of the texts, and the neighbours of abbreviations; all neighbours would weigh as much as the texts.
+    """
+    t = _tokens(df, text, by)
+    first = F.col("following").isNotNull()
+    w = X.words(text)
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))))
+    seen = df.select(*by, F.explode(F.arrays_zip(w.alias("token"), before.alias("before"))).alias("p")).select(*by, "p.token", "p.before")
+    number = lambda c: F.count(F.when(c, 1))
+    end, later = F.col("before").rlike(_END), F.col("before").isNotNull()
+    counts = cut_lineage(seen.groupBy(*by, type_of(F.col("token")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), number(F.col("token").endswith(".")).alias("stop"), number(end).alias("after"),
+        number(later & F.col("token").rlike(_LOWER)).alias("low"), number(later & F.col("token").rlike(_UPPER) & ~end).alias("inner")))
+    kinds = counts.select(*by, "kind", F.col("stop").alias("n_stop"), "n")
+    abbreviations = _few(_scored_kinds(kinds, by).where(F.col("score") >= ABBREVIATION).select(*by, "kind"))
     kinds = kinds.select(*by, "kind", F.col("n").alias("n_kind"))
-    marked = _same(pairs, abbreviations.withColumn("short", F.lit(True)), [*by, "kind"], "left")
-    marked = marked.withColumn("short", F.coalesce("short", F.lit(False)) & F.col("stop"))
-    number = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    sure = F.col("end") & ~F.col("short") & F.col("following").isNotNull()
-    total = marked.groupBy(*by).agg(F.sum("n").alias("tokens"), number(sure).alias("ends"))
+    short = t.where(F.col("token").endswith(".")).where(first).select(*by, type_of(F.col("token")).alias("kind"), type_of(F.col("following")).alias("following"))
+    short = cut_lineage(_same(short, abbreviations, [*by, "kind"]).groupBy(*by, "kind", "following").agg(F.count(F.lit(1)).alias("n")))
+    # Every full stop is an end; it is a sure one unless an abbreviation stands before it.
+    unsure = short.select(*by, F.col("following").alias("kind"), (-F.col("n")).alias("after"))
+    none = [F.lit(0).cast("bigint").alias(c) for c in ("n", "low", "inner")]
+    marked = counts.select(*by, "kind", "after", "n", "low", "inner").unionByName(unsure.select(*by, "kind", "after", *none))
+    marked = marked.groupBy(*by, F.col("kind").alias("following")).agg(*[F.sum(c).alias(c) for c in ("after", "n", "low", "inner")])
+    total = marked.groupBy(*by).agg(F.sum("n").alias("tokens"), F.sum("after").alias("ends"))
 
     def scored(rows: DataFrame) -> DataFrame:
         rows = _same(rows, kinds.select(*by, F.col("kind").alias("following"), F.col("n_kind").alias("n_following")), [*by, "following"])
         return _same(rows, total, by) if by else rows.crossJoin(F.broadcast(total))  # one row
 
-    openers = marked.where(_is_word(F.col("following"))).groupBy(*by, "following").agg(
-        number(sure).alias("both"), number(F.col("lower")).alias("low"), number(F.col("upper") & ~F.col("end")).alias("inner"))
+    openers = marked.where(_is_word(F.col("following"))).select(*by, "following", F.col("after").alias("both"), "low", "inner")
     starts = association(F.col("both"), F.col("ends"), F.col("n_following"), F.col("tokens")) >= STARTER
     openers = scored(openers).select(*by, "following", starts.alias("starts"), ((F.col("low") > 0) & (F.col("inner") == 0)).alias("ordinary"))
     openers = openers.where(F.col("starts") | F.col("ordinary"))
 
-    met = marked.where(F.col("short")).where(_is_word(F.col("following"))).groupBy(*by, "kind", "following").agg(F.sum("n").alias("both"))
+    met = short.where(_is_word(F.col("following"))).withColumnRenamed("n", "both")
     met = scored(_same(met.where("both > 1"), kinds, [*by, "kind"]))
     met = met.where(association(F.col("both"), F.col("n_kind"), F.col("n_following"), F.col("tokens")) >= COLLOCATION)
     met = _same(met.select(*by, "kind", "following"), openers.where("starts"), [*by, "following"], "left_anti")
@@ -141,7 +158,8 @@ def learned_sentences(df: DataFrame, id: str, text: str, by: Sequence[str] = (),
     short = _same(short, collocations.withColumn("close", F.lit(True)), [*by, "kind", "following"], "left")
     yes = lambda c: F.coalesce(c, F.lit(False))
     is_end = yes(F.col("upper")) & (yes(F.col("starts")) | (yes(F.col("ordinary")) & ~yes(F.col("close"))))
-    joined = short.where(~is_end).groupBy(F.col("id").alias("__id")).agg(F.collect_set("at").alias("__open"))  # places in one text
+    # Places in one text. The texts are not shuffled for them unless too many have one.
+    joined = _few(short.where(~is_end).groupBy(F.col("id").alias("__id")).agg(F.collect_set("at").alias("__open")))
     out = pieces.select("id", "__p").join(joined, F.col("id") == F.col("__id"), "left")
     # An end that stays is marked, the pieces are joined by blanks, and the whole is cut at the marks.
     marked = F.transform("__p", lambda p, i: F.when(F.array_contains("__open", i), p).otherwise(F.concat(p, F.lit("\u0001"))))

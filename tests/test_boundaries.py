@@ -2,6 +2,7 @@ import math
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from quillon.operators import boundaries as B
 
@@ -56,3 +57,19 @@ def test_association_is_the_log_likelihood_ratio(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([], "id bigint, text string")
     assert B.learned_sentences(empty, "id", "text").count() == 0
+
+
+def test_no_table_of_all_neighbours_is_kept_and_texts_stay(spark, corpus, monkeypatch):
+    """What is written is counts of types and neighbours of abbreviations; few texts with an open end are broadcast to the texts."""
+    kept = []
+    real = B.cut_lineage
+    monkeypatch.setattr(B, "cut_lineage", lambda df: kept.append(real(df)) or kept[-1])
+    many = corpus.withColumn("text", F.concat("text", F.lit(" "), F.concat_ws(" ", *[F.concat(F.lit(f"w{i}"), F.lit("x"), (F.col("id") * (i + 1) % 7).cast("string")) for i in range(30)])))
+    out = B.learned_sentences(many, "id", "text", ["lang"])
+    words = {(r.lang, w.lower().rstrip(".")) for r in many.collect() for w in r.text.split()}
+    assert max(k.count() for k in kept) <= len(words)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    want = rows(out)
+    monkeypatch.setattr(B, "BROADCAST_ROWS", 0)
+    assert rows(B.learned_sentences(many, "id", "text", ["lang"])) == want
