@@ -272,3 +272,20 @@ def test_few_copies_where_buckets_are_dense(vectors, rng):
     emb = vectors(rng.standard_normal((200, 8)))
     plan = S.lsh_search(emb, emb, 3, tables=24, bits=4)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "FlatMapCoGroups" not in plan
+
+
+def test_lists_are_sorted_once_for_many_blocks(rng, monkeypatch):
+    """The few entries of a late block wait; the lists are those of all entries."""
+    mat, sorts = rng.standard_normal((1200, 6)), []
+    real = B.Best.settle
+    monkeypatch.setattr(B.Best, "settle", lambda self: sorts.append(len(self.waiting)) or real(self))
+    top = B.TopK(10, "dot", both=False)
+    left = top.load(B.Block(0, np.arange(50), mat[:50]))
+    for i, lo in enumerate(range(0, 1200, 20)):
+        list(top.pair(left, top.load(B.Block(i, np.arange(lo, lo + 20), mat[lo : lo + 20])), False))
+    q, c, s = top.leave(left)[0]
+    want = np.round(mat[:50] @ mat.T, 9)
+    for i in range(50):
+        best = np.lexsort((np.arange(1200), -want[i]))[:10]
+        assert c[q == i].tolist() == best.tolist() and s[q == i] == pytest.approx(want[i, best])
+    assert len(sorts) < 25 and sum(sorts) == 60
